@@ -1,6 +1,6 @@
 """Registered queries; importing this package fills the registry."""
 
-from . import groups, joins, rows, sources
+from . import groups, joins, rows, sources, text
 from .registry import CHECKS, QUERIES
 
-__all__ = ["CHECKS", "QUERIES", "groups", "joins", "rows", "sources"]
+__all__ = ["CHECKS", "QUERIES", "groups", "joins", "rows", "sources", "text"]

@@ -9,12 +9,14 @@ from ..functions.scalar import right_closed
 from ..operators import ordered, relational as rel, stats
 from .registry import query
 
-N = F.count(F.lit(1)).alias("n")
+
+def rows_n():
+    return F.count(F.lit(1)).alias("n")
 
 
 @query("d01_row_count", "SELECT count(*) AS n FROM lineitem")
 def row_count(t):
-    return t.lineitem.agg(N)
+    return t.lineitem.agg(rows_n())
 
 
 @query(
@@ -62,7 +64,7 @@ def extremes_and_distinct(t):
 
 @query("d06_most_active", "SELECT user_id, count(*) AS n FROM events GROUP BY 1 ORDER BY n DESC, user_id LIMIT 10")
 def most_active(t):
-    return t.events.groupBy("user_id").agg(N).orderBy(F.col("n").desc(), "user_id").limit(10)
+    return t.events.groupBy("user_id").agg(rows_n()).orderBy(F.col("n").desc(), "user_id").limit(10)
 
 
 @query(
@@ -135,7 +137,7 @@ def fixed_classes(t):
     total = F.col("nir") + F.col("red")
     value = F.when(total != 0, (F.col("nir") - F.col("red")) / total)
     cls = right_closed(value, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7])
-    return t.v_pixels.select(cls.alias("class")).filter("class IS NOT NULL").groupBy("class").agg(N)
+    return t.v_pixels.select(cls.alias("class")).filter("class IS NOT NULL").groupBy("class").agg(rows_n())
 
 
 @query(
@@ -163,7 +165,7 @@ def histogram_by_class(t):
 
 @query("d15_cells_per_tile", "SELECT tile_col, tile_row, count(*) AS n FROM v_pixels GROUP BY 1, 2")
 def cells_per_tile(t):
-    return t.v_pixels.groupBy("tile_col", "tile_row").agg(N)
+    return t.v_pixels.groupBy("tile_col", "tile_row").agg(rows_n())
 
 
 @query("d16_count_distinct", "SELECT count(DISTINCT l_partkey) AS n FROM lineitem")
@@ -173,7 +175,7 @@ def count_distinct(t):
 
 @query("d17_value_counts", "SELECT p_size, count(*) AS n FROM part GROUP BY 1")
 def value_counts(t):
-    return t.part.groupBy("p_size").agg(N)
+    return t.part.groupBy("p_size").agg(rows_n())
 
 
 @query(
@@ -195,7 +197,7 @@ def contingency(t):
     "SELECT c_nationkey, round(sum(c_acctbal), 2) AS total, count(*) AS n FROM customer GROUP BY 1",
 )
 def group_totals(t):
-    return t.customer.groupBy("c_nationkey").agg(F.round(F.sum("c_acctbal"), 2).alias("total"), N)
+    return t.customer.groupBy("c_nationkey").agg(F.round(F.sum("c_acctbal"), 2).alias("total"), rows_n())
 
 
 @query(
@@ -295,7 +297,7 @@ def quartile_bins(t):
 )
 def top_terms_per_bucket(t):
     bucket = F.date_format("ts", "yyyy-MM-dd HH:00")
-    n = t.events.groupBy(bucket.alias("bucket"), F.col("event_type").alias("term")).agg(N)
+    n = t.events.groupBy(bucket.alias("bucket"), F.col("event_type").alias("term")).agg(rows_n())
     return ordered.top_k(n, ["bucket"], [F.col("term").desc()], 3).select("bucket", "term", "n")
 
 
@@ -348,5 +350,5 @@ def sorted_list_per_key(t):
        ORDER BY CAST(k AS BIGINT) LIMIT 40""",
 )
 def numbers_held_as_text(t):
-    n = t.events.groupBy(F.col("user_id").cast("string").alias("k")).agg(N)
+    n = t.events.groupBy(F.col("user_id").cast("string").alias("k")).agg(rows_n())
     return n.orderBy(F.col("k").cast("bigint")).limit(40)
