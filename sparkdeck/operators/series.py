@@ -6,8 +6,6 @@ import math
 
 from pyspark.sql import DataFrame, functions as F
 
-from .relational import SMALL_ROWS
-
 
 def _date_counts(df: DataFrame, id_col: str, date: str, value: str) -> tuple[DataFrame, int]:
     present = df.groupBy(date).agg(F.count(value).alias("present"))
@@ -32,14 +30,13 @@ def drop_sparse_dates(df: DataFrame, id_col: str, date: str, value: str, share:
 def complete(df: DataFrame, id_col: str, date: str) -> DataFrame:
     """One row per parcel and date of the table, null where nothing was observed.
 
-    The list of dates is read to the driver (one entry per acquisition day, checked) and unfolded
-    inside each parcel row.
+    Every parcel unfolds the days between the first and the last date (two scalars) and keeps those
+    that occur in the table.
     """
-    dates = [r[0] for r in df.select(date).distinct().limit(SMALL_ROWS + 1).collect()]
-    if len(dates) > SMALL_ROWS:
-        raise ValueError("too many dates for a full parcel calendar")
-    calendar = F.array(*[F.lit(d) for d in sorted(dates)])
-    grid = df.select(id_col).distinct().withColumn(date, F.explode(calendar))
+    dates = df.select(date).distinct()
+    first, last = df.agg(F.min(date), F.max(date)).first()
+    days = F.explode(F.sequence(F.lit(first), F.lit(last), F.expr("INTERVAL 1 DAY")))
+    grid = df.select(id_col).distinct().withColumn(date, days).join(dates, date, "left_semi")
     return grid.join(df, [id_col, date], "left")
 
 

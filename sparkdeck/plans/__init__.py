@@ -1,6 +1,6 @@
 """Registered queries; importing this package fills the registry."""
 
-from . import grids, groups, joins, rows, sources, text
+from . import grids, groups, joins, rows, sources, streams, text
 from .registry import CHECKS, QUERIES
 
-__all__ = ["CHECKS", "QUERIES", "grids", "groups", "joins", "rows", "sources", "text"]
+__all__ = ["CHECKS", "QUERIES", "grids", "groups", "joins", "rows", "sources", "streams", "text"]
