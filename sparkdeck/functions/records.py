@@ -21,32 +21,45 @@ EVENT_SCHEMA = (
 )
 
 
-def _groups(line: Column, pattern: str, count: int) -> Column:
-    """All groups of one match as an array: a single pass over the line instead of one per group."""
-    marked = F.regexp_replace(line, pattern, _MARK.join(f"${i}" for i in range(1, count + 1)))
-    return F.when(line.rlike(pattern), F.split(marked, _MARK))
+def _groups(line: Column, pattern: str, names: list[str], build) -> Column:
+    """`build` applied to the named groups of a match, null without a match.
+
+    The line is matched once: the groups are written into one marked text and cut apart. Binding the
+    parts in a one-element array keeps the match from being repeated for every field.
+    """
+    marked = F.regexp_replace(line, pattern, _MARK.join(f"${i}" for i in range(1, len(names) + 1)))
+    found = F.filter(F.array(F.split(marked, _MARK)), lambda parts: F.size(parts) == len(names))
+    built = F.transform(found, lambda parts: build({n: parts[i] for i, n in enumerate(names)}))
+    return F.get(built, F.lit(0))
 
 
 def parse_access_log(line: Column) -> Column:
     """Struct of access log fields; null when the line does not match."""
-    parts = _groups(line, ACCESS_LINE, len(ACCESS_FIELDS))
-    field = {n: F.get(parts, F.lit(i)) for i, n in enumerate(ACCESS_FIELDS)}
-    field["timestamp"] = F.try_to_timestamp(field["timestamp"], F.lit("dd/MMM/yyyy:HH:mm:ss Z"))
-    field["response"] = field["response"].try_cast("int")
-    field["bytes"] = field["bytes"].try_cast("bigint")
-    return F.when(parts.isNotNull(), F.struct(*[c.alias(n) for n, c in field.items()]))
+
+    def build(field):
+        field["timestamp"] = F.try_to_timestamp(field["timestamp"], F.lit("dd/MMM/yyyy:HH:mm:ss Z"))
+        field["response"] = field["response"].try_cast("int")
+        field["bytes"] = field["bytes"].try_cast("bigint")
+        return F.struct(*[c.alias(n) for n, c in field.items()])
+
+    return _groups(line, ACCESS_LINE, ACCESS_FIELDS, build)
 
 
 def parse_error_log(line: Column) -> Column:
     """Struct of error log fields; an unmatched line keeps its whole text as the message."""
-    parts = _groups(line, ERROR_LINE, len(ERROR_FIELDS))
-    field = {n: F.get(parts, F.lit(i)) for i, n in enumerate(ERROR_FIELDS)}
-    # the weekday name is not needed and not every parser accepts it
-    stamp = F.regexp_replace(field["timestamp"], r"^\w+ ", "")
-    field["timestamp"] = F.try_to_timestamp(stamp, F.lit("MMM d HH:mm:ss.SSSSSS yyyy"))
-    field["pid"] = field["pid"].try_cast("int")
-    field["message"] = F.coalesce(field["message"], line)
-    return F.struct(*[c.alias(n) for n, c in field.items()])
+
+    def build(field):
+        # the weekday name is not needed and not every parser accepts it
+        stamp = F.regexp_replace(field["timestamp"], r"^\w+ ", "")
+        field["timestamp"] = F.try_to_timestamp(stamp, F.lit("MMM d HH:mm:ss.SSSSSS yyyy"))
+        field["pid"] = field["pid"].try_cast("int")
+        return F.struct(*[c.alias(n) for n, c in field.items()])
+
+    kinds = {"timestamp": "timestamp", "pid": "int"}
+    bare = F.struct(
+        *[(line if n == "message" else F.lit(None).cast(kinds.get(n, "string"))).alias(n) for n in ERROR_FIELDS]
+    )
+    return F.coalesce(_groups(line, ERROR_LINE, ERROR_FIELDS, build), bare)
 
 
 def route_events(df: DataFrame, json_col: str = "value") -> DataFrame:
@@ -54,12 +67,12 @@ def route_events(df: DataFrame, json_col: str = "value") -> DataFrame:
 
     Goal other than "0" is a page view; goal "0" is a cart, or a purchase when an order id is present.
     """
-    e = F.from_json(F.col(json_col), EVENT_SCHEMA)
+    e = F.col("_e")
     goal = F.coalesce(e["idgoal"], F.lit("-1"))
-    kind = (
-        F.when(goal != "0", "page").when(e["ec_id"].isNull(), "cart").otherwise("purchase")
-    )
-    return df.withColumns(
+    kind = F.when(goal != "0", "page").when(e["ec_id"].isNull(), "cart").otherwise("purchase")
+    # parsed once in a step of its own, then read field by field
+    parsed = df.withColumn("_e", F.from_json(F.col(json_col), EVENT_SCHEMA))
+    return parsed.withColumns(
         {
             "kind": kind,
             "idsite": F.coalesce(e["idsite"], F.lit("0")),
@@ -70,4 +83,4 @@ def route_events(df: DataFrame, json_col: str = "value") -> DataFrame:
             "current_ts": F.coalesce(e["current_ts"], F.lit("none")),
             "items": F.when(kind != "page", F.from_json(e["ec_items"], "array<array<string>>")),
         }
-    )
+    ).drop("_e")

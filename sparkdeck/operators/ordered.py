@@ -1,6 +1,6 @@
 """Ordered operators: running values, run lengths, gap filling, quantiles, top-k, latest.
 
-A window sends one key to one task. `Walk` therefore counts rows per key first. While every key fits
+A window sends one key to one task. `Walk` therefore counts rows first, per key if need be. While every key fits
 in a task it uses plain windows. Keys above the limit are cut along the ordering column into blocks;
 each block is windowed by itself and a per-block summary, one row per block, carries the running
 state into the next block. Results are the same in both cases, and every step is a shuffle on a
@@ -50,10 +50,12 @@ class Walk:
         self.by, self.order = by, order
         self.df = df
         self.split = False
-        sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-        largest = sizes.agg(F.max("_n")).first()[0] or 0
-        if largest > max_rows:
-            self._cut(sizes, largest, max_rows)
+        # a table below the limit cannot hold a key above it
+        if df.count() > max_rows:
+            sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+            largest = sizes.agg(F.max("_n")).first()[0]
+            if largest > max_rows:
+                self._cut(sizes, largest, max_rows)
 
     def _cut(self, sizes: DataFrame, largest: int, max_rows: int) -> None:
         """Give rows of large keys a block number from 1 on, all other rows block 0."""
@@ -263,36 +265,61 @@ def latest(df, key, order) -> DataFrame:
 
 
 def quantiles(df, by, value, probs: dict[str, float], max_rows=MAX_ROWS) -> DataFrame:
-    """Exact interpolated quantiles per key, one column per entry of `probs`.
+    """Exact interpolated quantiles per key, one column per entry of `probs`; nulls and NaN left out.
 
-    Equal values are counted before the shuffle; ranks come from a running count, so a key of any
-    size is spread over many tasks. Nulls and NaN are left out.
+    A table of at most `max_rows` rows takes Spark's own exact percentile, which keeps a key's values
+    in one task. A larger table is narrowed first: an approximate quantile with a guaranteed rank
+    error gives a value range around each wanted rank, rows below the range are only counted, and the
+    few rows inside are ranked by running counts. A key of any size is spread over many tasks.
     """
     clean = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    clean = clean.select(*by, F.col(value).cast("double").alias("_v"))
+    names, shares = list(probs), [float(p) for p in probs.values()]
+    if clean.count() <= max_rows:
+        found = clean.groupBy(*by).agg(F.percentile("_v", shares).alias("_q"), F.count(F.lit(1)).alias("_n"))
+        # without keys an empty table still gives one row
+        found = found.filter(F.col("_n") > 0)
+        return found.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
     keys = by
     if not by:
         clean, keys = clean.withColumn(ALL, F.lit(0)), [ALL]
-    counts = clean.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = Walk(counts, keys, [value], max_rows).add(running={"_upto": F.col("_n")}).result()
-    totals = clean.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total")).select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], "_total"
+    margin, accuracy, whole = 0.005, 1000, 10_000
+    around = [min(max(p + d, 0.0), 1.0) for p in shares for d in (-margin, margin)]
+    near = F.percentile_approx("_v", around, accuracy)
+    ranges = clean.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_total"), F.min("_v").alias("_min"), F.max("_v").alias("_max"), near.alias("_a")
     )
+    small = F.col("_total") <= whole
+    cuts = [
+        F.struct(
+            F.lit(i).alias("i"),
+            F.when(small | (F.lit(p) <= margin), F.col("_min")).otherwise(F.col("_a")[2 * i]).alias("lo"),
+            F.when(small | (F.lit(p) >= 1 - margin), F.col("_max")).otherwise(F.col("_a")[2 * i + 1]).alias("hi"),
+        )
+        for i, p in enumerate(shares)
+    ]
+    ranges = ranges.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_total", F.array(*cuts).alias("_cuts"))
     test = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-    ranked = ranked.join(totals, test).drop(*[f"_k_{k}" for k in keys])
-    picks = []
-    for i, p in enumerate(probs.values()):
-        spot = (F.col("_total") - 1) * F.lit(float(p))
-        picks += [
-            F.min(F.when(F.col("_upto") > F.floor(spot), F.col(value))).alias(f"_lo{i}"),
-            F.min(F.when(F.col("_upto") > F.ceil(spot), F.col(value))).alias(f"_hi{i}"),
-        ]
-    picked = ranked.groupBy(*keys).agg(F.max("_total").alias("_total"), *picks)
-    out = []
-    for i, (name, p) in enumerate(probs.items()):
-        spot = (F.col("_total") - 1) * F.lit(float(p))
-        lo, hi = F.col(f"_lo{i}").cast("double"), F.col(f"_hi{i}").cast("double")
-        out.append((lo + (hi - lo) * (spot - F.floor(spot))).alias(name))
-    return picked.select(*by, *out)
+    marked = clean.join(ranges, test).select(*keys, "_v", "_total", F.explode("_cuts").alias("_c"))
+    marked = marked.select(*keys, "_v", "_total", F.col("_c.i").alias("_i"), "_c.lo", "_c.hi").filter(F.col("_v") <= F.col("hi"))
+    # rows below the range shrink to one counted row per key
+    inside = F.when(F.col("_v") >= F.col("lo"), F.col("_v"))
+    counts = marked.groupBy(*keys, "_i", inside.alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n"), F.max("_total").alias("_total")
+    )
+    ranked = Walk(counts, [*keys, "_i"], ["_v"], max_rows).add(running={"_upto": F.col("_n")}).result()
+    share = F.element_at(F.array(*[F.lit(p) for p in shares]), F.col("_i") + 1)
+    ranked = ranked.withColumn("_spot", (F.col("_total") - 1) * share)
+    picked = ranked.groupBy(*keys, "_i").agg(
+        F.min(F.when(F.col("_upto") > F.floor("_spot"), F.col("_v"))).alias("_lo"),
+        F.min(F.when(F.col("_upto") > F.ceil("_spot"), F.col("_v"))).alias("_hi"),
+        F.max("_spot").alias("_spot"),
+    )
+    exact = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_spot") - F.floor("_spot"))
+    picked = picked.withColumn("_q", exact)
+    return picked.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)]
+    ).select(*by, *names)
 
 
 def quantile_bins(df, value, probs: list[float], out="bin", max_rows=MAX_ROWS) -> DataFrame:

@@ -63,8 +63,9 @@ def mean_by_key(df: DataFrame, keys: list[str], value: str, min_count: int = 0)
     )
 
 
-def word_counts(df: DataFrame, tokens: Column) -> DataFrame:
-    words = df.select(F.explode(tokens).alias("word")).filter(F.col("word") != "")
+def word_counts(df: DataFrame, pieces: Column) -> DataFrame:
+    """Count of every word of an array column; empty pieces are dropped after the unfolding."""
+    words = df.select(F.explode(pieces).alias("word")).filter(F.col("word") != "")
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 

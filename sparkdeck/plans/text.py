@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import records, scalar, text
 from ..operators import features, ordered, search as find, similarity
 from ..operators.raster import COLOR_RAMP
+from ..session import spread
 from .registry import query
 
 STOP_WORDS = ["the", "and", "les", "des", "une", "der", "die", "das", "los", "las"]
@@ -367,7 +368,7 @@ def color_ramp(t):
 # --- similarity and search -------------------------------------------------------------------------
 
 def documents_with_tokens(t):
-    return t.documents.select("doc_id", text.clean_catalogue(F.col("text"), STOP_WORDS).alias("words"))
+    return spread(t.documents).select("doc_id", text.clean_catalogue(F.col("text"), STOP_WORDS).alias("words"))
 
 
 _TERMS = f"""tok AS (SELECT doc_id AS id, {_CATALOGUE_SQL} AS words FROM documents),

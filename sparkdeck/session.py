@@ -61,3 +61,12 @@ def stored(df: DataFrame, name: str = "stage") -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a table that arrives in fewer splits than there are cores over all cores.
+
+    For heavy per-row work on small inputs; a table with enough splits is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
