@@ -65,7 +65,7 @@ def two_stage(df: DataFrame, quantity: str, features="features", trees=20, depth
 
     Returns a scoring function and a quality figure: class accuracy times the fit of the regressor.
     """
-    flagged = df.withColumn("label", (F.col(quantity) > 0).cast("double"))
+    flagged = df.withColumn("label", (F.col(quantity) > 0).cast("double")).persist()
     classes = forest(flagged, "label", features, trees, depth, seed=seed)
     positive = flagged.filter("label = 1")
     amounts = regression_forest(positive, quantity, features, trees, depth, seed)
@@ -79,6 +79,7 @@ def two_stage(df: DataFrame, quantity: str, features="features", trees=20, depth
         return amount.withColumn("expected", expected).drop("_sold", "prediction")
 
     fit = metric(classes.transform(flagged)) * evaluate(amounts.transform(positive), quantity, "r2")
+    flagged.unpersist()
     return score, fit
 
 

@@ -11,23 +11,17 @@ from .ordered import MAX_ROWS, Walk, quantiles
 
 def summary(df: DataFrame, cols: list[str], max_rows: int = MAX_ROWS) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles per column, one row per column."""
-    parts = []
-    for c in cols:
-        probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-        base = df.agg(
-            F.lit(c).alias("name"),
-            F.count(c).alias("n"),
-            F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("std"),
-            F.min(c).cast("double").alias("min"),
-            F.max(c).cast("double").alias("max"),
-        )
-        q = quantiles(df, [], c, probs, max_rows).withColumn("name", F.lit(c))
-        parts.append(base.join(q, "name", "left"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    long = numbers.unpivot([], cols, "name", "value")
+    base = long.groupBy("name").agg(
+        F.count("value").alias("n"),
+        F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+    probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    return base.join(quantiles(long, ["name"], "value", probs, max_rows), "name", "left")
 
 
 def moments(df: DataFrame, cols: list[str]) -> DataFrame:

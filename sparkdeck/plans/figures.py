@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.scalar import right_closed
-from ..operators import features, ordered, stats
+from ..operators import features, ordered, relational as rel, stats
+from ..session import spread
 from .groups import _ITEM_MEAN, with_item_mean
 from .registry import query
 from .text import STOP_WORDS, _CATALOGUE_SQL
@@ -144,7 +145,7 @@ def categorical_detection(t):
 
 @query("l06_hashed_counts", f"SELECT doc_id, CAST(len({_CATALOGUE_SQL}) AS DOUBLE) AS total FROM documents")
 def hashed_counts(t):
-    rows = t.documents.select("doc_id", text.clean_catalogue(F.col("text"), STOP_WORDS).alias("words"))
+    rows = spread(t.documents).select("doc_id", text.clean_catalogue(F.col("text"), STOP_WORDS).alias("words"))
     from pyspark.ml.functions import vector_to_array
 
     v = vector_to_array(F.col("tf"))
@@ -160,9 +161,9 @@ def hashed_counts(t):
        GROUP BY word""",
 )
 def stop_words(t):
-    words = text.drop_stop_words(text.tokens(F.lower("text")), ["the", "and", "les", "der"])
+    words = text.drop_stop_words(F.split(F.lower("text"), r"\s+"), ["the", "and", "les", "der"])
     listed = t.part.select(F.explode(F.split("p_name", " ")).alias("word")).distinct()
-    counted = t.documents.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counted = rel.word_counts(spread(t.documents), words)
     return counted.join(listed, "word", "left_anti")
 
 

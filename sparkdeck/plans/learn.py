@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..operators import features, ordered, recommend, relational as rel, stats
 from ..operators.models import anomaly, classification as cls, clustering, regression, tuning
-from ..session import fresh_path
+from ..session import fresh_path, stored
 from ..streaming import sinks
 from ..streaming.sources import stream_files
 from .grids import ndvi
@@ -116,10 +116,12 @@ def hold_out_predictions(t):
 
 @query("m07_two_stage_demand", "SELECT count(*) AS n, true AS good FROM v_articles")
 def two_stage_demand(t):
-    rows = ordered.prior_mean(t.v_articles, ["article"], "collection", "qty", out="ref_code")
+    articles = stored(t.v_articles, "articles")
+    rows = ordered.prior_mean(articles, ["article"], "collection", "qty", out="ref_code")
     rows = ordered.prior_mean(rows, ["colour", "family", "age"], "collection", "qty", out="ref_kind")
     rows = rows.withColumn("sold", F.when(F.col("qty") > 40, F.col("qty")).otherwise(0).cast("double"))
     rows = features.assemble(rows.withColumn("year", F.col("collection").cast("double")), ["year", "age", "ref_code", "ref_kind"])
+    rows = stored(rows, "articles")
     score, fit = cls.two_stage(rows, "sold", trees=8)
     scored = score(rows)
     return scored.agg(F.count(F.lit(1)).alias("n"), (F.min("expected") >= 0).alias("good"))

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # a skewed join stays split even when an aggregate above it could have reused its partitioning
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # joins whose measured build partitions are at most this large skip the sort
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
 }
