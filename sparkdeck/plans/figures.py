@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.scalar import right_closed
-from ..operators import features, ordered, relational as rel, stats
+from ..operators import features, neighbours, ordered, relational as rel, stats
 from ..session import spread
 from .groups import _ITEM_MEAN, with_item_mean
 from .registry import query
@@ -73,6 +73,16 @@ def quartiles_by_class(t):
     return out.select("event_type", *[F.round(c, 6).alias(c) for c in ("q1", "q2", "q3")])
 
 
+@query(
+    "k06_neighbour_distances",
+    """SELECT a.event_id AS id, round(sqrt(min((a.lon - b.lon) * (a.lon - b.lon) + (a.lat - b.lat) * (a.lat - b.lat), 6)[6]), 8) AS dist
+       FROM v_points a, v_points b GROUP BY a.event_id""",
+)
+def neighbour_distances(t):
+    out = neighbours.kth_distance(t.v_points, "event_id", ["lon", "lat"], 5)
+    return out.withColumn("dist", F.round("dist", 8))
+
+
 @query(
     "k07_label_baselines",
     """SELECT round(max(n) / sum(n), 8) AS majority, round(sum(n * n) / (sum(n) * sum(n)), 8) AS shuffled,
@@ -217,6 +227,19 @@ def label_recode(t):
     return t.labels.select("doc_id", F.when(F.col("quality") == 1, 1).otherwise(0).alias("label"))
 
 
+@query(
+    "l15_oversampling",
+    """SELECT is_rare, synthetic, n FROM (SELECT true AS is_rare, false AS synthetic, count(*) AS n FROM events WHERE event_type = 'purchase'
+         UNION ALL SELECT true, true, 2 * count(*) FROM events WHERE event_type = 'purchase')""",
+)
+def oversampling(t):
+    rare = (F.col("event_type") == "purchase").cast("int").alias("rare")
+    rows = t.v_points.join(t.events.select("event_id", rare), "event_id")
+    out = neighbours.oversample(rows, "event_id", ["lon", "lat"], "rare", 1, over=2, under=1.5)
+    per = out.groupBy((F.col("rare") == 1).alias("is_rare"), "synthetic").agg(F.count(F.lit(1)).alias("n"))
+    return per.filter("is_rare")
+
+
 @query("l16_missing_marker", "SELECT event_id, coalesce(CAST(flag AS DOUBLE), -2.0) AS flag FROM v_sensor")
 def missing_marker(t):
     return t.v_sensor.select("event_id", features.missing_marker(F.col("flag").cast("double")).alias("flag"))

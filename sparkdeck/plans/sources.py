@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalar import decimal_comma
-from ..session import fresh_path, workspace
+from ..session import fresh_path
 from ..sources import connectors, files
 from .registry import query
 
@@ -61,6 +61,17 @@ def json_lines(t):
     return files.read_json(t.spark, path, t.conversations.schema).select("conv_id", "turn", "role", "text")
 
 
+@query("a09_multi_line_json", "SELECT p_partkey, p_name, p_size FROM part")
+def multi_line_json(t):
+    path = fresh_path(t.spark, "documents")
+    # one document per file, each an array of at most a thousand parts written over many lines
+    entry = F.struct("p_partkey", "p_name", "p_size")
+    chunks = t.part.groupBy(F.floor(F.col("p_partkey") / 1000)).agg(F.collect_list(entry).alias("rows"))
+    lines = chunks.select(F.to_json("rows", {"pretty": "true"}))
+    lines.write.option("maxRecordsPerFile", 1).text(path)
+    return files.read_json(t.spark, path, "p_partkey bigint, p_name string, p_size int", multi_line=True)
+
+
 @query("a10_parquet_round_trip", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def parquet_round_trip(t):
     path = fresh_path(t.spark, "parquet")
@@ -183,6 +194,3 @@ _PATHS = """
 def scene_catalog(t):
     return files.scene_catalog(t.sql(_PATHS))
 
-
-def checkpoint_folder(spark):
-    return f"{workspace(spark)}/checkpoints"

@@ -169,10 +169,9 @@ def refreshed_upsert(t):
     path, checkpoint = folders(t, "refreshed")
     stream = stream_files(t.spark, f"{t.sf_dir}/conversations*.parquet", t.conversations.schema)
     rows = stream.select(F.col("conv_id").alias("id"), F.col("turn").alias("version"), F.col("role").alias("label"))
-    state = path
     for _ in range(2):  # the second refresh finds nothing new and changes nothing
-        state = sinks.upsert_table(rows, path, checkpoint, ["id"], "version")
-    return t.spark.read.parquet(state)
+        sinks.upsert_table(rows, path, checkpoint, ["id"], "version")
+    return sinks.merged(t.spark, path, ["id"], "version")
 
 
 _RANGE = ("2024-01-05 00:00:00", "2024-01-20 00:00:00")

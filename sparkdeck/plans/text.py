@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import records, scalar, text
+from ..functions.stems import stem_tokens
 from ..operators import features, ordered, search as find, similarity
 from ..operators.raster import COLOR_RAMP
 from ..session import spread
@@ -365,6 +366,14 @@ def color_ramp(t):
     return t.v_pixels.select("x", "y", scalar.color_ramp(v, COLOR_RAMP).alias("color"))
 
 
+@query("j02_stem_counts")
+def stem_counts(t):
+    french = spread(t.documents.filter("lang = 'fr'"))
+    words = french.select("doc_id", F.explode(text.clean_catalogue(F.col("text"), STOP_WORDS)).alias("word"))
+    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return stem_tokens(counted).groupBy("stem").agg(F.sum("n").alias("n"))
+
+
 # --- similarity and search -------------------------------------------------------------------------
 
 def documents_with_tokens(t):

@@ -50,18 +50,29 @@ def current(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
-def upsert_table(stream: DataFrame, path: str, checkpoint: str, key: list[str], version: str) -> str:
-    """Merge each batch into the table by key; returns the folder of the newest state.
+def upsert_table(stream: DataFrame, path: str, checkpoint: str, key: list[str], version: str) -> None:
+    """Log of upserts: each batch keeps its newest row per key in its own folder.
 
-    Every batch writes a complete new state beside the old one, so readers never see a half-written
-    table and a replayed batch gives the same state. Where the table format offers MERGE, use that.
+    A batch only writes what it received, however large the table has grown, and a replayed batch
+    replaces its own folder. Read with `merged`, shorten with `compact`.
     """
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        state = batch if batch_id == 0 else spark.read.parquet(f"{path}/state={batch_id - 1}").unionByName(batch)
-        upsert(state.limit(0), state, key, version).write.mode("overwrite").parquet(f"{path}/state={batch_id}")
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            newest(batch, key, version).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    run_available(stream.writeStream.outputMode("append").foreachBatch(write), checkpoint)
+
+
+def newest(rows: DataFrame, key: list[str], version: str) -> DataFrame:
+    return upsert(rows.limit(0), rows, key, version)
+
+
+def merged(spark: SparkSession, path: str, key: list[str], version: str) -> DataFrame:
+    """Current state of a table written by `upsert_table`."""
+    return newest(spark.read.parquet(path).drop("batch_id"), key, version)
+
 
-    run_available(stream.writeStream.outputMode("append").foreachBatch(merge), checkpoint)
-    states = stream.sparkSession.read.parquet(path).agg(F.max("state")).first()[0]
-    return f"{path}/state={states}"
+def compact(spark: SparkSession, path: str, target: str, key: list[str], version: str) -> None:
+    """Write the current state as the first folder of a new log."""
+    merged(spark, path, key, version).write.mode("overwrite").parquet(f"{target}/batch_id=-1")

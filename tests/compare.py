@@ -48,6 +48,14 @@ def compare(df, db, sql):
     a, b = rows_of(df.columns, got), rows_of(want_names, want)
     if len(a) != len(b):
         return f"rows {len(a)} vs {len(b)}: {a[:2]} {b[:2]}"
+    kinds = [
+        (x, y)
+        for x, y in zip(a, b)
+        for p, q in zip(x, y)
+        if p is not None and q is not None and type(p) is not type(q)
+    ]
+    if kinds:
+        return f"types differ: {kinds[0]}"
     for x, y in zip(a, b):
         if x != y:
             return f"{sum(p != q for p, q in zip(a, b))} of {len(a)} differ, first {x} vs {y}"

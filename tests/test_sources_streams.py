@@ -105,8 +105,11 @@ def test_upsert_table_over_several_batches(spark):
     schema = spark.createDataFrame([], "id int, v int").schema
     for rows in ([(1, 1), (2, 1)], [(1, 3), (3, 1)], [(1, 2)]):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
-        state = sinks.upsert_table(stream_files(spark, src, schema), out, cp, ["id"], "v")
-    assert sorted(tuple(r) for r in spark.read.parquet(state).collect()) == [(1, 3), (2, 1), (3, 1)]
+        sinks.upsert_table(stream_files(spark, src, schema), out, cp, ["id"], "v")
+    want = [(1, 3), (2, 1), (3, 1)]
+    assert sorted(tuple(r) for r in sinks.merged(spark, out, ["id"], "v").collect()) == want
+    sinks.compact(spark, out, f"{out}-short", ["id"], "v")
+    assert sorted(tuple(r) for r in sinks.merged(spark, f"{out}-short", ["id"], "v").collect()) == want
 
 
 def test_site_filter_is_not_a_prefix_match(spark):
