@@ -68,3 +68,8 @@ def importances(spark, model, names: list[str]) -> DataFrame:
     return spark.createDataFrame(
         [(n, float(v)) for n, v in zip(names, model.featureImportances.toArray())], "feature string, importance double"
     )
+
+
+def tree_text(spark, model) -> DataFrame:
+    """Printed rules of a tree or forest, one row per line."""
+    return spark.createDataFrame(list(enumerate(model.toDebugString.splitlines())), "line int, text string")

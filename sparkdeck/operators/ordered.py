@@ -9,6 +9,9 @@ bounded group.
 
 from __future__ import annotations
 
+import math
+import sys
+from collections import Counter
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
@@ -21,7 +24,7 @@ ALL = "_all"
 
 
 def position(df: DataFrame, name: str) -> Column:
-    """Ordering column as a double that sorts the same way (text: by its first six bytes)."""
+    """Ordering column as a finite double that sorts the same way (text: by its first six bytes)."""
     kind = df.schema[name].dataType
     col = F.col(name)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
@@ -31,7 +34,9 @@ def position(df: DataFrame, name: str) -> Column:
     elif isinstance(kind, T.StringType):
         head = F.rpad(F.hex(F.substring(F.encode(col, "UTF-8"), 1, 6)), 12, "0")
         col = F.conv(head, 16, 10)
-    return F.coalesce(col.cast("double"), F.lit(float("-inf")))
+    number = col.cast("double")
+    number = F.when(F.isnan(number), F.lit(sys.float_info.max)).otherwise(number)
+    return F.coalesce(number, F.lit(-sys.float_info.max))
 
 
 def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
@@ -67,22 +72,28 @@ class Walk:
             reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in self.by]),
             "left",
         ).drop(*[f"_k_{c}" for c in self.by])
-        marked = marked.withColumn("_pos", position(marked, self.order[0]))
         blocks = 2 * -(-largest // max_rows)
         shares = [i / blocks for i in range(1, blocks)]
-        cuts = marked.filter(F.col("_large") & (F.col("_pos") > float("-inf"))).approxQuantile(
-            "_pos", shares, 1 / (4 * blocks)
-        )
-        edges = [float("-inf"), *sorted(set(cuts)), float("inf")]
-        bucket = Bucketizer(splits=edges, inputCol="_pos", outputCol="_bucket", handleInvalid="keep")
-        self.df = (
-            bucket.transform(marked)
-            .withColumn(
-                BLOCK,
-                F.when(F.col("_large"), F.col("_bucket").cast("int") + 1).otherwise(F.lit(0)),
-            )
-            .drop("_pos", "_bucket", "_large")
-        )
+        cutting, number = F.col("_large").isNotNull(), F.lit(0).cast("bigint")
+        marked = marked.withColumn(BLOCK, number)
+        for name in self.order:
+            marked = marked.withColumn("_pos", F.when(cutting, position(marked, name)))
+            cuts = marked.filter(cutting).approxQuantile("_pos", shares, 1 / (4 * blocks))
+            # a value that fills several shares gets a block of its own, to be cut by the next column
+            heavy = sorted(v for v, n in Counter(cuts).items() if n > 1)
+            inner = {*cuts, *(math.nextafter(v, math.inf) for v in heavy)}
+            edges = [-math.inf, *sorted(v for v in inner if math.isfinite(v)), math.inf]
+            bucket = Bucketizer(splits=edges, inputCol="_pos", outputCol="_bucket")
+            marked = bucket.transform(marked.withColumn("_pos", F.coalesce("_pos", F.lit(0.0))))
+            step = F.when(cutting, F.col("_bucket").cast("bigint")).otherwise(0)
+            marked = marked.withColumn(BLOCK, F.col(BLOCK) * len(edges) + step)
+            marked = marked.withColumn("_in", cutting & F.col("_pos").isin(heavy)).drop("_bucket")
+            cutting = F.col("_in")
+            if not heavy:
+                break
+        # rows of large keys from 1 on
+        block = F.when(F.col("_large"), F.col(BLOCK) + 1).otherwise(F.lit(0))
+        self.df = marked.withColumn(BLOCK, block).drop("_pos", "_in", "_large")
         self.split = True
         self.added.append(BLOCK)
 

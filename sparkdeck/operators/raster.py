@@ -6,7 +6,6 @@ No-data is NULL (use `nan_to_null` at ingest); arithmetic and aggregates then sk
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.window import Window
 
 from ..functions.scalar import clamp_rescale, right_closed
 from .ordered import MAX_ROWS, quantiles
@@ -213,9 +212,3 @@ def overlay(image: DataFrame, labels: DataFrame, value: str, label: str, out: st
     """Label where it is positive, image value elsewhere."""
     joined = image.join(labels.select("x", "y", label), ["x", "y"], "left")
     return joined.withColumn(out, F.when(F.col(label) > 0, F.col(label)).otherwise(F.col(value)))
-
-
-def rank_in_tile(df: DataFrame, value: str, k: int, by: list[str] | None = None) -> DataFrame:
-    by = by or TILE
-    w = Window.partitionBy(*by).orderBy(F.col(value).desc(), "x", "y")
-    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import haversine
 from ..operators import ordered, raster, series, spatial, stats
-from ..session import spread
+from ..session import spread, stored
 from .registry import query
 
 NDVI = "SELECT *, CASE WHEN nir + red <> 0 THEN (nir - red) / (nir + red) END AS ndvi FROM v_pixels"
@@ -204,11 +204,12 @@ def label_write_back(t):
 
 @query(
     "o20_training_pixels",
-    """SELECT a.x, a.y, a.red AS red_1, a.nir AS nir_1, b.red AS red_2, b.nir AS nir_2, (a.x + a.y) % 5 AS label
-       FROM v_pixels a JOIN v_pixels2 b ON a.x = b.x AND a.y = b.y WHERE (a.x + a.y) % 5 > 0""",
+    """SELECT a.x, a.y, a.red AS red_1, a.nir AS nir_1, b.red AS red_2, b.nir AS nir_2,
+              CAST(floor(a.red / 2500) AS BIGINT) AS label
+       FROM v_pixels a JOIN v_pixels2 b ON a.x = b.x AND a.y = b.y WHERE floor(a.red / 2500) > 0""",
 )
 def training_pixels(t):
-    a = t.v_pixels.withColumn("label", (F.col("x") + F.col("y")) % 5).filter("label > 0")
+    a = t.v_pixels.withColumn("label", F.floor(F.col("red") / 2500)).filter("label > 0")
     first = a.select("x", "y", F.col("red").alias("red_1"), F.col("nir").alias("nir_1"), "label")
     second = t.v_pixels2.select("x", "y", F.col("red").alias("red_2"), F.col("nir").alias("nir_2"))
     return first.join(second, ["x", "y"])
@@ -388,7 +389,7 @@ _KEPT = f"""SELECT d FROM ({_GAPS}) WHERE missing < floor(0.6 * (SELECT count(DI
     f"SELECT parcel, strftime(d, '%Y-%m-%d') AS day, v FROM v_series WHERE d IN ({_KEPT})",
 )
 def drop_sparse_dates(t):
-    out = series.drop_sparse_dates(t.v_series, "parcel", "d", "v", 0.6)
+    out = series.drop_sparse_dates(stored(t.v_series, "series"), "parcel", "d", "v", 0.6)
     return out.select("parcel", F.date_format("d", "yyyy-MM-dd").alias("day"), "v")
 
 
@@ -407,7 +408,7 @@ def _fill_sql(x):
 
 
 def _filled(t, by_time):
-    kept = series.drop_sparse_dates(t.v_series, "parcel", "d", "v", 0.6)
+    kept = stored(series.drop_sparse_dates(stored(t.v_series, "series"), "parcel", "d", "v", 0.6), "kept")
     full = series.complete(kept, "parcel", "d")
     out = ordered.interpolate(full, ["parcel"], "d", "v", by_time=by_time)
     return out.select("parcel", F.date_format("d", "yyyy-MM-dd").alias("day"), F.round("v", 5).alias("v"))

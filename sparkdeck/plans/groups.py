@@ -313,12 +313,10 @@ def latest_per_key(t):
 
 @query(
     "f01_sort_with_nulls_first",
-    """SELECT event_id, flag, row_number() OVER (ORDER BY flag ASC NULLS FIRST, event_id) AS pos FROM v_sensor
-       ORDER BY pos LIMIT 2000""",
+    "SELECT event_id, flag, row_number() OVER (ORDER BY flag ASC NULLS FIRST, event_id) AS pos FROM v_sensor",
 )
 def sort_with_nulls_first(t):
-    top = t.v_sensor.orderBy(F.col("flag").asc(), "event_id").limit(2000).select("event_id", "flag")
-    return ordered.row_index(top, [], ["flag", "event_id"], "pos")
+    return ordered.row_index(t.v_sensor.select("event_id", "flag"), [], ["flag", "event_id"], "pos")
 
 
 @query(
@@ -347,9 +345,10 @@ def sorted_list_per_key(t):
 
 @query(
     "f05_numbers_held_as_text",
-    """SELECT k, n FROM (SELECT CAST(user_id AS VARCHAR) AS k, count(*) AS n FROM events GROUP BY 1)
-       ORDER BY CAST(k AS BIGINT) LIMIT 40""",
+    """SELECT k, n, row_number() OVER (ORDER BY CAST(k AS BIGINT)) AS pos
+       FROM (SELECT CAST(user_id AS VARCHAR) AS k, count(*) AS n FROM events GROUP BY 1)""",
 )
 def numbers_held_as_text(t):
     n = t.events.groupBy(F.col("user_id").cast("string").alias("k")).agg(rows_n())
-    return n.orderBy(F.col("k").cast("bigint")).limit(40)
+    numbered = n.withColumn("_number", F.col("k").cast("bigint"))
+    return ordered.row_index(numbered, [], ["_number"], "pos").drop("_number")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import relational as rel
 from ..operators.ordered import covered, prior_mean
 from ..operators.spatial import distances_to
+from ..session import stored
 from .registry import query
 
 
@@ -148,13 +149,13 @@ def _prior_sql(keys, out):
 
 @query("c13_prior_mean_by_code", _prior_sql(["article"], "ref"))
 def prior_mean_by_code(t):
-    out = prior_mean(t.v_articles, ["article"], "collection", "qty", out="ref")
+    out = prior_mean(stored(t.v_articles, "articles"), ["article"], "collection", "qty", out="ref")
     return out.withColumn("ref", F.round("ref", 6)).drop("qty")
 
 
 @query("c14_prior_mean_by_attributes", _prior_sql(["colour", "family", "age"], "ref"))
 def prior_mean_by_attributes(t):
-    out = prior_mean(t.v_articles, ["colour", "family", "age"], "collection", "qty", out="ref")
+    out = prior_mean(stored(t.v_articles, "articles"), ["colour", "family", "age"], "collection", "qty", out="ref")
     return out.withColumn("ref", F.round("ref", 6)).drop("qty")
 
 
@@ -184,7 +185,7 @@ def union_of_bands(t):
     parts = [
         p.select("x", F.lit("B4").alias("band"), F.col("red").alias("value")),
         p.select("x", F.lit("B5").alias("band"), F.col("nir").alias("value")),
-        p.filter(F.col("x") % 31 != 0).select("x", F.lit("B3").alias("band"), third.alias("value")),
+        p.select("x", F.lit("B3").alias("band"), third.alias("value")),
     ]
     return rel.union_all(parts).groupBy("band").agg(
         F.count(F.lit(1)).alias("n"), F.sum("value").cast("bigint").alias("total")

@@ -190,6 +190,12 @@ def feature_importances(t):
     return tuning.importances(t.spark, cls.forest(rows, trees=8, depth=4), ["l_quantity", "l_tax", "l_discount"])
 
 
+@query("m21_tree_rules")
+def tree_rules(t):
+    rows = features.assemble(t.part.withColumn("label", (F.col("p_size") > 25).cast("double")), ["p_retailprice", "p_partkey"])
+    return tuning.tree_text(t.spark, cls.tree(rows, depth=3))
+
+
 @query("m22_learning_curve")
 def learning_curve(t):
     train, test = halves(t)
@@ -337,9 +343,9 @@ def density_clusters(t):
 
 @query("m23_isolation_scores", "SELECT count(*) AS n, true AS in_range FROM events")
 def isolation_scores(t):
-    rows = t.events.select("event_id", "value", (F.col("user_id") % 17).alias("slot"))
-    forest = anomaly.isolation_forest(rows, "event_id", ["value", "slot"], trees=25)
-    scored = anomaly.isolation_scores(rows, ["value", "slot"], forest)
+    rows = t.events.select("event_id", "value", F.col("user_id").alias("user"))
+    forest = anomaly.isolation_forest(rows, "event_id", ["value", "user"], trees=25)
+    scored = anomaly.isolation_scores(rows, ["value", "user"], forest)
     return scored.agg(
         F.count(F.lit(1)).alias("n"), ((F.min("score") > 0) & (F.max("score") <= 1)).alias("in_range")
     )
@@ -398,14 +404,14 @@ def items_for_all_users(t):
     return best.groupBy(F.col("user_id").cast("bigint").alias("user_id")).agg(F.count_distinct("item_id").alias("n"))
 
 
-_STOCK = "SELECT CAST(p_partkey AS VARCHAR) AS pid, p_partkey * 3 + 1 AS \"index\" FROM part WHERE p_size % 3 <> 0"
+_STOCK = "SELECT CAST(p_partkey AS VARCHAR) AS pid, p_partkey * 3 + 1 AS \"index\" FROM part WHERE p_size > 10"
 _SCORES = f"""SELECT o.uid, s."index", CAST(c.score AS DOUBLE) AS score FROM v_clicks c JOIN ({_STOCK}) s USING (pid)
     JOIN (SELECT vid, arg_max(uid, vts_last) AS uid FROM v_clicks WHERE uid <> '0' GROUP BY vid) o USING (vid)
     WHERE vts_last > TIMESTAMP '2024-01-10 00:00:00'"""
 
 
 def stock(t):
-    return t.part.filter("p_size % 3 <> 0").select(
+    return t.part.filter("p_size > 10").select(
         F.col("p_partkey").cast("string").alias("pid"), (F.col("p_partkey") * 3 + 1).alias("index")
     )
 
@@ -425,7 +431,7 @@ def newsletter(t):
     ratings = scores.groupBy("uid", "index").agg(F.max("score").alias("score"))
     model = recommend.train(ratings, rank=6, iters=4, user="uid", item="index", rating="score")
     offered = recommend.recommend(model, 20, user="uid", item="index").drop("rank")
-    emails = t.customer.filter("c_custkey % 5 <> 0").select(
+    emails = t.customer.filter("c_acctbal > 0").select(
         F.col("c_custkey").alias("id"), F.concat(F.lower("c_name"), F.lit("@a.org")).alias("email")
     )
     return recommend.newsletter(scores, offered, emails, stock(t), 5)

@@ -38,8 +38,7 @@ VIEWS = {
     "v_bands": """
         SELECT 's1' AS scene, x, y, 'B4' AS band, red AS value FROM v_pixels UNION ALL
         SELECT 's1', x, y, 'B5', nir FROM v_pixels UNION ALL
-        SELECT 's1', x, y, 'B3', CAST(CAST(red + nir AS BIGINT) % 10007 AS DOUBLE) FROM v_pixels
-        WHERE x % 31 <> 0""",
+        SELECT 's1', x, y, 'B3', CAST(CAST(red + nir AS BIGINT) % 10007 AS DOUBLE) FROM v_pixels""",
     "v_points": """
         SELECT event_id, -116 + CAST((event_id * 7919) % 1000 AS DOUBLE) / 100 AS lon,
                30 + CAST((event_id * 104729) % 701 AS DOUBLE) / 100 AS lat FROM events""",

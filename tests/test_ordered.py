@@ -50,6 +50,16 @@ def test_cut_keys_with_null_key_and_text_order(spark):
     same(lambda m: ordered.row_index(df, ["k"], ["o"], max_rows=m))
 
 
+def test_order_column_with_few_values_is_cut_by_the_next(spark):
+    rows = [(None if i % 3 == 0 else float(i % 2), float("nan") if i % 7 == 0 else 1.0, i, float(i)) for i in range(600)]
+    df = spark.createDataFrame(rows, "a double, b double, i int, v double")
+    same(lambda m: ordered.row_index(df.select("a", "b", "i"), [], ["a", "b", "i"], max_rows=m).drop("b"))
+    same(lambda m: ordered.running_sum(df, [], ["a", "i"], "v", "t", max_rows=m).drop("b"))
+    walk = ordered.Walk(df, [], ["a", "i"], 20)
+    largest = walk.df.groupBy(ordered.BLOCK).count().agg(F.max("count")).first()[0]
+    assert largest <= 40
+
+
 def test_run_length_by_hand(spark):
     states = ["a", "a", "b", "b", "b", None, "b", "b"]
     df = spark.createDataFrame([(1, i, s) for i, s in enumerate(states)], "k int, t int, s string")
