@@ -47,7 +47,7 @@ def isolation_forest(df: DataFrame, id_col: str, cols: list[str], trees: int = 5
     total = df.count()
     rate = min(1.0, 4.0 * sample / max(total, 1))
     def place(tree):
-        return F.pmod(F.xxhash64(F.col(id_col), tree, F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+        return F.pmod(F.xxhash64(F.col(id_col), tree, F.lit(seed)), F.lit(1 << 52)) / F.lit(float(1 << 52))
 
     # a row unfolds only for the trees that draw it
     drawing = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: place(tree) < rate)

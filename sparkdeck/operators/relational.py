@@ -30,7 +30,7 @@ def fill_by_type(df: DataFrame, number=0, text="-") -> DataFrame:
 
 def hash_unit(key: Column, seed: int = 0) -> Column:
     """Number in [0, 1) that depends on the key alone, not on the partitioning."""
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1_000_000)) / F.lit(1_000_000.0)
+    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 52)) / F.lit(float(1 << 52))
 
 
 def split_by_hash(df: DataFrame, key: str, weights: list[float], seed: int = 0) -> list[DataFrame]:

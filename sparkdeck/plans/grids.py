@@ -45,32 +45,31 @@ def double_with_nodata(t):
     return raster.to_double(cells, ["red"], 0)
 
 
-@query("o04_normalised_difference", f"SELECT x, y, round(ndvi, 8) AS ndvi FROM ({NDVI})")
+@query("o04_normalised_difference", f"SELECT x, y, ndvi FROM ({NDVI})")
 def normalised_difference(t):
-    return ndvi(t.v_pixels).select("x", "y", F.round("ndvi", 8).alias("ndvi"))
+    return ndvi(t.v_pixels).select("x", "y", "ndvi")
 
 
 @query(
     "o05_other_band_pairs",
-    """SELECT x, y, round(CASE WHEN "B3" + "B4" <> 0 THEN ("B3" - "B4") / ("B3" + "B4") END, 8) AS grvi,
-              round(CASE WHEN "B3" + "B5" <> 0 THEN ("B3" - "B5") / ("B3" + "B5") END, 8) AS ndwi FROM (
+    """SELECT x, y, CASE WHEN "B3" + "B4" <> 0 THEN ("B3" - "B4") / ("B3" + "B4") END AS grvi,
+              CASE WHEN "B3" + "B5" <> 0 THEN ("B3" - "B5") / ("B3" + "B5") END AS ndwi FROM (
          SELECT x, y, max(CASE WHEN band = 'B3' THEN value END) AS "B3", max(CASE WHEN band = 'B4' THEN value END) AS "B4",
                 max(CASE WHEN band = 'B5' THEN value END) AS "B5" FROM v_bands GROUP BY x, y)""",
 )
 def other_band_pairs(t):
     cells = raster.assemble_bands(t.v_bands, ["B3", "B4", "B5"])
     out = raster.normalized_difference(raster.normalized_difference(cells, "B3", "B4", "grvi"), "B3", "B5", "ndwi")
-    return out.select("x", "y", F.round("grvi", 8).alias("grvi"), F.round("ndwi", 8).alias("ndwi"))
+    return out.select("x", "y", "grvi", "ndwi")
 
 
 @query(
     "o06_two_date_difference",
-    f"""SELECT a.x, a.y, round(CASE WHEN a.ndvi < 0 THEN -99 ELSE a.ndvi END - b.ndvi, 8) AS diff
+    f"""SELECT a.x, a.y, CASE WHEN a.ndvi < 0 THEN -99 ELSE a.ndvi END - b.ndvi AS diff
         FROM ({NDVI2}) a JOIN ({NDVI}) b ON a.x = b.x AND a.y = b.y""",
 )
 def two_date_difference(t):
-    out = raster.raster_diff(ndvi(t.v_pixels2), ndvi(t.v_pixels), "ndvi")
-    return out.withColumn("diff", F.round("diff", 8))
+    return raster.raster_diff(ndvi(t.v_pixels2), ndvi(t.v_pixels), "ndvi")
 
 
 @query(
@@ -232,13 +231,13 @@ def median_filter(t):
 
 @query(
     "o23_cap_at_one",
-    """SELECT x, y, CASE WHEN v > 1 THEN 1 ELSE round(v, 8) END AS v FROM
+    """SELECT x, y, CASE WHEN v > 1 THEN 1 ELSE v END AS v FROM
        (SELECT x, y, CASE WHEN nir + red - 9000 <> 0 THEN (nir - red + 9000) / (nir + red - 9000) END AS v FROM v_pixels)""",
 )
 def cap_at_one(t):
     # a shifted red band takes the index beyond 1
     cells = t.v_pixels.select("x", "y", "nir", (F.col("red") - 9000).alias("red"))
-    return ndvi(cells, cap=1.0).select("x", "y", F.round("ndvi", 8).alias("v"))
+    return ndvi(cells, cap=1.0).select("x", "y", F.col("ndvi").alias("v"))
 
 
 @query(
@@ -404,14 +403,14 @@ def _fill_sql(x):
           WINDOW before AS (PARTITION BY parcel ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
                  after AS (PARTITION BY parcel ORDER BY d ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
       SELECT parcel, strftime(d, '%Y-%m-%d') AS day, round(CASE WHEN v IS NOT NULL THEN v WHEN v0 IS NULL THEN NULL
-        WHEN v1 IS NULL THEN v0 ELSE v0 + (v1 - v0) * (x - x0) / (x1 - x0) END, 5) AS v FROM marked"""
+        WHEN v1 IS NULL THEN v0 ELSE v0 + (v1 - v0) * (x - x0) / (x1 - x0) END, 9) AS v FROM marked"""
 
 
 def _filled(t, by_time):
     kept = stored(series.drop_sparse_dates(stored(t.v_series, "series"), "parcel", "d", "v", 0.6), "kept")
     full = series.complete(kept, "parcel", "d")
     out = ordered.interpolate(full, ["parcel"], "d", "v", by_time=by_time)
-    return out.select("parcel", F.date_format("d", "yyyy-MM-dd").alias("day"), F.round("v", 5).alias("v"))
+    return out.select("parcel", F.date_format("d", "yyyy-MM-dd").alias("day"), F.round("v", 9).alias("v"))
 
 
 @query("q03_interpolate_rows", _fill_sql("row_number() OVER (PARTITION BY grid.parcel ORDER BY grid.d)"))

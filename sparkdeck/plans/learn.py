@@ -114,6 +114,16 @@ def hold_out_predictions(t):
     return cls.forest(train, trees=20, depth=8).transform(test).select("vec_id", "label", "prediction")
 
 
+@query(
+    "b24_label_with_prediction",
+    "SELECT label, count(*) AS n FROM (SELECT CAST(label AS DOUBLE) AS label FROM embeddings) GROUP BY label",
+)
+def label_with_prediction(t):
+    rows = vectors(t)
+    scored = cls.tree(rows, depth=4).transform(rows)  # label and prediction stay in one row
+    return scored.filter("prediction IS NOT NULL").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("m07_two_stage_demand", "SELECT count(*) AS n, true AS good FROM v_articles")
 def two_stage_demand(t):
     articles = stored(t.v_articles, "articles")
@@ -265,12 +275,13 @@ def kmeans(t):
     return nearest(rows, clustering.kmeans(rows, 3))
 
 
-@query("m10_within_set_error", "SELECT count(*) AS n, true AS same FROM embeddings")
+@query("m10_within_set_error", "SELECT count(*) AS n, true AS not_above FROM embeddings")
 def within_set_error(t):
     rows = vectors(t)
     model = clustering.kmeans(rows, 5)
     cost = float(model.summary.trainingCost)
-    return clustering.wssse(rows, model).select("n", (F.abs(F.col("wssse") - cost) < 1e-6 * cost).alias("same"))
+    # the training figure belongs to the centres before the last step, which can only lower it
+    return clustering.wssse(rows, model).select("n", (F.col("wssse") <= cost * (1 + 1e-9)).alias("not_above"))
 
 
 @query("m11_elbow")

@@ -193,12 +193,12 @@ def math(t):
 
 @query(
     "h19_nan_sentinel",
-    "SELECT x, y, coalesce(CASE WHEN red + nir <> 0 THEN round(nir / (red + nir), 8) END, -2147483648.0) AS v FROM v_pixels",
+    "SELECT x, y, coalesce(CASE WHEN red + nir <> 0 THEN nir / (red + nir) END, -2147483648.0) AS v FROM v_pixels",
 )
 def nan_sentinel(t):
     total = F.col("red") + F.col("nir")
     share = F.when(total != 0, F.col("nir") / total).otherwise(F.lit(float("nan")))
-    filled = F.coalesce(F.round(scalar.nan_to_null(share), 8), F.lit(-2147483648.0))
+    filled = F.coalesce(scalar.nan_to_null(share), F.lit(-2147483648.0))
     return t.v_pixels.select("x", "y", filled.alias("v"))
 
 
