@@ -291,7 +291,7 @@ def access_log(t):
 
 
 _ERROR_LINES = """SELECT event_id, CASE WHEN event_id % 6 = 0 THEN CONCAT('AH', CAST(event_id AS STRING), ': no brackets')
-    ELSE CONCAT('[Mon Nov 23 09:29:45.216141 2015] [', event_type, ':notice] [pid ', CAST(user_id AS STRING), '] AH',
+    ELSE CONCAT('[Sun Mar 03 21:05:09.000407 2024] [', event_type, ':notice] [pid ', CAST(user_id AS STRING), '] AH',
                 CAST(event_id AS STRING), ': caught [', event_type, '] down') END AS line FROM events"""
 
 
@@ -303,7 +303,7 @@ _ERROR_LINES = """SELECT event_id, CASE WHEN event_id % 6 = 0 THEN CONCAT('AH',
               CASE WHEN event_id % 6 <> 0 THEN 'AH' || event_id END AS code,
               CASE WHEN event_id % 6 <> 0 THEN 'caught [' || event_type || '] down' ELSE 'AH' || event_id || ': no brackets' END
                 AS message,
-              CASE WHEN event_id % 6 <> 0 THEN 1448270985216141 END AS micros FROM events""",
+              CASE WHEN event_id % 6 <> 0 THEN 1709499909000407 END AS micros FROM events""",
 )
 def error_log(t):
     parsed = t.sql(_ERROR_LINES).select("event_id", records.parse_error_log(F.col("line")).alias("f"))
