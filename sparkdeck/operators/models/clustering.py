@@ -149,26 +149,30 @@ def _named(boxes, prefix):
     return [F.col(m).alias(prefix + m) for m in _members(n)]
 
 
-def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(node, root): smallest node of each connected part.
 
-    Every round takes the smallest root around a node and then jumps to that root's root, so chains
-    shorten fast; each round is written out, so a lost executor replays one round only.
+    Alternating star steps (published for map-reduce): first every node hands its larger neighbours to
+    the smallest node it knows, then its smaller ones. Edges turn into stars around the smallest node in
+    a number of rounds that grows with the logarithm of the graph. Each step is an aggregate and a join
+    with one row per node, and each round is written out, so a lost executor replays one round only.
     """
-    both = stored(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))), "edges")
-    state = stored(nodes.select(F.col("node"), F.col("node").alias("root")), "roots")
+    links = edges.filter(F.col("a") != F.col("b"))
+    links = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     for _ in range(max_rounds):
-        around = (
-            both.join(state.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("_r"))
-        )
-        merged = state.join(around, "node", "left").select(
-            "node", F.col("root").alias("_old"), F.least("root", F.coalesce("_r", "root")).alias("root")
-        )
-        jump = state.select(F.col("node").alias("root"), F.col("root").alias("_j"))
-        new = stored(merged.join(jump, "root", "left").select("node", "_old", F.least("root", F.coalesce("_j", "root")).alias("root")), "roots")
-        if new.filter(F.col("root") != F.col("_old")).isEmpty():
-            return new.select("node", "root")
-        state = new.select("node", "root")
+        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        lowest = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # larger neighbours are hung on the smallest node around
+        large = both.join(lowest, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = large.distinct()
+        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+        # smaller neighbours follow, and the node itself
+        moved = large.join(lowest, "u").filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        new = stored(moved.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct(), "links")
+        if new.count() == links.count() and new.join(links, ["u", "v"], "left_anti").isEmpty():
+            roots = new.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            return nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+        links = new
     raise RuntimeError("components did not settle")
 
 

@@ -222,6 +222,22 @@ def principal_components(t):
     return rows.select("l_orderkey", "l_linenumber", *[F.round(v[i], 4).alias(f"c{i + 1}") for i in range(3)])
 
 
+@query("l11_component_variances", "SELECT count(*) AS n, true AS centred, true AS falling, true AS uncorrelated FROM lineitem")
+def component_variances(t):
+    _, rows = features.pca(t.lineitem, COLS, 3)
+    from pyspark.ml.functions import vector_to_array
+
+    v = vector_to_array("components")
+    c = rows.select(*[v[i].alias(f"c{i}") for i in range(3)])
+    spread_of = [F.var_samp(f"c{i}") for i in range(3)]
+    return c.agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.abs(F.avg("c0")) + F.abs(F.avg("c1")) + F.abs(F.avg("c2")) < 1e-6).alias("centred"),
+        ((spread_of[0] >= spread_of[1]) & (spread_of[1] >= spread_of[2])).alias("falling"),
+        (F.abs(F.corr("c0", "c1")) + F.abs(F.corr("c1", "c2")) < 1e-6).alias("uncorrelated"),
+    )
+
+
 @query("l13_label_recode", "SELECT doc_id, CASE WHEN quality = 1 THEN 1 ELSE 0 END AS label FROM labels")
 def label_recode(t):
     return t.labels.select("doc_id", F.when(F.col("quality") == 1, 1).otherwise(0).alias("label"))

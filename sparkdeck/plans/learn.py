@@ -290,6 +290,13 @@ def elbow(t):
     return table.select("k", F.round("wssse", 4).alias("wssse"))
 
 
+@query("m11_elbow_falls", "SELECT 3::BIGINT AS n, true AS falls FROM (SELECT count(*) FROM embeddings)")
+def elbow_falls(t):
+    _, table = clustering.sweep(vectors(t), [12, 2, 5])
+    cost = {k: F.max(F.when(F.col("k") == k, F.col("wssse"))) for k in (2, 5, 12)}
+    return table.agg(F.count(F.lit(1)).alias("n"), ((cost[2] > cost[5]) & (cost[5] > cost[12])).alias("falls"))
+
+
 @query("m12_segment_kmeans", "SELECT count(*) AS n, 0::BIGINT AS not_nearest FROM (SELECT DISTINCT tile_col, tile_row FROM v_pixels)")
 def segment_kmeans(t):
     from ..operators.raster import segment_features
@@ -388,6 +395,16 @@ def factor_model(t):
     return model.transform(t.v_ratings).select("user_id", "item_id", F.round("prediction", 3).alias("prediction"))
 
 
+@query("n01_known_pairs_predicted", "SELECT count(*) AS n, true AS fits FROM v_ratings")
+def known_pairs_predicted(t):
+    ratings = stored(t.v_ratings, "ratings")
+    fitted = recommend.train(ratings, rank=8, iters=5).transform(ratings)
+    spread_of = F.stddev_pop("rating")
+    error = F.sqrt(F.avg(F.pow(F.col("rating") - F.col("prediction"), 2)))
+    # a fitted model explains more than the overall mean does
+    return fitted.agg(F.count("prediction").alias("n"), (error < spread_of).alias("fits"))
+
+
 @query("n02_rank_selection")
 def rank_selection(t):
     train, valid = rating_parts(t)
@@ -438,14 +455,38 @@ def recent_scores(t):
 
 @query("n06_newsletter")
 def newsletter(t):
-    scores = click_scores(t)
+    return newsletter_rows(t)[1]
+
+
+@query(
+    "n06_newsletter_rules",
+    "SELECT 0::BIGINT AS bought, 0::BIGINT AS too_many, 0::BIGINT AS unknown_address, 0::BIGINT AS out_of_stock",
+)
+def newsletter_rules(t):
+    scores, rows = newsletter_rows(t)
+    named = rows.withColumn("uid", F.col("uid").cast("string"))
+    done = scores.filter("score = 4").join(stock(t), "index").select("uid", "pid").distinct()
+    per_user = named.groupBy("uid").agg(F.count(F.lit(1)).alias("n"))
+    known = t.customer.select(F.concat(F.lower("c_name"), F.lit("@a.org")).alias("email"))
+    broken = {
+        "bought": named.join(done, ["uid", "pid"], "left_semi"),
+        "too_many": per_user.filter("n > 5"),
+        "unknown_address": named.join(known, "email", "left_anti"),
+        "out_of_stock": named.join(stock(t), "pid", "left_anti"),
+    }
+    tagged = rel.union_all([d.select(F.lit(name).alias("rule")) for name, d in broken.items()])
+    return tagged.agg(*[F.count(F.when(F.col("rule") == name, 1)).alias(name) for name in broken])
+
+
+def newsletter_rows(t):
+    scores = stored(click_scores(t), "scores")
     ratings = scores.groupBy("uid", "index").agg(F.max("score").alias("score"))
     model = recommend.train(ratings, rank=6, iters=4, user="uid", item="index", rating="score")
     offered = recommend.recommend(model, 20, user="uid", item="index").drop("rank")
     emails = t.customer.filter("c_acctbal > 0").select(
         F.col("c_custkey").alias("id"), F.concat(F.lower("c_name"), F.lit("@a.org")).alias("email")
     )
-    return recommend.newsletter(scores, offered, emails, stock(t), 5)
+    return scores, stored(recommend.newsletter(scores, offered, emails, stock(t), 5), "newsletter")
 
 
 _DIFFICULTY = """SELECT f[5] AS question, f[7] AS level, avg(CAST(f[4] AS DOUBLE)) AS mean, count(*) AS n FROM

@@ -181,6 +181,16 @@ def subsample(t):
     return rel.sample_by_hash(t.lineitem, "l_orderkey", 0.1, seed=3).select("l_orderkey", "l_partkey", "l_quantity")
 
 
+@query("b21_subsample_share", "SELECT count(*) AS n, true AS near_rate, true AS nested FROM lineitem")
+def subsample_share(t):
+    rows = t.lineitem.select("l_orderkey")
+    small, large = (rel.sample_by_hash(rows, "l_orderkey", r, seed=3) for r in (0.2, 0.5))
+    tagged = rel.union_all([d.withColumn("part", F.lit(i)) for i, d in enumerate((rows, small, large, small.join(large.distinct(), "l_orderkey", "left_semi")))])
+    n = [F.count(F.when(F.col("part") == i, 1)) for i in range(4)]
+    near = (n[1] / n[0]).between(0.15, 0.25) & (n[2] / n[0]).between(0.45, 0.55)
+    return tagged.agg(n[0].alias("n"), near.alias("near_rate"), (n[1] == n[3]).alias("nested"))
+
+
 @query(
     "b22_hold_out_groups",
     """SELECT lang, sum(CASE WHEN source IN ('src0', 'src1') THEN 0 ELSE 1 END)::BIGINT AS train,

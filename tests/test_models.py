@@ -98,6 +98,15 @@ def test_density_clusters_with_a_hot_spot_and_a_near_miss(spark):
     check_density(spark, points, 1.0, 4)
 
 
+def test_components_of_a_long_shuffled_chain(spark):
+    names = list(range(500))
+    random.Random(8).shuffle(names)
+    edges = spark.createDataFrame([(min(a, b), max(a, b)) for a, b in zip(names, names[1:]) if names.index(a) != 299], "a int, b int")
+    out = clustering.components(spark.range(500).selectExpr("cast(id as int) node"), edges, max_rounds=25)
+    want = {n: min(names[:300]) for n in names[:300]} | {n: min(names[300:]) for n in names[300:]}
+    assert {r.node: r.root for r in out.collect()} == want
+
+
 def test_isolation_ranks_planted_outliers_first(spark):
     rng = random.Random(5)
     rows = [(i, rng.gauss(0, 1), rng.gauss(0, 1)) for i in range(600)] + [(600 + i, 9.0 + i, -9.0) for i in range(4)]
