@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import shuffle_width, stored
+from ..session import stored
 
 #: turns rendered into one row
 PART = 1000
@@ -44,7 +44,7 @@ def positions(turns: DataFrame, conv_col: str, turn_col: str, role_col: str, tex
         F.col(text_col).cast("string").alias("text"),
     )
     rows = rows.withColumn("content", F.xxhash64("role", "text", F.col("text").isNull()))
-    ranged = rows.repartitionByRange(shuffle_width(turns.sparkSession), "conv", "turn", "role", "content")
+    ranged = rows.repartitionByRange("conv", "turn", "role", "content")
     blocks = stored(ranged.withColumn("block", F.spark_partition_id()), "turns")
     inside = W.partitionBy("conv", "block").orderBy(*_ORDER)
     sizes = blocks.groupBy("conv", "block").count()

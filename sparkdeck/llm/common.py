@@ -6,12 +6,9 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-#: ASCII white space: \x20 and \x09 to \x0D
-BLANKS = " \t\n\x0b\x0c\r"
-
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -83,8 +80,3 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             break
         root = new[root]
     return root
-
-
-def filtered(docs: DataFrame, dropped: DataFrame, id_col: str) -> DataFrame:
-    """Rows of `docs` whose id is not in `dropped` (column `__id`); a null id counts as a value."""
-    return docs.join(dropped, docs[id_col].eqNullSafe(dropped["__id"]), "left_anti")

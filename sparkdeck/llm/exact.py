@@ -23,7 +23,6 @@ whole texts move once, only in the byte check.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -32,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .common import BLANKS, text_of
+from .common import text_of
 
 #: distinct digests of a bucket: bounds what one task takes at a time
 BUCKET = 2048
@@ -198,7 +197,7 @@ def _byte_check(docs: DataFrame, id_col: str, text_col: str, keyed: DataFrame, g
     several = groups.filter("rows > 1").select("digest", F.col("best.id").alias("stands"))
     members = keyed.select("id", "digest", "n_chars").join(several, "digest")
     texts = docs.select(F.col(id_col).cast("long").alias("tid"), normal_text(text_of(text_col)).alias("text"))
-    rows = members.join(texts, members["id"].eqNullSafe(texts["tid"])).filter(F.sha2("text", 256) == F.col("digest"))
+    rows = members.hint("merge").join(texts, members["id"].eqNullSafe(texts["tid"])).filter(F.sha2("text", 256) == F.col("digest"))
     rows = stored(rows.select("id", "digest", "text", "n_chars", F.col("id").eqNullSafe(F.col("stands")).alias("is_base")), "same")
     base = stored(rows.filter("is_base").select("digest", F.col("text").alias("base")).dropDuplicates(["digest"]), "bases")
     return rows.join(base, "digest").filter(F.col("text") != F.col("base")).select("id", "digest", "n_chars", F.col("text").alias("other"))
@@ -234,7 +233,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ba
     odd = stored(marked.filter("not __kept or __times > 1"), "odd")
     own = F.sha2(normal_text(text_of(text_col)), 256)
     same = F.col(id_col).cast("long").eqNullSafe(odd["__id"]) & (own == odd["__digest"])
-    joined = docs.join(odd, same, "left").filter("__times is null or __kept")
+    # the exceptions grow with the documents, so the join is planned alike at every size
+    joined = docs.join(odd.hint("merge"), same, "left").filter("__times is null or __kept")
     if odd.filter("__kept").isEmpty():
         return joined.select(*docs.columns)
     single = joined.filter("__times is null").select(*docs.columns)

@@ -185,4 +185,4 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
         & F.col(source_col).cast("string").eqNullSafe(F.col("__source"))
         & (words(text_of(text_col)) == F.col("__size"))
     )
-    return docs.join(found, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    return docs.join(found.hint("merge"), same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)

@@ -224,7 +224,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     found = met.join(nodes.select("node", "sig"), "node")
     found = stored(partners(found, _likely), "likely")
     wanted = nodes.select("node", "least", "h1", "h2").join(found.select("node").distinct(), "node", "left_semi")
-    units = rows.join(wanted, rows["id"] == wanted["least"]).select("node", "h1", "h2", "text")
+    units = rows.join(wanted.hint("merge"), rows["id"] == wanted["least"]).select("node", "h1", "h2", "text")
     units = stored(units.mapInPandas(_units, "node long, units binary").dropDuplicates(["node"]), "units")
     links = stored(together(found.join(units, "node")).mapInPandas(_verify, "a long, b long").distinct(), "links")
     linked = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
@@ -246,4 +246,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """The rows of `docs` that stay: one document of each class, that with the smallest id."""
     gone = classes(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("id").alias("__id"))
     gone = stored(gone.distinct(), "gone")
-    return docs.join(gone, F.col(id_col).cast("long").eqNullSafe(gone["__id"]), "left_anti")
+    # what goes grows with the documents, so the join is planned alike at every size
+    return docs.join(gone.hint("merge"), F.col(id_col).cast("long").eqNullSafe(gone["__id"]), "left_anti")
