@@ -2,8 +2,9 @@
 
 A pair of bytes that stands next to each other in no token of the vocabulary can never be merged, so a text
 may be cut between them. Cuts are taken where such a pair is also no danger to the rule that splits words
-before merging: before white space that follows something else, and between two ASCII letters. (Any
-other place could change how the splitting rule reads what follows, such as an apostrophe.) The fragments
+before merging: before white space that follows something else, between two ASCII letters, and where ASCII
+letters, digits and other signs meet, which is where that rule splits anyway. (Any other place could change
+how the rule reads what follows, such as an apostrophe among signs.) The fragments
 are encoded independently, each distinct one once per task as long as the task's memory of fragments
 lasts, and the ids are put together again. Strings of added tokens are taken out first, as the tokenizer
 itself does.
@@ -22,17 +23,18 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: fragments a task remembers before it starts anew
-REMEMBERED = 300_000
-#: ids or bytes of one output batch
-OUT = 1 << 22
+#: fragments that a task remembers, twice; fragments put together for one call of the tokenizer
+REMEMBERED, TOGETHER = 150_000, 500
+#: bytes of the texts that are worked on at a time
+OUT = 1 << 21
 
 
 def byte_of_char() -> dict[str, int]:
@@ -63,8 +65,14 @@ class Vocabulary:
         self.cuts = self._cuts([self.bytes_of[i] for i in model["vocab"].values() if i in self.bytes_of])
         contents = sorted(self.added, key=len, reverse=True)
         self.split = re.compile(b"(" + b"|".join(map(re.escape, contents)) + b")") if contents else None
-        self.known: dict[bytes, list[int]] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.former: dict[bytes, bytes] = {}
         self.tokenizer = None
+        # the bytes of all tokens in one array, for decoding; ids that the vocabulary lacks have none
+        table = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of, default=-1) + 2)]
+        self.size = np.array([len(t) for t in table], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(table), np.uint8)
 
     @staticmethod
     def _cuts(tokens: list[bytes]) -> np.ndarray:
@@ -75,8 +83,11 @@ class Vocabulary:
             inside[b[:-1] * 256 + b[1:]] = True
         byte = np.arange(256)
         blank = (byte == 32) | ((byte >= 9) & (byte <= 13))
-        letter = ((byte | 32) >= ord("a")) & ((byte | 32) <= ord("z")) & (byte < 128)
-        safe = (~blank[:, None] & blank[None, :]) | (letter[:, None] & letter[None, :])
+        letter = ((byte | 32) >= ord("a")) & ((byte | 32) <= ord("z"))
+        kind = np.where(letter, 1, np.where((byte >= ord("0")) & (byte <= ord("9")), 2, 3))
+        shown = (byte < 128) & ~blank
+        apart = (kind[:, None] != kind[None, :]) | (letter[:, None] & letter[None, :])
+        safe = (~blank[:, None] & blank[None, :]) | (shown[:, None] & shown[None, :] & apart)
         return ~inside & safe.ravel()
 
     def fragments(self, data: bytes) -> list[bytes]:
@@ -95,26 +106,56 @@ class Vocabulary:
             return self.fragments(data)
         return [f for k, p in enumerate(parts) for f in ([p] if k % 2 else self.fragments(p))]
 
-    def encode(self, texts: list[bytes]) -> list[list[bytes]]:
-        """Pieces of each text; the ids of every piece are in `known` afterwards."""
+    def learn(self, fragments: list[bytes]) -> None:
+        """Encode fragments and remember their ids, as the bytes of 32-bit numbers.
+
+        Fragments that may stand side by side (a cut lies between them) are put together for one call; the
+        lengths of the tokens tell whose ids are whose.
+        """
         if self.tokenizer is None:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
 
             self.tokenizer = Tokenizer.from_str(self.text)
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        self.known.update((t, [i]) for t, i in self.added.items())
+        many = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)  # without offsets
+        runs: list[list[bytes]] = []
+        for f in fragments:
+            if runs and len(runs[-1]) < TOGETHER and self.cuts[runs[-1][-1][-1] << 8 | f[0]]:
+                runs[-1].append(f)
+            else:
+                runs.append([f])
+        for k in range(0, len(runs), 64):
+            some = runs[k : k + 64]
+            for run, code in zip(some, many([b"".join(r).decode() for r in some], add_special_tokens=False)):
+                ids = np.array(code.ids, np.int32)
+                ends = np.searchsorted(np.cumsum(self.size[ids]), np.cumsum([len(f) for f in run])) + 1
+                data = ids.tobytes()
+                self.known.update((f, data[4 * a : 4 * b]) for f, a, b in zip(run, [0, *ends.tolist()], ends.tolist()))
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text."""
+        if len(self.known) > REMEMBERED:  # what is not asked for again is forgotten one round later
+            self.known, self.former = {}, self.known
+        self.known.update((t, np.array([i], np.int32).tobytes()) for t, i in self.added.items())
         split = [self.pieces(t) for t in texts]
-        new = list(set(chain.from_iterable(split)).difference(self.known))
-        for k in range(0, len(new), 20_000):
-            found = self.tokenizer.encode_batch([f.decode() for f in new[k : k + 20_000]], add_special_tokens=False)
-            self.known.update(zip(new[k : k + 20_000], (e.ids for e in found)))
-        return split
-
-    def ids(self, texts: list[bytes]) -> list[list[int]]:
-        known = self.known
-        return [list(chain.from_iterable(map(known.__getitem__, p))) for p in self.encode(texts)]
+        new = set(filterfalse(self.known.__contains__, chain.from_iterable(split)))
+        if self.former:
+            again = new.intersection(self.former)
+            self.known.update((f, self.former[f]) for f in again)
+            new -= again
+        self.learn(list(new))
+        get = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(get, p)), np.int32) for p in split]
+
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """The texts of rows of ids that stand one after another and stop at `ends`."""
+        ids = np.where((ids < 0) | (ids >= len(self.size)), len(self.size) - 1, ids)
+        size = self.size[ids]
+        stop = np.cumsum(size)
+        at = np.repeat(self.start[ids] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)
+        data = self.flat[at].tobytes()
+        edges = np.r_[0, stop][np.r_[0, ends]].tolist()
+        return [data[a:b].decode("utf-8", "replace") for a, b in zip(edges, edges[1:])]
 
 
 _loaded: dict[int, Vocabulary] = {}
@@ -152,13 +193,12 @@ def encode(text: Column, tokenizer: str) -> Column:
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = _vocabulary(tokenizer)
         for batch in batches:
-            texts = [(t or "").encode() for t in batch.to_pylist()]
+            texts = [t or b"" for t in batch.cast(pa.binary()).to_pylist()]
             parts = []
             for i, j in _portions([len(t) for t in texts], OUT):
-                found = vocabulary.ids(texts[i:j])
-                flat = np.fromiter(chain.from_iterable(found), np.int32)
+                found = vocabulary.encode(texts[i:j])
                 ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-                parts.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32())))
+                parts.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found), pa.int32())))
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
     return ids(text)
@@ -169,14 +209,13 @@ def decode(ids: Column, tokenizer: str) -> Column:
 
     @F.arrow_udf("string")
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = _vocabulary(tokenizer).bytes_of
-        table = [known.get(i, b"") for i in range(max(known) + 1)]
+        vocabulary = _vocabulary(tokenizer)
         for batch in batches:
-            out = []
-            for row in range(len(batch)):
-                own = batch[row].values
-                own = own.to_numpy(zero_copy_only=False) if own is not None else ()
-                out.append(b"".join([table[i] for i in own if 0 <= i < len(table)]).decode("utf-8", "replace"))
+            out: list[str] = []
+            sizes = np.nan_to_num(pc.list_value_length(batch).to_numpy(zero_copy_only=False)).astype(np.int64).tolist()
+            for i, j in _portions(sizes, OUT // 4):
+                flat = batch.slice(i, j - i).flatten().to_numpy(zero_copy_only=False)
+                out += vocabulary.decode(flat, np.cumsum(sizes[i:j]))
             yield pa.array(out, pa.string())
 
     return text(ids)
