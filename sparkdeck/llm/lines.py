@@ -180,6 +180,7 @@ def drop_repeated(
     keys = stored(named.mapInPandas(_keys(least_chars), "id long, high long, low long"), "keys")
     gone = drops(keys, least_docs).groupBy("id").agg(F.collect_set(F.struct("high", "low")).alias("gone"))
     gone = stored(gone.withColumnRenamed("id", "gid"), "gone")
-    joined = named.join(gone, F.col("id") == F.col("gid"), "left").select("id", "text", "gone")
+    # the list of drops grows with the documents, so the join is planned alike at every size
+    joined = named.join(gone.hint("merge"), F.col("id") == F.col("gid"), "left").select("id", "text", "gone")
     cut = joined.mapInPandas(_cut(least_chars), "id long, n_lines long, n_dropped long, kept_text string")
     return cut.withColumn("id", F.nullif("id", F.lit(_LOWEST)))
