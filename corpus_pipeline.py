@@ -45,9 +45,10 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, source, n_tokens, ids, decodes) of every row; `decodes` says whether the ids give back the text."""
     prepare(spark)
     tokenizer = bpe.read_file(tokenizer_path())
-    found = docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"), bpe.encode(F.col("text"), tokenizer).alias("ids"))
-    back = bpe.decode(F.col("ids"), tokenizer)
-    return found.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", (back == F.col("text")).alias("decodes"))
+    found = docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"), bpe.round_trip(F.col("text"), tokenizer).alias("found"))
+    return found.select(
+        "doc_id", "source", F.size("found.ids").cast("long").alias("n_tokens"), "found.ids", (F.col("found.text") == F.col("text")).alias("decodes")
+    )
 
 
 STAGES = [

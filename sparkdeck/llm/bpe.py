@@ -32,9 +32,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: fragments that a task remembers, twice; fragments put together for one call of the tokenizer
-REMEMBERED, TOGETHER = 150_000, 500
+REMEMBERED, TOGETHER = 100_000, 500
 #: bytes of the texts that are worked on at a time
-OUT = 1 << 21
+OUT = 1 << 20
 
 
 def byte_of_char() -> dict[str, int]:
@@ -186,20 +186,34 @@ def _portions(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
+def _encoded(vocabulary: Vocabulary, texts: pa.Array) -> pa.Array:
+    """Lists of ids of an array of texts."""
+    plain = [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
+    parts = []
+    for i, j in _portions([len(t) for t in plain], OUT):
+        found = vocabulary.encode(plain[i:j])
+        ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+        parts.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found), pa.int32())))
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+
+
+def _decoded(vocabulary: Vocabulary, ids: pa.Array) -> pa.Array:
+    """Texts of an array of lists of ids."""
+    out: list[str] = []
+    sizes = np.nan_to_num(pc.list_value_length(ids).to_numpy(zero_copy_only=False)).astype(np.int64).tolist()
+    for i, j in _portions(sizes, OUT // 4):
+        flat = ids.slice(i, j - i).flatten().to_numpy(zero_copy_only=False)
+        out += vocabulary.decode(flat, np.cumsum(sizes[i:j]))
+    return pa.array(out, pa.string())
+
+
 def encode(text: Column, tokenizer: str) -> Column:
     """Column array<int>: the ids of a text column. `tokenizer` is the content of a tokenizer file."""
 
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        vocabulary = _vocabulary(tokenizer)
         for batch in batches:
-            texts = [t or b"" for t in batch.cast(pa.binary()).to_pylist()]
-            parts = []
-            for i, j in _portions([len(t) for t in texts], OUT):
-                found = vocabulary.encode(texts[i:j])
-                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-                parts.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found), pa.int32())))
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+            yield _encoded(_vocabulary(tokenizer), batch)
 
     return ids(text)
 
@@ -209,13 +223,19 @@ def decode(ids: Column, tokenizer: str) -> Column:
 
     @F.arrow_udf("string")
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        vocabulary = _vocabulary(tokenizer)
         for batch in batches:
-            out: list[str] = []
-            sizes = np.nan_to_num(pc.list_value_length(batch).to_numpy(zero_copy_only=False)).astype(np.int64).tolist()
-            for i, j in _portions(sizes, OUT // 4):
-                flat = batch.slice(i, j - i).flatten().to_numpy(zero_copy_only=False)
-                out += vocabulary.decode(flat, np.cumsum(sizes[i:j]))
-            yield pa.array(out, pa.string())
+            yield _decoded(_vocabulary(tokenizer), batch)
 
     return text(ids)
+
+
+def round_trip(text: Column, tokenizer: str) -> Column:
+    """Column struct(ids, text): the ids, and the text decoded from them, by one worker with one vocabulary."""
+
+    @F.arrow_udf("ids array<int>, text string")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            ids = _encoded(_vocabulary(tokenizer), batch)
+            yield pa.StructArray.from_arrays([ids, _decoded(_vocabulary(tokenizer), ids)], ["ids", "text"])
+
+    return both(text)

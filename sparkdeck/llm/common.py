@@ -16,7 +16,7 @@ RUNTIME = {
     # a skewed join stays split even where that costs another exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # whole texts travel in these batches, so few rows at a time
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
 }
 
 

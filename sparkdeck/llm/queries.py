@@ -79,8 +79,8 @@ def op3_chat(spark, sf_dir):
 def op4_bpe(spark, sf_dir):
     tokenizer = bpe.read_file(tokenizer_path())
     docs = table(spark, sf_dir, "documents")
-    found = docs.select("doc_id", bpe.encode(F.col("text"), tokenizer).alias("ids"))
-    found = found.select("doc_id", "ids", bpe.decode(F.col("ids"), tokenizer).alias("decoded"))
+    found = docs.select("doc_id", bpe.round_trip(F.col("text"), tokenizer).alias("found"))
+    found = found.select("doc_id", "found.ids", F.col("found.text").alias("decoded"))
     return found.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

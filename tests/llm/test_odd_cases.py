@@ -172,6 +172,8 @@ def test_bpe_odd_texts(odd, empty, tokenizer):
     for r in rows:
         assert r.ids == tokenizer.encode(r.text or "", add_special_tokens=False).ids
         assert r.back == (r.text or "")
+    both = odd.select("text", bpe.round_trip(F.col("text"), text).alias("b")).collect()
+    assert [(r.b.ids, r.b.text) for r in both] == [(r.ids, r.back) for r in rows]
     assert empty.select(bpe.encode(F.col("text"), text)).count() == 0
 
 
