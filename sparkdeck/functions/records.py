@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-_MARK = "\u0001"
+_MARK, _ESCAPE = "\u0001", "\u0002"
 
 # Combined access log line, nine captured fields.
 ACCESS_LINE = (
@@ -25,11 +25,19 @@ def _groups(line: Column, pattern: str, names: list[str], build) -> Column:
     """`build` applied to the named groups of a match, null without a match.
 
     The line is matched once: the groups are written into one marked text and cut apart. Binding the
-    parts in a one-element array keeps the match from being repeated for every field.
+    parts in a one-element array keeps the match from being repeated for every field. Marks that stand in
+    the line itself are escaped before and restored after.
     """
-    marked = F.regexp_replace(line, pattern, _MARK.join(f"${i}" for i in range(1, len(names) + 1)))
+    escaped = F.replace(F.replace(line, F.lit(_ESCAPE), F.lit(f"{_ESCAPE}b")), F.lit(_MARK), F.lit(f"{_ESCAPE}a"))
+    rare = F.contains(line, F.lit(_MARK)) | F.contains(line, F.lit(_ESCAPE))
+    marked = F.regexp_replace(F.when(rare, escaped).otherwise(line), pattern, _MARK.join(f"${i}" for i in range(1, len(names) + 1)))
+
+    def restored(part):
+        plain = F.replace(F.replace(part, F.lit(f"{_ESCAPE}a"), F.lit(_MARK)), F.lit(f"{_ESCAPE}b"), F.lit(_ESCAPE))
+        return F.when(F.contains(part, F.lit(_ESCAPE)), plain).otherwise(part)
+
     found = F.filter(F.array(F.split(marked, _MARK)), lambda parts: F.size(parts) == len(names))
-    built = F.transform(found, lambda parts: build({n: parts[i] for i, n in enumerate(names)}))
+    built = F.transform(found, lambda parts: build({n: restored(parts[i]) for i, n in enumerate(names)}))
     return F.get(built, F.lit(0))
 
 

@@ -17,6 +17,10 @@ SOCIAL_BLANKS = "!.?,;:/+%()[]&`*$«»'_\t|\"0123456789"
 # Characters the product cleaner deletes, and those it turns into blanks.
 PRODUCT_DELETED = ".;,!/§?*-&~#(|`_\\^@)][=}{\n\"+<>"
 PRODUCT_BLANKS = ":'"
+# Fixed value: what the product cleaner takes for tags.
+PRODUCT_TAGS = r"(?s)<[^>]*>(\s*<[^>]*>)*"
+# Loose dashes the social cleaner turns into blanks, one after the other.
+SOCIAL_DASHES = (" -", "- ", "--", " - ")
 
 
 def strip_accents(col: Column) -> Column:
@@ -35,7 +39,7 @@ def tokens(col: Column, separator: str = r"\s+") -> Column:
 
 def clean_product(col: Column) -> Column:
     """Product text: no tags, lower case, no listed punctuation, no accents."""
-    text = F.lower(F.regexp_replace(col, r"(?s)<[^>]*>(\s*<[^>]*>)*", ""))
+    text = F.lower(F.regexp_replace(col, PRODUCT_TAGS, ""))
     text = F.translate(text, PRODUCT_BLANKS + PRODUCT_DELETED, " " * len(PRODUCT_BLANKS))
     return strip_accents(text)
 
@@ -44,7 +48,7 @@ def clean_social(col: Column) -> Column:
     """Short messages to tokens: accents folded, punctuation and digits blanked, loose dashes dropped."""
     text = F.translate(col, SIGNS, SIGN_LETTERS)
     text = F.translate(F.translate(text, SOCIAL_ACCENTED, SOCIAL_PLAIN), SOCIAL_BLANKS, " " * len(SOCIAL_BLANKS))
-    for dash in (" -", "- ", "--", " - "):
+    for dash in SOCIAL_DASHES:
         text = F.replace(text, F.lit(dash), F.lit(" "))
     return tokens(F.lower(text))
 

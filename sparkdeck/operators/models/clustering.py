@@ -149,17 +149,17 @@ def _named(boxes, prefix):
     return [F.col(m).alias(prefix + m) for m in _members(n)]
 
 
-def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, root): smallest node of each connected part.
 
     Alternating star steps (published for map-reduce): first every node hands its larger neighbours to
     the smallest node it knows, then its smaller ones. Edges turn into stars around the smallest node in
-    a number of rounds that grows with the logarithm of the graph. Each step is an aggregate and a join
+    a number of rounds that grows with the logarithm of the graph; rounds go on until nothing moves. Each step is an aggregate and a join
     with one row per node, and each round is written out, so a lost executor replays one round only.
     """
     links = edges.filter(F.col("a") != F.col("b"))
     links = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    for _ in range(max_rounds):
+    while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         # larger neighbours are hung on the smallest node around
@@ -173,7 +173,6 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> Dat
             roots = new.select(F.col("u").alias("node"), F.col("v").alias("root"))
             return nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
         links = new
-    raise RuntimeError("components did not settle")
 
 
 def density_clusters(df: DataFrame, id_col: str, cols: list[str], eps: float, min_points: int) -> DataFrame:

@@ -1,101 +1,62 @@
 """Ordered operators: running values, run lengths, gap filling, quantiles, top-k, latest.
 
-A window sends one key to one task. `Walk` therefore counts rows first, per key if need be. While every key fits
-in a task it uses plain windows. Keys above the limit are cut along the ordering column into blocks;
-each block is windowed by itself and a per-block summary, one row per block, carries the running
-state into the next block. Results are the same in both cases, and every step is a shuffle on a
-bounded group.
+A window sends one key to one task. `Walk` therefore range-partitions the rows on key and order, so that Spark's
+own ordering cuts every large key into blocks, whatever the types of the columns and the number of large
+keys. Each block of a key is windowed by itself, and one summary row per block carries the running state into
+the next block. Only keys that lie in more than one partition need that; there are fewer of them than
+partitions. There is one path for every size, and a block is as large as a shuffle partition.
 """
 
 from __future__ import annotations
 
-import math
-import sys
-from collections import Counter
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
-MAX_ROWS = 2_000_000
+from ..session import stored
+
 BLOCK = "_block"
 ALL = "_all"
 
 
-def position(df: DataFrame, name: str) -> Column:
-    """Ordering column as a finite double that sorts the same way (text: by its first six bytes)."""
+def number_of(df: DataFrame, name: str) -> Column:
+    """A time or number column as a double, for distances along it (not for ordering)."""
     kind = df.schema[name].dataType
     col = F.col(name)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         col = F.unix_micros(col.cast("timestamp"))
     elif isinstance(kind, T.DateType):
         col = F.unix_date(col)
-    elif isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.encode(col, "UTF-8"), 1, 6)), 12, "0")
-        col = F.conv(head, 16, 10)
-    number = col.cast("double")
-    number = F.when(F.isnan(number), F.lit(sys.float_info.max)).otherwise(number)
-    return F.coalesce(number, F.lit(-sys.float_info.max))
+    return col.cast("double")
 
 
-def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    """Null-safe equality on all names."""
-    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
+def matches(names: list[str], other: str = "_c_") -> Column:
+    """Null-safe equality of columns with their prefixed counterparts."""
+    return reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"{other}{n}")) for n in names])
 
 
 class Walk:
-    """Visit the rows of each key in order; `order` must be unique within a key."""
+    """Visit the rows of each key in order; `order` must be unique within a key.
+
+    The blocked rows are written once, so what follows does not evaluate the input again.
+    """
 
-    def __init__(self, df: DataFrame, by: list[str], order: list[str], max_rows: int = MAX_ROWS):
-        self.added: list[str] = []
+    def __init__(self, df: DataFrame, by: list[str], order: list[str], partitions: int | None = None):
+        self.added: list[str] = [BLOCK]
         if not by:
             df, by = df.withColumn(ALL, F.lit(0)), [ALL]
             self.added.append(ALL)
         self.by, self.order = by, order
-        self.df = df
-        self.split = False
-        # a table below the limit cannot hold a key above it
-        if df.count() > max_rows:
-            sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-            largest = sizes.agg(F.max("_n")).first()[0]
-            if largest > max_rows:
-                self._cut(sizes, largest, max_rows)
-
-    def _cut(self, sizes: DataFrame, largest: int, max_rows: int) -> None:
-        """Give rows of large keys a block number from 1 on, all other rows block 0."""
-        large = sizes.filter(F.col("_n") > max_rows).select(
-            *[F.col(c).alias(f"_k_{c}") for c in self.by], F.lit(True).alias("_large")
-        )
-        marked = self.df.join(
-            large,
-            reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in self.by]),
-            "left",
-        ).drop(*[f"_k_{c}" for c in self.by])
-        blocks = 2 * -(-largest // max_rows)
-        shares = [i / blocks for i in range(1, blocks)]
-        cutting, number = F.col("_large").isNotNull(), F.lit(0).cast("bigint")
-        marked = marked.withColumn(BLOCK, number)
-        for name in self.order:
-            marked = marked.withColumn("_pos", F.when(cutting, position(marked, name)))
-            cuts = marked.filter(cutting).approxQuantile("_pos", shares, 1 / (4 * blocks))
-            # a value that fills several shares gets a block of its own, to be cut by the next column
-            heavy = sorted(v for v, n in Counter(cuts).items() if n > 1)
-            inner = {*cuts, *(math.nextafter(v, math.inf) for v in heavy)}
-            edges = [-math.inf, *sorted(v for v in inner if math.isfinite(v)), math.inf]
-            bucket = Bucketizer(splits=edges, inputCol="_pos", outputCol="_bucket")
-            marked = bucket.transform(marked.withColumn("_pos", F.coalesce("_pos", F.lit(0.0))))
-            step = F.when(cutting, F.col("_bucket").cast("bigint")).otherwise(0)
-            marked = marked.withColumn(BLOCK, F.col(BLOCK) * len(edges) + step)
-            marked = marked.withColumn("_in", cutting & F.col("_pos").isin(heavy)).drop("_bucket")
-            cutting = F.col("_in")
-            if not heavy:
-                break
-        # rows of large keys from 1 on
-        block = F.when(F.col("_large"), F.col(BLOCK) + 1).otherwise(F.lit(0))
-        self.df = marked.withColumn(BLOCK, block).drop("_pos", "_in", "_large")
-        self.split = True
-        self.added.append(BLOCK)
+        # without a number, partitions follow the bytes that the shuffle has measured
+        ranged = df.repartitionByRange(*([partitions] if partitions else []), *by, *order)
+        self.df = stored(ranged.withColumn(BLOCK, F.spark_partition_id()), "blocks")
+        # of a sorted partition only the first key can go on from an earlier one: at most one row per partition
+        key = F.struct(*by)
+        ends = self.df.groupBy(BLOCK).agg(F.min(key).alias("_low"), F.max(key).alias("_high"))
+        parts = ends.select(F.inline(F.array(F.struct(BLOCK, F.col("_low").alias("_k")), F.struct(BLOCK, F.col("_high").alias("_k")))))
+        cut = parts.groupBy("_k").agg(F.count_distinct(BLOCK).alias("_n")).filter("_n > 1")
+        self.cut = cut.select(*[F.col(f"_k.{c}").alias(f"_k_{c}") for c in by])
 
     def add(
         self,
@@ -107,7 +68,7 @@ class Walk:
         """Add columns: inclusive running sum, previous row's value, latest non-null value up to the
         row, nearest non-null value from the row on."""
         running, prev, last, following = (d or {} for d in (running, prev, last, following))
-        keys = self.by + ([BLOCK] if self.split else [])
+        keys = [*self.by, BLOCK]
         forward = Window.partitionBy(*keys).orderBy(*self.order)
         upto = forward.rowsBetween(Window.unboundedPreceding, 0)
         # "from here to the end" is read as "up to here" in the opposite order, which streams
@@ -120,27 +81,16 @@ class Walk:
         cols |= {n: F.lag(c).over(forward) for n, c in prev.items()}
         cols |= {n: F.last(c, ignorenulls=True).over(upto) for n, c in last.items()}
         cols |= {n: F.last(c, ignorenulls=True).over(onward) for n, c in following.items()}
-        if not self.split:
-            self.df = self.df.withColumns(cols)
-            return self
 
         rank = F.struct(*self.order)
-        summary = (
-            self.df.filter(F.col(BLOCK) > 0)
-            .groupBy(*keys)
-            .agg(
-                *[F.sum(c).alias(n) for n, c in running.items()],
-                *[F.max_by(F.struct(c.alias("v")), rank).alias(n) for n, c in prev.items()],
-                *[
-                    F.max_by(F.struct(c.alias("v")), F.when(c.isNotNull(), rank)).alias(n)
-                    for n, c in last.items()
-                ],
-                *[
-                    F.min_by(F.struct(c.alias("v")), F.when(c.isNotNull(), rank)).alias(n)
-                    for n, c in following.items()
-                ],
-                F.lit(1).alias("_one"),
-            )
+        # at most as many cut keys as partitions, so this side may be broadcast
+        spanning = self.df.join(F.broadcast(self.cut), matches(self.by, "_k_"), "left_semi")
+        summary = spanning.groupBy(*keys).agg(
+            *[F.sum(c).alias(n) for n, c in running.items()],
+            *[F.max_by(F.struct(c.alias("v")), rank).alias(n) for n, c in prev.items()],
+            *[F.max_by(F.struct(c.alias("v")), F.when(c.isNotNull(), rank)).alias(n) for n, c in last.items()],
+            *[F.min_by(F.struct(c.alias("v")), F.when(c.isNotNull(), rank)).alias(n) for n, c in following.items()],
+            F.lit(1).alias("_one"),
         )
         chain = Window.partitionBy(*self.by).orderBy(BLOCK)
         before = chain.rowsBetween(Window.unboundedPreceding, -1)
@@ -157,11 +107,8 @@ class Walk:
             *[F.last(n, ignorenulls=True).over(after).alias(f"_c_{n}") for n in following],
         )
         cols["_first"] = F.row_number().over(forward) == 1
-        joined = self.df.withColumns(cols).join(
-            carried,
-            reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in keys]),
-            "left",
-        )
+        # one row per block of a cut key: at most two per partition
+        joined = self.df.withColumns(cols).join(F.broadcast(carried), matches(keys), "left")
         fixed = {n: F.coalesce(F.col(n) + F.col(f"_c_{n}"), F.col(n), F.col(f"_c_{n}")) for n in running}
         fixed |= {n: F.when(F.col("_first"), F.col(f"_c_{n}.v")).otherwise(F.col(n)) for n in prev}
         fixed |= {n: F.coalesce(F.col(n), F.col(f"_c_{n}.v")) for n in [*last, *following]}
@@ -174,23 +121,23 @@ class Walk:
         return self.df.drop(*drop, *self.added)
 
 
-def row_index(df, by, order, out="idx", max_rows=MAX_ROWS) -> DataFrame:
+def row_index(df, by, order, out="idx", partitions=None) -> DataFrame:
     """Dense 1-based row number per key (whole table for an empty key)."""
-    return Walk(df, by, order, max_rows).add(running={out: F.lit(1).cast("bigint")}).result()
+    return Walk(df, by, order, partitions).add(running={out: F.lit(1).cast("bigint")}).result()
 
 
-def running_sum(df, by, order, value, out, max_rows=MAX_ROWS) -> DataFrame:
-    return Walk(df, by, order, max_rows).add(running={out: F.col(value)}).result()
+def running_sum(df, by, order, value, out, partitions=None) -> DataFrame:
+    return Walk(df, by, order, partitions).add(running={out: F.col(value)}).result()
 
 
-def state_run_length(df, by, order, state_cols, out="run", when_null=None, max_rows=MAX_ROWS):
+def state_run_length(df, by, order, state_cols, out="run", when_null=None, partitions=None):
     """Rows since the state last changed: 0 on the first row and on a change, then 1, 2, 3…
 
     A null among the compared columns counts as a change. `when_null=(probe, cols)` compares `cols`
     instead of `state_cols` on rows where `probe` is null.
     """
     names = list(state_cols) + [c for c in (when_null[1] if when_null else []) if c not in state_cols]
-    walk = Walk(df, by, order, max_rows).add(
+    walk = Walk(df, by, order, partitions).add(
         prev={"_prev": F.struct(*names)}, running={"_idx": F.lit(1).cast("bigint")}
     )
 
@@ -206,33 +153,33 @@ def state_run_length(df, by, order, state_cols, out="run", when_null=None, max_r
     return walk.result("_prev", "_idx", "_start")
 
 
-def nonzero_run(df, by, order, col, out="run", max_rows=MAX_ROWS) -> DataFrame:
+def nonzero_run(df, by, order, col, out="run", partitions=None) -> DataFrame:
     """Count of consecutive non-zero rows so far; 0 on a zero or a null."""
     zero = F.coalesce(F.col(col) == 0, F.lit(True))
-    walk = Walk(df, by, order, max_rows).add(running={"_idx": F.lit(1).cast("bigint")})
+    walk = Walk(df, by, order, partitions).add(running={"_idx": F.lit(1).cast("bigint")})
     walk.add(last={"_zero": F.when(zero, F.col("_idx"))})
     count = F.col("_idx") - F.coalesce(F.col("_zero"), F.lit(0))
     walk.df = walk.df.withColumn(out, F.when(zero, F.lit(0)).otherwise(count).cast("bigint"))
     return walk.result("_idx", "_zero")
 
 
-def period_return(df, by, order, price, out="ret", max_rows=MAX_ROWS) -> DataFrame:
+def period_return(df, by, order, price, out="ret", partitions=None) -> DataFrame:
     """Relative change against the previous row; null on the first row and after a zero price."""
-    walk = Walk(df, by, order, max_rows).add(prev={"_p": F.col(price)})
+    walk = Walk(df, by, order, partitions).add(prev={"_p": F.col(price)})
     walk.df = walk.df.withColumn(
         out, F.when(F.col("_p") != 0, (F.col(price) - F.col("_p")) / F.col("_p"))
     )
     return walk.result("_p")
 
 
-def interpolate(df, by, order, value, out=None, by_time=False, max_rows=MAX_ROWS) -> DataFrame:
+def interpolate(df, by, order, value, out=None, by_time=False, partitions=None) -> DataFrame:
     """Linear fill of null values along `order`: equally spaced rows, or true distance if `by_time`.
 
     A trailing gap repeats the last value; a leading gap stays null.
     """
-    walk = Walk(df, by, [order], max_rows)
+    walk = Walk(df, by, [order], partitions)
     if by_time:
-        walk.df = walk.df.withColumn("_x", position(walk.df, order))
+        walk.df = walk.df.withColumn("_x", number_of(walk.df, order))
     else:
         walk.add(running={"_x": F.lit(1).cast("bigint")})
     known = F.when(F.col(value).isNotNull(), F.struct(F.col("_x").alias("x"), F.col(value).alias("y")))
@@ -243,13 +190,13 @@ def interpolate(df, by, order, value, out=None, by_time=False, max_rows=MAX_ROWS
     return walk.result("_x", "_a", "_b")
 
 
-def prior_mean(df, keys, order, value, default=0.0, out="prior", max_rows=MAX_ROWS) -> DataFrame:
+def prior_mean(df, keys, order, value, default=0.0, out="prior", partitions=None) -> DataFrame:
     """Mean of `value` over rows of the same key with a strictly smaller `order`.
 
     Rows are summed per (key, order) before anything is ordered.
     """
     sums = df.groupBy(*keys, order).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
-    walk = Walk(sums, keys, [order], max_rows).add(
+    walk = Walk(sums, keys, [order], partitions).add(
         running={"_cs": F.coalesce(F.col("_s"), F.lit(0)), "_cn": F.col("_n")}
     )
     before = F.col("_cn") - F.col("_n")
@@ -275,71 +222,41 @@ def latest(df, key, order) -> DataFrame:
     return df.groupBy(*key).agg(best).select(*key, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
-def quantiles(df, by, value, probs: dict[str, float], max_rows=MAX_ROWS) -> DataFrame:
+def quantiles(df, by, value, probs: dict[str, float], partitions=None) -> DataFrame:
     """Exact interpolated quantiles per key, one column per entry of `probs`; nulls and NaN left out.
 
-    A table of at most `max_rows` rows takes Spark's own exact percentile, which keeps a key's values
-    in one task. A larger table is narrowed first: an approximate quantile with a guaranteed rank
-    error gives a value range around each wanted rank, rows below the range are only counted, and the
-    few rows inside are ranked by running counts. A key of any size is spread over many tasks.
+    Rows are counted per distinct value, the counts are summed along the values, and the two values around each
+    wanted rank are picked by an aggregate, so no task holds a key.
     """
     clean = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     clean = clean.select(*by, F.col(value).cast("double").alias("_v"))
     names, shares = list(probs), [float(p) for p in probs.values()]
-    if clean.count() <= max_rows:
-        found = clean.groupBy(*by).agg(F.percentile("_v", shares).alias("_q"), F.count(F.lit(1)).alias("_n"))
-        # without keys an empty table still gives one row
-        found = found.filter(F.col("_n") > 0)
-        return found.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
     keys = by
     if not by:
         clean, keys = clean.withColumn(ALL, F.lit(0)), [ALL]
-    margin, accuracy, whole = 0.005, 1000, 10_000
-    around = [min(max(p + d, 0.0), 1.0) for p in shares for d in (-margin, margin)]
-    near = F.percentile_approx("_v", around, accuracy)
-    ranges = clean.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_total"), F.min("_v").alias("_min"), F.max("_v").alias("_max"), near.alias("_a")
+    counts = clean.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    walk = Walk(counts, keys, ["_v"], partitions)
+    totals = walk.df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.sum("_n").alias("_total"))
+    ranked = walk.add(running={"_upto": F.col("_n")}).result().join(totals, matches(keys, "_k_"))
+    spots = {i: (F.col("_total") - 1) * F.lit(p) for i, p in enumerate(shares)}
+    picked = ranked.groupBy(*keys).agg(
+        *[F.min(F.when(F.col("_upto") > F.floor(s), F.col("_v"))).alias(f"_lo{i}") for i, s in spots.items()],
+        *[F.min(F.when(F.col("_upto") > F.ceil(s), F.col("_v"))).alias(f"_hi{i}") for i, s in spots.items()],
+        F.max("_total").alias("_total"),
     )
-    small = F.col("_total") <= whole
-    cuts = [
-        F.struct(
-            F.lit(i).alias("i"),
-            F.when(small | (F.lit(p) <= margin), F.col("_min")).otherwise(F.col("_a")[2 * i]).alias("lo"),
-            F.when(small | (F.lit(p) >= 1 - margin), F.col("_max")).otherwise(F.col("_a")[2 * i + 1]).alias("hi"),
-        )
-        for i, p in enumerate(shares)
-    ]
-    ranges = ranges.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_total", F.array(*cuts).alias("_cuts"))
-    test = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-    marked = clean.join(ranges, test).select(*keys, "_v", "_total", F.explode("_cuts").alias("_c"))
-    marked = marked.select(*keys, "_v", "_total", F.col("_c.i").alias("_i"), "_c.lo", "_c.hi").filter(F.col("_v") <= F.col("hi"))
-    # rows below the range shrink to one counted row per key
-    inside = F.when(F.col("_v") >= F.col("lo"), F.col("_v"))
-    counts = marked.groupBy(*keys, "_i", inside.alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n"), F.max("_total").alias("_total")
-    )
-    ranked = Walk(counts, [*keys, "_i"], ["_v"], max_rows).add(running={"_upto": F.col("_n")}).result()
-    share = F.element_at(F.array(*[F.lit(p) for p in shares]), F.col("_i") + 1)
-    ranked = ranked.withColumn("_spot", (F.col("_total") - 1) * share)
-    picked = ranked.groupBy(*keys, "_i").agg(
-        F.min(F.when(F.col("_upto") > F.floor("_spot"), F.col("_v"))).alias("_lo"),
-        F.min(F.when(F.col("_upto") > F.ceil("_spot"), F.col("_v"))).alias("_hi"),
-        F.max("_spot").alias("_spot"),
-    )
-    exact = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_spot") - F.floor("_spot"))
-    picked = picked.withColumn("_q", exact)
-    return picked.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)]
-    ).select(*by, *names)
+    exact = {
+        names[i]: F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (s - F.floor(s)) for i, s in spots.items()
+    }
+    return picked.select(*by, *[c.alias(n) for n, c in exact.items()])
 
 
-def quantile_bins(df, value, probs: list[float], out="bin", max_rows=MAX_ROWS) -> DataFrame:
+def quantile_bins(df, value, probs: list[float], out="bin", partitions=None) -> DataFrame:
     """Right-closed bins between the given quantiles; lowest edge included, last bin open above.
 
     The cut points are a fixed, small number of scalars and are read to the driver.
     """
     names = {f"q{i}": p for i, p in enumerate(probs)}
-    cuts = quantiles(df, [], value, names, max_rows).first()
+    cuts = quantiles(df, [], value, names, partitions).first()
     if cuts is None:
         return df.withColumn(out, F.lit(None).cast("int"))
     expr = F.lit(len(probs))
@@ -349,7 +266,7 @@ def quantile_bins(df, value, probs: list[float], out="bin", max_rows=MAX_ROWS) -
     return df.withColumn(out, F.when(F.col(value).isNull() | low, F.lit(None)).otherwise(expr).cast("int"))
 
 
-def fold(df, order, k, out="fold", max_rows=MAX_ROWS) -> DataFrame:
+def fold(df, order, k, out="fold", partitions=None) -> DataFrame:
     """k contiguous folds of near-equal size along `order` (larger folds first), numbered from 1."""
     n = df.count()
     small, extra = divmod(n, k)
@@ -357,29 +274,16 @@ def fold(df, order, k, out="fold", max_rows=MAX_ROWS) -> DataFrame:
     head = extra * (small + 1)
     tail = F.lit(extra) + F.floor((i - head) / F.lit(max(small, 1)))
     number = F.when(i < head, F.floor(i / F.lit(small + 1))).otherwise(tail) + 1
-    return row_index(df, [], order, "_i", max_rows).withColumn(out, number.cast("int")).drop("_i")
+    return row_index(df, [], order, "_i", partitions).withColumn(out, number.cast("int")).drop("_i")
 
 
-def covered(df, intervals, by, ts, out="covered", max_rows=MAX_ROWS, small=10_000) -> DataFrame:
+def covered(df, intervals, by, ts, out="covered", partitions=None) -> DataFrame:
     """1 where `ts` lies in an interval [s, e) of the same key, or (s, e) if `open_start`, else 0.
 
-    `intervals` has the columns `by`, `s`, `e`, `open_start`. Up to `small` intervals are grouped per
-    key and broadcast. Beyond that starts and ends become +1/-1 rows between the data rows and a
-    running sum tells whether any interval is open, so nothing is broadcast and no pair is built.
+    `intervals` has the columns `by`, `s`, `e`, `open_start`. Starts and ends become +1/-1 rows between the
+    data rows, and a running sum tells whether any interval is open, so nothing is broadcast and no pair
+    is built.
     """
-    if intervals.limit(small + 1).count() <= small:
-        packed = intervals.groupBy(*by).agg(F.collect_list(F.struct("s", "e", "open_start")).alias("_iv"))
-        t = F.col(ts).cast("timestamp")
-
-        def inside(iv):
-            s, e = iv["s"].cast("timestamp"), iv["e"].cast("timestamp")
-            return F.when(iv["open_start"], t > s).otherwise(t >= s) & (t < e)
-
-        hit = F.exists("_iv", inside)
-        return (
-            df.join(F.broadcast(packed), by, "left")
-            .select(*df.columns, F.coalesce(hit, F.lit(False)).cast("int").alias(out))
-        )
     names = df.columns
     iv = intervals.filter(F.col("s").cast("timestamp") < F.col("e").cast("timestamp"))
     keyed = df.withColumns(
@@ -406,5 +310,5 @@ def covered(df, intervals, by, ts, out="covered", max_rows=MAX_ROWS, small=10_00
     marks = marks.groupBy(*by, "_t", "_kind").agg(F.sum("_step").cast("int").alias("_step"))
     marks = marks.withColumn("_id", F.lit(-1).cast("bigint"))
     rows = keyed.unionByName(marks, allowMissingColumns=True)
-    swept = Walk(rows, by, ["_t", "_kind", "_id"], max_rows).add(running={"_open": F.col("_step")}).result()
+    swept = Walk(rows, by, ["_t", "_kind", "_id"], partitions).add(running={"_open": F.col("_step")}).result()
     return swept.filter(F.col("_id") >= 0).select(*names, (F.col("_open") > 0).cast("int").alias(out))

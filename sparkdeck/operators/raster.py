@@ -5,10 +5,10 @@ No-data is NULL (use `nan_to_null` at ingest); arithmetic and aggregates then sk
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalar import clamp_rescale, right_closed
-from .ordered import MAX_ROWS, quantiles
+from .ordered import quantiles
 
 NODATA = -2147483648.0
 TILE = ["tile_col", "tile_row"]
@@ -129,13 +129,13 @@ def mosaic(df: DataFrame, value: str, priority: str) -> DataFrame:
     return df.groupBy("x", "y").agg(best.alias(value))
 
 
-def zonal_stats(df: DataFrame, zone: str, value: str, max_rows: int = MAX_ROWS) -> DataFrame:
+def zonal_stats(df: DataFrame, zone: str, value: str) -> DataFrame:
     """Minimum, maximum, mean, exact median and population deviation per zone."""
     v = F.col(value)
     base = df.groupBy(zone).agg(
         F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std")
     )
-    return base.join(quantiles(df, [zone], value, {"median": 0.5}, max_rows), zone, "left")
+    return base.join(quantiles(df, [zone], value, {"median": 0.5}), zone, "left")
 
 
 def segment_features(df: DataFrame, segment: list[str], bands: list[str], suffix: str = "") -> DataFrame:
@@ -155,46 +155,42 @@ def write_back(df: DataFrame, labels: DataFrame, segment: list[str], label: str,
 def median_filter(df: DataFrame, value: str, size: int = 3, out: str | None = None) -> DataFrame:
     """Median over a size×size neighbourhood; border cells repeat the edge, no-data cells stay.
 
-    Each cell is sent to the cells it touches, so a group never holds more than size² rows. Cells of
-    a missing neighbour inside the grid are left out of the median.
+    Each cell is sent once to every cell that sees it, with the number of times the repeated edge makes it
+    count; the cell's own row rides along. So a group never holds more than size² rows and there
+    is one shuffle. Cells missing inside the grid are left out of the median.
     """
     r = size // 2
     bounds = df.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
     if bounds[0] is None:
         return df.withColumn(out or value, F.col(value))
-    x0, x1, y0, y1 = bounds
-    steps = F.array(*[F.lit(i) for i in range(-r, r + 1)])
-    # a target cell asks for each offset, clipped to the grid: this is what repeating the edge means
-    asked = (
-        df.filter(F.col(value).isNotNull())
-        .select("x", "y", F.explode(steps).alias("_dx"))
-        .select("x", "y", "_dx", F.explode(steps).alias("_dy"))
-        .select(
-            "x",
-            "y",
-            F.least(F.greatest(F.col("x") + F.col("_dx"), F.lit(x0)), F.lit(x1)).alias("_nx"),
-            F.least(F.greatest(F.col("y") + F.col("_dy"), F.lit(y0)), F.lit(y1)).alias("_ny"),
-        )
-        .groupBy("x", "y", "_nx", "_ny")
-        .agg(F.count(F.lit(1)).alias("_times"))
+
+    def seen(axis: str, low: int, high: int) -> tuple[Column, Column]:
+        """Places along an axis that see a cell, and how often place `_t` sees it."""
+        places = F.sequence(F.greatest(F.col(axis) - r, F.lit(low)), F.least(F.col(axis) + r, F.lit(high)))
+        at = F.col(f"_t{axis}")
+        times = F.when(F.col(axis) == low, low - at + r + 1).when(F.col(axis) == high, at - high + r + 1).otherwise(1)
+        return places, F.lit(size) if low == high else times
+
+    (xs, x_times), (ys, y_times) = seen("x", *bounds[:2]), seen("y", *bounds[2:])
+    names = df.columns
+    sent = df.withColumn("_tx", F.explode(xs)).withColumn("_ty", F.explode(ys))
+    own = (F.col("_tx") == F.col("x")) & (F.col("_ty") == F.col("y"))
+    sent = sent.select(
+        "_tx", "_ty", F.col(value).alias("_v"), (x_times * y_times).alias("_times"), F.when(own, F.struct(*names)).alias("_row")
     )
-    cells = df.select(F.col("x").alias("_nx"), F.col("y").alias("_ny"), F.col(value).alias("_v"))
-    seen = asked.join(cells.filter(F.col("_v").isNotNull()), ["_nx", "_ny"])
-    middle = (
-        seen.withColumn("_v", F.explode(F.array_repeat("_v", F.col("_times").cast("int"))))
-        .groupBy("x", "y")
-        .agg(F.median("_v").alias("_m"))
+    middle = sent.groupBy("_tx", "_ty").agg(
+        F.percentile("_v", 0.5, F.col("_times")).alias("_m"), F.first("_row", ignorenulls=True).alias("_row")
     )
-    joined = df.join(middle, ["x", "y"], "left")
-    return joined.withColumn(out or value, F.col("_m")).drop("_m")
+    rows = middle.filter(F.col("_row").isNotNull()).select("_row.*", "_m")
+    return rows.withColumn(out or value, F.when(F.col(value).isNotNull(), F.col("_m"))).drop("_m")
 
 
-def percentile_stretch(df: DataFrame, cols: list[str], lo: float = 0.02, hi: float = 0.98, max_rows=MAX_ROWS):
+def percentile_stretch(df: DataFrame, cols: list[str], lo: float = 0.02, hi: float = 0.98):
     """Stretch each band between two exact percentiles and clip to [0, 1]; the cut points are two
     scalars per band."""
     new = {}
     for c in cols:
-        cut = quantiles(df, [], c, {"lo": lo, "hi": hi}, max_rows).first()
+        cut = quantiles(df, [], c, {"lo": lo, "hi": hi}).first()
         if cut is None or cut["hi"] == cut["lo"]:
             new[c] = F.lit(None).cast("double")
         else:

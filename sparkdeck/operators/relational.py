@@ -6,14 +6,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-SMALL_ROWS = 100_000
-
-
-def lookup(df: DataFrame, dim: DataFrame, on: str, value: str, default, out: str, small=SMALL_ROWS):
-    """Left lookup of one column with a default. `dim` is broadcast only after its rows were counted."""
+def lookup(df: DataFrame, dim: DataFrame, on: str, value: str, default, out: str):
+    """Left lookup of one column with a default. Whether `dim` is broadcast is decided by its bytes at run time."""
     side = dim.select(F.col(on), F.col(value).alias(out))
-    if side.limit(small + 1).count() <= small:
-        side = F.broadcast(side)
     return df.join(side, on, "left").withColumn(out, F.coalesce(F.col(out), F.lit(default)))
 
 

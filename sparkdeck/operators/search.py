@@ -1,15 +1,22 @@
-"""Full-text search over several fields, each task scoring its own rows."""
+"""Full-text search over several fields, from a stored index.
+
+`build_index` reads the texts once and writes one row per (term, field, row): how often the term occurs and
+how long the field is, in folders by a hash of the term. Beside it stand the rows per (term, field) and the
+mean field lengths. A query reads only the folders of its own terms.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.text import count_of, strip_accents, tokens
+from ..functions.text import strip_accents, tokens
 
 # Saturation and length weights of the published ranking formula.
 K1, B = 1.2, 0.75
+#: folders of the index
+BUCKETS = 32
 
 
 def _words(col):
@@ -20,38 +27,54 @@ def query_terms(text: str) -> list[str]:
     return sorted(set(text.lower().split()))
 
 
-def matching(df: DataFrame, fields: list[str], query: str) -> DataFrame:
-    """Rows with any query term in any field; the query is an argument, never pasted into a text."""
-    terms = F.array(*[F.lit(t) for t in query_terms(query)])
-    return df.filter(reduce(lambda a, b: a | b, [F.arrays_overlap(_words(f), terms) for f in fields]))
+def _bucket(term: Column) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
+
+
+def build_index(df: DataFrame, id_col: str, fields: list[str], path: str) -> None:
+    """Write `postings`, `terms` and `fields` under `path`. Row ids must be unique."""
+    words = df.select(F.col(id_col).alias("id"), *[F.coalesce(_words(f), F.array().cast("array<string>")).alias(f) for f in fields])
+    long = words.select("id", F.inline(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("words")) for f in fields])))
+    counted = long.select("id", "field", F.size("words").alias("len"), F.explode("words").alias("term"))
+    postings = counted.groupBy("term", "field", "id", "len").agg(F.count(F.lit(1)).alias("tf"))
+    postings.withColumn("bucket", _bucket(F.col("term"))).repartition("bucket", "term", F.pmod(F.xxhash64("id"), F.lit(64))).write.partitionBy(
+        "bucket"
+    ).parquet(f"{path}/postings")
+    stored_rows = df.sparkSession.read.parquet(f"{path}/postings")
+    stored_rows.groupBy("bucket", "term", "field").agg(F.count(F.lit(1)).alias("df")).repartition("bucket").write.partitionBy("bucket").parquet(
+        f"{path}/terms"
+    )
+    long.groupBy("field").agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("words")).alias("mean")).write.parquet(f"{path}/fields")
+
 
+def _of_terms(spark: SparkSession, path: str, table: str, terms: list[str]) -> DataFrame:
+    """Rows of the query's terms; the folders of other terms are not read."""
+    literal = F.array(*[_bucket(F.lit(t)) for t in terms])
+    buckets = spark.range(1).select(literal).first()[0]
+    return spark.read.parquet(f"{path}/{table}").filter(F.col("bucket").isin(*set(buckets)) & F.col("term").isin(*terms))
 
-def search(df: DataFrame, id_col: str, fields: list[str], query: str, k: int) -> DataFrame:
+
+def matching(spark: SparkSession, path: str, query: str) -> DataFrame:
+    """Ids of rows with any query term in any field; the query is an argument, never pasted into a text."""
+    return _of_terms(spark, path, "postings", query_terms(query)).select("id").distinct()
+
+
+def search(spark: SparkSession, path: str, query: str, k: int) -> DataFrame:
     """Top k rows by the sum over fields of the term scores.
 
-    One pass takes a fixed number of scalars (rows, mean field lengths, document frequencies); a
-    second pass scores each row by itself and keeps the best k per task. Nothing is shuffled.
+    A fixed number of scalars (rows, mean lengths, document frequencies of the query's terms) makes the weights;
+    the postings of the terms are then scored one by one and summed per row.
     """
     terms = query_terms(query)
-    prepared = df.select(id_col, *[_words(f).alias(f"_w{i}") for i, f in enumerate(fields)])
-    counted = prepared.select(
-        id_col,
-        *[F.size(f"_w{i}").alias(f"_len{i}") for i in range(len(fields))],
-        *[count_of(F.col(f"_w{i}"), t).alias(f"_tf{i}_{j}") for i in range(len(fields)) for j, t in enumerate(terms)],
-    )
-    cells = [(i, j) for i in range(len(fields)) for j in range(len(terms))]
-    facts = counted.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.avg(f"_len{i}").alias(f"len{i}") for i in range(len(fields))],
-        *[F.sum((F.col(f"_tf{i}_{j}") > 0).cast("int")).alias(f"df{i}_{j}") for i, j in cells],
-    ).first()
-    score = F.lit(0.0)
-    for i, j in cells:
-        df_ij = facts[f"df{i}_{j}"] or 0
-        if not df_ij:
-            continue
-        weight = F.log(F.lit(1 + (facts["n"] - df_ij + 0.5) / (df_ij + 0.5)))
-        tf = F.col(f"_tf{i}_{j}")
-        score = score + weight * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col(f"_len{i}") / F.lit(facts[f"len{i}"])))
-    ranked = counted.select(id_col, score.alias("score")).filter(F.col("score") > 0)
-    return ranked.orderBy(F.round("score", 9).desc(), id_col).limit(k)
+    facts = {r["field"]: r for r in spark.read.parquet(f"{path}/fields").collect()}
+    weights = []
+    for r in _of_terms(spark, path, "terms", terms).collect():
+        n = facts[r["field"]]["n"]
+        weight = F.log(F.lit(1 + (n - r["df"] + 0.5) / (r["df"] + 0.5)))
+        length = 1 - B + B * F.col("len") / F.lit(facts[r["field"]]["mean"])
+        score = weight * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * length)
+        weights.append(((F.col("term") == r["term"]) & (F.col("field") == r["field"]), score))
+    found = _of_terms(spark, path, "postings", terms)
+    score = reduce(lambda rest, w: F.when(w[0], w[1]).otherwise(rest), weights, F.lit(0.0))
+    ranked = found.groupBy("id").agg(F.sum(score).alias("score"))
+    return ranked.orderBy(F.round("score", 9).desc(), "id").limit(k)

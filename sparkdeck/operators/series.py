@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType
 
 
 def _date_counts(df: DataFrame, id_col: str, date: str, value: str) -> tuple[DataFrame, int]:
@@ -30,13 +31,13 @@ def drop_sparse_dates(df: DataFrame, id_col: str, date: str, value: str, share:
 def complete(df: DataFrame, id_col: str, date: str) -> DataFrame:
     """One row per parcel and date of the table, null where nothing was observed.
 
-    Every parcel unfolds the days between the first and the last date (two scalars) and keeps those
-    that occur in the table.
+    Every parcel unfolds the distinct dates of the table (one scalar per date); a stray date adds one row per
+    parcel, as it does to the result.
     """
-    dates = df.select(date).distinct()
-    first, last = df.agg(F.min(date), F.max(date)).first()
-    days = F.explode(F.sequence(F.lit(first), F.lit(last), F.expr("INTERVAL 1 DAY")))
-    grid = df.select(id_col).distinct().withColumn(date, days).join(dates, date, "left_semi")
+    kind = df.schema[date].dataType
+    dates = df.agg(F.sort_array(F.collect_set(date))).first()[0]
+    days = F.array(*[F.lit(d) for d in dates]).cast(ArrayType(kind))
+    grid = df.select(id_col).distinct().withColumn(date, F.explode(days))
     return grid.join(df, [id_col, date], "left")
 
 

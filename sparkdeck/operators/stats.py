@@ -6,10 +6,10 @@ from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame, functions as F
 
-from .ordered import MAX_ROWS, Walk, quantiles
+from .ordered import Walk, quantiles
 
 
-def summary(df: DataFrame, cols: list[str], max_rows: int = MAX_ROWS) -> DataFrame:
+def summary(df: DataFrame, cols: list[str]) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles per column, one row per column."""
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     long = numbers.unpivot([], cols, "name", "value")
@@ -21,7 +21,7 @@ def summary(df: DataFrame, cols: list[str], max_rows: int = MAX_ROWS) -> DataFra
         F.max("value").alias("max"),
     )
     probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    return base.join(quantiles(long, ["name"], "value", probs, max_rows), "name", "left")
+    return base.join(quantiles(long, ["name"], "value", probs), "name", "left")
 
 
 def moments(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -42,10 +42,10 @@ def _pairs(df: DataFrame, cols: list[str], fn) -> DataFrame:
     return df.agg(F.array(*cells).alias("_s")).select(F.inline("_s"))
 
 
-def average_ranks(df: DataFrame, col: str, out: str, max_rows: int = MAX_ROWS) -> DataFrame:
+def average_ranks(df: DataFrame, col: str, out: str) -> DataFrame:
     """Rank of each value, ties share their mean rank; ranks come from counts per distinct value."""
     counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    walk = Walk(counts, [], [col], max_rows).add(running={"_upto": F.col("_n")}).result()
+    walk = Walk(counts, [], [col]).add(running={"_upto": F.col("_n")}).result()
     ranks = walk.select(col, (F.col("_upto") - (F.col("_n") - 1) / 2).alias(out))
     return df.join(ranks, col, "left")
 
@@ -64,6 +64,17 @@ def cov_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     return _pairs(df, cols, F.covar_samp)
 
 
+def cov_long(df: DataFrame, series: str, at: str, value: str) -> DataFrame:
+    """(a, b, value), a <= b: sample covariance of every two series in long form over the places both have.
+
+    The places are grouped, so a place holds one row per series.
+    """
+    left = df.select(F.col(at).alias("_at"), F.col(series).alias("a"), F.col(value).alias("_x"))
+    right = df.select(F.col(at).alias("_at"), F.col(series).alias("b"), F.col(value).alias("_y"))
+    pairs = left.join(right, "_at").filter(F.col("a") <= F.col("b"))
+    return pairs.groupBy("a", "b").agg(F.covar_samp("_x", "_y").alias("value"))
+
+
 def rmse(df: DataFrame, label: str, pred: str) -> DataFrame:
     err = F.col(label) - F.col(pred)
     return df.agg(F.avg(err * err).alias("mse"), F.sqrt(F.avg(err * err)).alias("rmse"), F.count(err).alias("n"))
@@ -116,7 +127,7 @@ def weighted_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     )
 
 
-def roc(df: DataFrame, label: str, score: str, max_rows: int = MAX_ROWS) -> DataFrame:
+def roc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Threshold table: rows with a score at or above each distinct score, true and false positive
     counts and rates. Rows are counted per score before anything is ordered."""
     per = (
@@ -128,7 +139,7 @@ def roc(df: DataFrame, label: str, score: str, max_rows: int = MAX_ROWS) -> Data
         )
         .withColumn("_neg", -F.col("threshold"))
     )
-    curve = Walk(per, [], ["_neg"], max_rows).add(running={"tp": F.col("_p"), "fp": F.col("_n")}).result("_neg")
+    curve = Walk(per, [], ["_neg"]).add(running={"tp": F.col("_p"), "fp": F.col("_n")}).result("_neg")
     totals = per.agg(F.sum("_p"), F.sum("_n")).first()
     pos, neg = float(totals[0] or 0), float(totals[1] or 0)
     return curve.withColumns(
@@ -139,19 +150,19 @@ def roc(df: DataFrame, label: str, score: str, max_rows: int = MAX_ROWS) -> Data
     )
 
 
-def auc(df: DataFrame, label: str, score: str, max_rows: int = MAX_ROWS) -> DataFrame:
+def auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Area under the curve: share of (positive, negative) pairs in the right order, ties half."""
-    curve = roc(df, label, score, max_rows)
+    curve = roc(df, label, score)
     # negatives strictly below a score = all negatives - fp; ties count half
     total_p, total_n = F.sum("_p"), F.sum("_n")
     above = F.sum(F.col("_p") * F.col("fp")) - F.sum(F.col("_p") * F.col("_n")) / 2
     return curve.agg((1 - above / F.nullif(total_p * total_n, F.lit(0))).alias("auc"))
 
 
-def best_threshold(df: DataFrame, label: str, score: str, max_rows: int = MAX_ROWS) -> DataFrame:
+def best_threshold(df: DataFrame, label: str, score: str) -> DataFrame:
     """Threshold with the largest true minus false positive rate (highest threshold on a tie)."""
     gain = F.round(F.col("tpr") - F.col("fpr"), 12)
-    return roc(df, label, score, max_rows).orderBy(gain.desc(), F.col("threshold").desc()).limit(1).select(
+    return roc(df, label, score).orderBy(gain.desc(), F.col("threshold").desc()).limit(1).select(
         "threshold", "tpr", "fpr"
     )
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.scalar import right_closed
-from ..operators import features, neighbours, ordered, relational as rel, stats
-from ..session import spread
+from ..operators import features, neighbours, ordered, relational as rel, similarity, stats
+from ..session import spread, stored
 from .groups import _ITEM_MEAN, with_item_mean
 from .registry import query
 from .text import STOP_WORDS, _CATALOGUE_SQL
@@ -98,8 +100,6 @@ def label_baselines(t):
     """SELECT l_partkey, l_orderkey, l_linenumber, l_quantity + l_discount AS total FROM lineitem""",
 )
 def assembled_vectors(t):
-    from pyspark.ml.functions import vector_to_array
-
     rows = features.assemble(t.lineitem, ["l_quantity", "l_discount"])
     v = vector_to_array("features")
     return rows.select("l_partkey", "l_orderkey", "l_linenumber", (v[0] + v[1]).alias("total"))
@@ -146,8 +146,6 @@ def categorical_detection(t):
     flag = F.when(F.col("l_returnflag") == "A", 10.0).when(F.col("l_returnflag") == "N", 20.0).otherwise(30.0)
     rows = features.assemble(t.lineitem.withColumn("flag", flag), ["l_extendedprice", "flag"])
     model, indexed = features.index_categories(rows, "features", "indexed")
-    from pyspark.ml.functions import vector_to_array
-
     # only the flag column is categorical and its values became 0, 1, 2
     found = indexed.select(vector_to_array("indexed")[1].alias("code")).filter(F.col("code") < len(model.categoryMaps[1]))
     return found.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("code").alias("flags"))
@@ -156,13 +154,31 @@ def categorical_detection(t):
 @query("l06_hashed_counts", f"SELECT doc_id, CAST(len({_CATALOGUE_SQL}) AS DOUBLE) AS total FROM documents")
 def hashed_counts(t):
     rows = spread(t.documents).select("doc_id", text.clean_catalogue(F.col("text"), STOP_WORDS).alias("words"))
-    from pyspark.ml.functions import vector_to_array
-
     v = vector_to_array(F.col("tf"))
     hashed = features.hashed_counts(rows, "words", 1000)
     return hashed.select("doc_id", F.aggregate(v, F.lit(0.0), lambda s, x: s + x).alias("total"))
 
 
+@query("l07_hashed_tf_idf", "SELECT count(*) AS n, true AS close FROM documents")
+def hashed_tf_idf(t):
+    """Weights from frequencies of training documents only; against the same without hashing, term by term."""
+    rows = spread(t.documents).select("doc_id", text.clean_catalogue(F.col("text"), STOP_WORDS).alias("words"))
+    rows = stored(rows, "words")
+    train, _ = rel.split_by_hash(rows, "doc_id", [0.7, 0.3], seed=4)
+    size = 1 << 15
+    hashed = features.weigh(rows, "words", features.hashed_tf_idf(train, "words", size), size)
+    sums = hashed.select("doc_id", F.aggregate(vector_to_array("features"), F.lit(0.0), lambda s, x: s + x).alias("hashed"))
+    counts = similarity.term_counts(rows, "doc_id", "words")
+    df = similarity.document_frequency(similarity.term_counts(train, "doc_id", "words"))
+    weight = F.col("tf") * similarity.idf(train.count(), F.coalesce("df", F.lit(0)))
+    exact = counts.join(df, "term", "left").groupBy(F.col("id").alias("doc_id")).agg(F.sum(weight).alias("exact"))
+    both = sums.join(exact, "doc_id", "left").withColumn("exact", F.coalesce("exact", F.lit(0.0)))
+    # terms that share a bucket count as one term, so weights are lowered a little and never raised
+    share = F.sum("hashed") / F.sum("exact")
+    lowered = F.every(F.col("hashed") <= F.col("exact") * (1 + 1e-9) + 1e-9)
+    return both.agg(F.count("hashed").alias("n"), (lowered & (share > 0.5)).alias("close"))
+
+
 @query(
     "l08_stop_words",
     """SELECT word, count(*) AS n FROM (SELECT unnest(list_filter(regexp_split_to_array(lower(text), '[ \\t\\n\\r\\f\\x0B]+'),
@@ -213,20 +229,22 @@ def one_hot(t):
     return features.long_form(rows, "vec_id", "hot")
 
 
-@query("l11_principal_components")
+@query(
+    "l11_principal_components",
+    f"""SELECT l_orderkey, l_linenumber, round({" + ".join(f"power((l_{c} - m_{c}) / s_{c}, 2)" for c in ("quantity", "extendedprice", "discount", "tax"))}, 4) AS length
+        FROM lineitem, (SELECT {", ".join(f"avg(l_{c}) AS m_{c}, stddev_samp(l_{c}) AS s_{c}" for c in ("quantity", "extendedprice", "discount", "tax"))} FROM lineitem)""",
+)
 def principal_components(t):
-    _, rows = features.pca(t.lineitem, COLS, 3)
-    from pyspark.ml.functions import vector_to_array
-
-    v = vector_to_array("components")
-    return rows.select("l_orderkey", "l_linenumber", *[F.round(v[i], 4).alias(f"c{i + 1}") for i in range(3)])
+    """All components together are a rotation: every row keeps the length it has in standardised columns."""
+    names = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    _, rows = features.pca(t.lineitem, names, len(names))
+    length = F.aggregate(vector_to_array("components"), F.lit(0.0), lambda s, x: s + x * x)
+    return rows.select("l_orderkey", "l_linenumber", F.round(length, 4).alias("length"))
 
 
 @query("l11_component_variances", "SELECT count(*) AS n, true AS centred, true AS falling, true AS uncorrelated FROM lineitem")
 def component_variances(t):
     _, rows = features.pca(t.lineitem, COLS, 3)
-    from pyspark.ml.functions import vector_to_array
-
     v = vector_to_array("components")
     c = rows.select(*[v[i].alias(f"c{i}") for i in range(3)])
     spread_of = [F.var_samp(f"c{i}") for i in range(3)]
@@ -245,15 +263,19 @@ def label_recode(t):
 
 @query(
     "l15_oversampling",
-    """SELECT is_rare, synthetic, n FROM (SELECT true AS is_rare, false AS synthetic, count(*) AS n FROM events WHERE event_type = 'purchase'
-         UNION ALL SELECT true, true, 2 * count(*) FROM events WHERE event_type = 'purchase')""",
+    """WITH n AS (SELECT count(*) AS rare FROM events WHERE event_type = 'purchase')
+       SELECT true AS is_rare, false AS synthetic, rare AS n, true AS near_aim FROM n UNION ALL SELECT true, true, 2 * rare, true FROM n
+       UNION ALL SELECT false, false, 3 * rare, true FROM n""",
 )
 def oversampling(t):
     rare = (F.col("event_type") == "purchase").cast("int").alias("rare")
     rows = t.v_points.join(t.events.select("event_id", rare), "event_id")
     out = neighbours.oversample(rows, "event_id", ["lon", "lat"], "rare", 1, over=2, under=1.5)
     per = out.groupBy((F.col("rare") == 1).alias("is_rare"), "synthetic").agg(F.count(F.lit(1)).alias("n"))
-    return per.filter("is_rare")
+    # the majority is thinned by a hash, so its number is near the aim, not on it
+    aim = 3 * F.max(F.when(F.col("is_rare") & ~F.col("synthetic"), F.col("n"))).over(Window.partitionBy())
+    near = F.col("is_rare") | (F.abs(F.col("n") / aim - 1) < 0.2)
+    return per.select("is_rare", "synthetic", F.when(F.col("is_rare"), F.col("n")).otherwise(aim).alias("n"), near.alias("near_aim"))
 
 
 @query("l16_missing_marker", "SELECT event_id, coalesce(CAST(flag AS DOUBLE), -2.0) AS flag FROM v_sensor")
@@ -319,6 +341,18 @@ def auc(t):
     return stats.auc(scored_events(t), "y", "s").select(F.round("auc", 8).alias("auc"))
 
 
+@query(
+    "m17_best_threshold",
+    f"""SELECT threshold, round(tpr, 8) AS tpr, round(fpr, 8) AS fpr FROM
+         (SELECT s AS threshold, sum(p) OVER w / sum(p) OVER () AS tpr, sum(n) OVER w / sum(n) OVER () AS fpr FROM
+           (SELECT s, sum(y) AS p, sum(1 - y) AS n FROM {_SCORED} GROUP BY s) WINDOW w AS (ORDER BY s DESC))
+       ORDER BY round(tpr - fpr, 12) DESC, threshold DESC LIMIT 1""",
+)
+def best_threshold(t):
+    out = stats.best_threshold(scored_events(t), "y", "s")
+    return out.select("threshold", F.round("tpr", 8).alias("tpr"), F.round("fpr", 8).alias("fpr"))
+
+
 @query(
     "m17_fixed_cut_off",
     f"""SELECT CASE WHEN s >= 12 THEN 1 ELSE 0 END AS alarm, y, count(*) AS n FROM {_SCORED} GROUP BY 1, 2""",

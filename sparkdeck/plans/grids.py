@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import haversine
 from ..operators import ordered, raster, series, spatial, stats
-from ..session import spread, stored
+from ..session import fresh_path, spread, stored
 from .registry import query
 
 NDVI = "SELECT *, CASE WHEN nir + red <> 0 THEN (nir - red) / (nir + red) END AS ndvi FROM v_pixels"
@@ -160,6 +160,23 @@ def zonal_stats(t):
     return raster.zonal_stats(zoned, "zone", "ndvi").select("zone", *r6("min", "max", "mean", "median", "std"))
 
 
+@query(
+    "o16_zonal_stats_of_polygons",
+    f"""SELECT zone, round(min(ndvi), 6) AS min, round(max(ndvi), 6) AS max, round(avg(ndvi), 6) AS mean,
+               round(median(ndvi), 6) AS median, round(stddev_pop(ndvi), 6) AS std, count(ndvi) AS n
+        FROM ({NDVI}) JOIN (SELECT s_suppkey AS zone, s_suppkey * 37 % 128 + 0.25 AS cx, s_suppkey * 53 % 100 + 0.25 AS cy FROM supplier)
+          ON abs(x - cx) + abs(y - cy) < 9.1 GROUP BY zone""",
+)
+def zonal_stats_of_polygons(t):
+    """Figures of the pixels whose centres lie in each polygon; polygons may overlap."""
+    cx, cy = (F.col("s_suppkey") * 37 % 128) + 0.25, (F.col("s_suppkey") * 53 % 100) + 0.25
+    corners = [F.struct((cx + dx).alias("x"), (cy + dy).alias("y")) for dx, dy in ((9.1, 0), (0, 9.1), (-9.1, 0), (0, -9.1))]
+    zones = t.supplier.select(F.col("s_suppkey").alias("zone"), F.array(*corners).alias("ring"))
+    placed = spatial.point_in_polygon(ndvi(t.v_pixels).select("x", "y", "ndvi"), zones, "x", "y", "zone")
+    out = raster.zonal_stats(placed, "zone", "ndvi").select("zone", *r6("min", "max", "mean", "median", "std"))
+    return out.join(placed.groupBy("zone").agg(F.count("ndvi").alias("n")), "zone")
+
+
 _DATES = ["2024-01-01", "2024-01-02", "2024-01-03", "2024-01-11", "2024-01-20"]
 
 
@@ -279,6 +296,7 @@ def two_date_features(t):
 
 # --- points ------------------------------------------------------------------------------------------
 
+# an own rectangle over the sample points
 RECT = (-113.79, -109.73, 32.99, 35.08)
 _IN = "lon BETWEEN -113.79 AND -109.73 AND lat BETWEEN 32.99 AND 35.08"
 
@@ -290,7 +308,9 @@ def points_in_rectangle(t):
 
 @query("p02_rectangle_by_cell", f"SELECT count(*) AS n FROM v_points WHERE {_IN}")
 def rectangle_by_cell(t):
-    located = spatial.with_cell(t.v_points, "lon", "lat", 0.5)
+    path = fresh_path(t.spark, "cells")
+    spatial.write_cells(t.v_points, "lon", "lat", 0.5, path)
+    located = t.spark.read.parquet(path)
     return spatial.in_rectangle_by_cell(located, "lon", "lat", RECT, 0.5).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -319,7 +339,7 @@ def points_in_polygons(t):
 
     ring = F.array(corner(0.4, 0), corner(0, 0.4), corner(-0.4, 0), corner(0, -0.4))
     diamonds = t.supplier.select(F.col("s_suppkey").alias("polygon_id"), ring.alias("ring"))
-    found = spatial.point_in_polygon(spread(t.v_points), diamonds, "lon", "lat", 0.5)
+    found = spatial.point_in_polygon(spread(t.v_points), diamonds, "lon", "lat")
     return found.select("event_id", "polygon_id")
 
 
@@ -453,9 +473,8 @@ def state_and_counter(t):
          AND ev.ts < i.e) AS INTEGER) AS danger FROM events ev) GROUP BY 1, 2""",
 )
 def danger_by_scenario(t):
-    # small=0 sends the intervals through the sweep instead of a broadcast
     rows = t.events.select("event_id", "event_type", "ts")
-    marked = ordered.covered(rows, t.v_intervals, ["event_type"], "ts", "danger", small=0)
+    marked = ordered.covered(rows, t.v_intervals, ["event_type"], "ts", "danger")
     return marked.groupBy("event_type", "danger").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -469,35 +488,25 @@ def truth_per_scenario(t):
     return t.labels.join(scenes, "doc_id").groupBy("source", "quality", "toxic").agg(F.count(F.lit(1)).alias("n"))
 
 
-_WIDE = """SELECT month, max(CASE WHEN asset = '1-URGENT' THEN ret END) AS a, max(CASE WHEN asset = '2-HIGH' THEN ret END) AS b,
-                  max(CASE WHEN asset = '5-LOW' THEN ret END) AS c
-           FROM (SELECT asset, month, (price - lag(price) OVER w) / lag(price) OVER w AS ret FROM v_monthly
-                 WINDOW w AS (PARTITION BY asset ORDER BY month)) GROUP BY month"""
-
+_RETURNS = """r AS (SELECT asset, month, (price - lag(price) OVER w) / lag(price) OVER w AS ret FROM v_monthly
+                        WINDOW w AS (PARTITION BY asset ORDER BY month))"""
 
-def _wide_returns(t):
-    out = ordered.period_return(t.v_monthly, ["asset"], ["month"], "price")
-    names = {"a": "1-URGENT", "b": "2-HIGH", "c": "5-LOW"}
-    cells = [F.max(F.when(F.col("asset") == v, F.col("ret"))).alias(k) for k, v in names.items()]
-    return out.groupBy("month").agg(*cells)
 
-
-def _pair_sql(fn, source):
-    pairs = [("a", "a"), ("a", "b"), ("a", "c"), ("b", "b"), ("b", "c"), ("c", "c")]
-    return f"WITH r AS ({source}) " + " UNION ALL ".join(
-        f"SELECT '{p}' AS a, '{q}' AS b, round({fn}({p}, {q}), 8) AS value FROM r" for p, q in pairs
-    )
+def _returns(t):
+    return ordered.period_return(t.v_monthly, ["asset"], ["month"], "price")
 
 
-@query("q08_return_covariance", _pair_sql("covar_samp", _WIDE))
+@query(
+    "q08_return_covariance",
+    f"""WITH {_RETURNS}
+        SELECT a.asset AS a, b.asset AS b, round(covar_samp(a.ret, b.ret), 8) AS value
+        FROM r a JOIN r b ON a.month = b.month AND a.asset <= b.asset GROUP BY 1, 2""",
+)
 def return_covariance(t):
-    return stats.cov_matrix(_wide_returns(t), ["a", "b", "c"]).withColumn("value", F.round("value", 8))
+    """Covariance of every two assets over their common months."""
+    return stats.cov_long(_returns(t), "asset", "month", "ret").withColumn("value", F.round("value", 8))
 
 
-@query(
-    "k03_expected_return",
-    f"SELECT 'a' AS name, round(avg(a), 8) AS mean FROM ({_WIDE}) UNION ALL SELECT 'b', round(avg(b), 8) FROM ({_WIDE})",
-)
+@query("k03_expected_return", f"WITH {_RETURNS} SELECT asset AS name, round(avg(ret), 8) AS mean FROM r GROUP BY asset")
 def expected_return(t):
-    out = stats.moments(_wide_returns(t), ["a", "b"])
-    return out.select("name", F.round("mean", 8).alias("mean"))
+    return _returns(t).groupBy(F.col("asset").alias("name")).agg(F.round(F.avg("ret"), 8).alias("mean"))

@@ -176,9 +176,16 @@ def random_split(t):
     )
 
 
-@query("b21_subsample")
+@query("b21_subsample", "SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey")
 def subsample(t):
-    return rel.sample_by_hash(t.lineitem, "l_orderkey", 0.1, seed=3).select("l_orderkey", "l_partkey", "l_quantity")
+    """Ten samples at growing rates: an order's lines are in all samples from some rate on, and in the last one."""
+    rows = t.lineitem.select("l_orderkey")
+    first = F.min("rate")
+    grown = rel.union_all([rel.sample_by_hash(rows, "l_orderkey", r / 10, seed=3).withColumn("rate", F.lit(r)) for r in range(1, 11)])
+    per = grown.groupBy("l_orderkey", "rate").agg(F.count(F.lit(1)).alias("n"))
+    per = per.groupBy("l_orderkey").agg(first.alias("first"), F.count(F.lit(1)).alias("rates"), F.min("n").alias("low"), F.max("n").alias("high"))
+    nested = (F.col("first") + F.col("rates") == 11) & (F.col("low") == F.col("high"))
+    return per.select("l_orderkey", F.when(nested, F.col("high")).alias("n"))
 
 
 @query("b21_subsample_share", "SELECT count(*) AS n, true AS near_rate, true AS nested FROM lineitem")

@@ -8,9 +8,11 @@ from ..functions import records, scalar, text
 from ..functions.stems import stem_tokens
 from ..operators import features, ordered, search as find, similarity
 from ..operators.raster import COLOR_RAMP
-from ..session import spread
+from ..session import fresh_path, spread
 from .registry import query
 
+#: words that have an index of their own; all others decode to the default
+VOCABULARY_SIZE = 300
 STOP_WORDS = ["the", "and", "les", "des", "une", "der", "die", "das", "los", "las"]
 
 _PUNCT = r"[!-/:-@\[-`{-~]"
@@ -328,7 +330,7 @@ _WORDS = "list_filter(regexp_split_to_array(lower(text), '[ \\t\\n\\r\\f\\x0B]+'
     "h30_decode_indexes",
     f"""WITH w AS (SELECT conv_id * 1000 + turn AS id, unnest({_WORDS}) AS word, generate_subscripts({_WORDS}, 1) AS pos
                    FROM conversations),
-         top AS (SELECT word FROM (SELECT word, count(*) AS n FROM w GROUP BY 1) ORDER BY n DESC, word LIMIT 300)
+         top AS (SELECT word FROM (SELECT word, count(*) AS n FROM w GROUP BY 1) ORDER BY n DESC, word LIMIT {VOCABULARY_SIZE})
        SELECT id, md5(string_agg(coalesce(top.word, '?'), ' ' ORDER BY pos)) AS text
        FROM w LEFT JOIN top ON top.word = w.word GROUP BY id""",
 )
@@ -336,7 +338,7 @@ def decode_indexes(t):
     key = (F.col("conv_id") * 1000 + F.col("turn")).alias("id")
     docs = t.conversations.select(key, text.tokens(F.lower("text")).alias("words"))
     counts = docs.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.col("n").desc(), "word").limit(300).withColumn("_neg", -F.col("n"))
+    top = counts.orderBy(F.col("n").desc(), "word").limit(VOCABULARY_SIZE).withColumn("_neg", -F.col("n"))
     dictionary = ordered.row_index(top, [], ["_neg", "word"]).select("word", "idx")
     coded = features.encode_tokens(docs, "id", "words", dictionary)
     return features.decode_tokens(coded, "id", "ids", dictionary).withColumn("text", F.md5("text"))
@@ -417,7 +419,8 @@ def cosine_pairs(t):
       near AS (SELECT g.id, o.id AS other, sim FROM groups g JOIN both_ways ON a = g.rep JOIN groups o ON o.rep = b
                WHERE o.id <> g.id),
       ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY sim DESC, other) AS rank FROM near)
-    SELECT r.id, other, a.source AS source, b.source AS other_source, round(sim, 6) AS sim, rank FROM ranked r
+    SELECT r.id, other, a.source AS source, b.source AS other_source, round(sim, 6) AS sim, rank,
+           least(n, 5) AS found FROM (SELECT *, count(*) OVER (PARTITION BY id) AS n FROM ranked) r
     JOIN documents a ON a.doc_id = r.id JOIN documents b ON b.doc_id = other WHERE rank <= 5""",
 )
 def most_similar(t):
@@ -459,9 +462,15 @@ def _talk(t):
     return t.conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text", "role")
 
 
+def _index(t):
+    path = fresh_path(t.spark, "index")
+    find.build_index(_talk(t), "id", _SEARCH_FIELDS, path)
+    return path
+
+
 @query("n09_text_search", _search_sql())
 def text_search(t):
-    return find.search(_talk(t), "id", _SEARCH_FIELDS, _SEARCH_QUERY, 20).withColumn("score", F.round("score", 6))
+    return find.search(t.spark, _index(t), _SEARCH_QUERY, 20).withColumn("score", F.round("score", 6))
 
 
 @query(
@@ -470,4 +479,4 @@ def text_search(t):
         WHERE list_has_any({_word_sql('text')}, ['reti', 'the']) OR list_has_any({_word_sql('role')}, ['reti', 'the'])""",
 )
 def match_any_clause(t):
-    return find.matching(_talk(t), _SEARCH_FIELDS, "reti the").select("id")
+    return find.matching(t.spark, _index(t), "reti the")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,7 @@ SETTINGS = {
 }
 
 _local_roots: dict[str, str] = {}
+_written: list[str] = []
 
 
 def session(app: str = "sparkdeck", master: str | None = None, **extra: str) -> SparkSession:
@@ -51,7 +53,31 @@ def workspace(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{workspace(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A folder of its own below the workspace, deleted by `scratch` or `clean`."""
+    path = f"{workspace(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _written.append(path)
+    return path
+
+
+def clean(spark: SparkSession, since: int = 0) -> None:
+    """Delete what `fresh_path` and `stored` have given out, from number `since` on."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while len(_written) > since:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Own the intermediate tables of a block: they are deleted when it ends.
+
+    A result is lazy, so write or collect it inside the block.
+    """
+    mark = len(_written)
+    try:
+        yield
+    finally:
+        clean(spark, mark)
 
 
 def stored(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -66,9 +92,12 @@ def shuffle_width(spark: SparkSession) -> int:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal a table that arrives in fewer splits than there are cores over all cores.
+    """Deal a table over all cores if its bytes fill fewer splits than there are cores.
 
-    For heavy per-row work on small inputs; a table with enough splits is left as it is.
+    Only the place of rows changes, and what moves is at most one split per core; larger tables stay.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df.repartition(cores) if int(str(size)) < cores * split else df

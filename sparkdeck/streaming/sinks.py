@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -33,21 +35,53 @@ def append_batches(stream: DataFrame, path: str, checkpoint: str) -> None:
     run_available(stream.writeStream.outputMode("append").foreachBatch(write), checkpoint)
 
 
-def update_table(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Changed aggregate rows of each batch under their batch number; read with `current`."""
+def _numbered(spark: SparkSession, path: str, name: str) -> dict[int, str]:
+    """Number -> folder, for the complete folders `path`/`name`=number."""
+    jvm = spark._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/{name}=*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    folders = [status.getPath().getParent() for status in found]
+    return {int(f.getName().split("=")[1]): f.toString() for f in folders}
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def update_table(stream: DataFrame, path: str, checkpoint: str, keys: list[str], compact_every: int = 100) -> None:
+    """Changed aggregate rows of each batch under their batch number; read with `current`.
+
+    After every `compact_every` batches the newest row per key is written as the new base and the folders
+    that it covers are deleted, so the log stays as long as that many batches. A crash in between leaves a
+    base that is complete or ignored; folders it covers are not read again.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        if (batch_id + 1) % compact_every == 0:
+            spark = batch.sparkSession
+            current(spark, path, keys).write.mode("overwrite").parquet(f"{path}-base/upto={batch_id}")
+            for name, at in (("batch_id", path), ("upto", f"{path}-base")):
+                for number, folder in _numbered(spark, at, name).items():
+                    if number < batch_id + (name == "batch_id"):
+                        _delete(spark, folder)
 
     run_available(stream.writeStream.outputMode("update").foreachBatch(write), checkpoint)
 
 
 def current(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Newest row per key of a table written by `update_table`."""
-    rows = spark.read.parquet(path)
-    rest = [c for c in rows.columns if c not in keys and c != "batch_id"]
-    newest = F.max_by(F.struct(*rest), F.col("batch_id")).alias("_row")
-    return rows.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    """Newest row per key of a table written by `update_table`: the last base and the batches after it."""
+    bases = _numbered(spark, f"{path}-base", "upto")
+    upto = max(bases, default=-1)
+    log = {n: folder for n, folder in _numbered(spark, path, "batch_id").items() if n > upto}
+    parts = [spark.read.parquet(f).withColumn("_batch", F.lit(n)) for n, f in log.items()]
+    if bases:
+        parts.append(spark.read.parquet(bases[upto]).withColumn("_batch", F.lit(upto)))
+    rows = reduce(DataFrame.unionByName, parts)
+    rest = [c for c in rows.columns if c not in keys and c != "_batch"]
+    newest_row = F.max_by(F.struct(*rest), F.col("_batch")).alias("_row")
+    return rows.groupBy(*keys).agg(newest_row).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
 def upsert_table(stream: DataFrame, path: str, checkpoint: str, key: list[str], version: str) -> None:

@@ -10,12 +10,9 @@ from ..sources.connectors import stream_topic
 __all__ = ["stream_files", "stream_topic", "event_time"]
 
 
-def stream_files(spark: SparkSession, path: str, schema: StructType, fmt="parquet", files_per_batch=None) -> DataFrame:
-    """Files that arrive under a folder or glob."""
-    reader = spark.readStream.schema(schema).format(fmt)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+def stream_files(spark: SparkSession, path: str, schema: StructType, fmt="parquet", files_per_batch: int = 1000) -> DataFrame:
+    """Files that arrive under a folder or glob; a backlog is taken in batches of `files_per_batch` files."""
+    return spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", files_per_batch).load(path)
 
 
 def event_time(df: DataFrame, ts: str) -> DataFrame:

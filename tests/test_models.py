@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from sparkdeck.operators import features, recommend, relational as rel, stats
 from sparkdeck.operators.models import anomaly, classification as cls, clustering, regression, tuning
+from sparkdeck.plans import learn
+from sparkdeck.plans.views import Tables
 
 
 def blobs(spark, centres, n, spread=0.05, seed=1):
@@ -102,7 +104,7 @@ def test_components_of_a_long_shuffled_chain(spark):
     names = list(range(500))
     random.Random(8).shuffle(names)
     edges = spark.createDataFrame([(min(a, b), max(a, b)) for a, b in zip(names, names[1:]) if names.index(a) != 299], "a int, b int")
-    out = clustering.components(spark.range(500).selectExpr("cast(id as int) node"), edges, max_rounds=25)
+    out = clustering.components(spark.range(500).selectExpr("cast(id as int) node"), edges)
     want = {n: min(names[:300]) for n in names[:300]} | {n: min(names[300:]) for n in names[300:]}
     assert {r.node: r.root for r in out.collect()} == want
 
@@ -135,17 +137,27 @@ def test_factors_fit_low_rank_ratings(spark):
     model = recommend.train(spark.createDataFrame(rows, schema), rank=3, iters=10, reg=0.01)
     error = recommend.pair_error(model, spark.createDataFrame([*held, (999, 1, 1.0)], schema)).first()
     assert error.rmse < 0.2 and error.n == len(held)
-    best = recommend.recommend(model, 3, spark.createDataFrame([(4,)], "user_id int")).collect()
+    best = model.recommend(3, spark.createDataFrame([(4,)], "user_id int")).orderBy("rank").collect()
     assert [r["rank"] for r in best] == [1, 2, 3] and best[0].score >= best[2].score
 
 
 def test_newsletter_rules(spark):
     scores = spark.createDataFrame([("1", 10, 4.0), ("1", 11, 1.0), ("2", 10, 2.0)], "uid string, index bigint, score double")
-    offered = spark.createDataFrame([(u, i, 1.0 - i / 100) for u in (1, 2) for i in (10, 11, 12, 13)], "uid int, index int, score double")
+    offered = spark.createDataFrame([(u, i, 1.0 - i / 100) for u in ("1", "2") for i in (10, 11, 12, 13)], "uid string, index bigint, score double")
     emails = spark.createDataFrame([(1, "a@x")], "id bigint, email string")
     stock = spark.createDataFrame([(i, f"p{i}") for i in (10, 11, 12, 13)], "index bigint, pid string")
     out = recommend.newsletter(scores, offered, emails, stock, 2)
-    assert sorted(tuple(r) for r in out.collect()) == [("a@x", 1, "p11"), ("a@x", 1, "p12")]
+    assert sorted((r.email, r.uid, r.pid) for r in out.collect()) == [("a@x", "1", "p11"), ("a@x", "1", "p12")]
+    assert [r.uid for r in recommend.mailed(scores, emails).collect()] == ["1"]
+
+
+def test_ids_of_any_size_and_type(spark):
+    """Users beyond 2^53 and text items keep their names."""
+    rows = [(2**60 + u, f"item{i}", 5.0 if (u + i) % 2 else 1.0) for u in range(12) for i in range(10) if (u * 3 + i) % 4]
+    ratings = spark.createDataFrame(rows, "user_id bigint, item_id string, rating double")
+    model = recommend.train(ratings, rank=3, iters=8, reg=0.01)
+    best = model.recommend(4, ratings.filter(F.col("user_id") == 2**60 + 1).select("user_id")).collect()
+    assert {r.user_id for r in best} == {2**60 + 1} and {int(r.item_id[4:]) % 2 for r in best} == {0}
 
 
 def test_latest_known_user_per_visitor(spark):
@@ -181,3 +193,31 @@ def test_two_stage_scores(spark):
     score, fit = cls.two_stage(df, "q", trees=5)
     out = score(df).collect()
     assert all(r.expected == 0 for r in out if r.b == 0) and fit > 0.5
+
+
+# --- checks that a wrong model must not pass ----------------------------------------------------------
+
+def test_quality_refuses_constant_random_and_no_predictions(spark, sf_dir):
+    rows = learn.planted(Tables(spark, sf_dir))
+    for wrong in (F.lit(0.0), F.floor(F.rand(1) * 4).cast("double")):
+        assert learn.quality(rows.withColumn("prediction", wrong)).first().good is False
+    assert learn.quality(rows.withColumn("prediction", F.col("label"))).first().good is True
+    empty = learn.quality(rows.limit(0).withColumn("prediction", F.lit(0.0))).first()
+    assert (empty.n, empty.good) == (0, False)
+
+
+def test_search_figures_refuse_what_does_not_learn(spark):
+    def table(metrics):
+        return spark.createDataFrame([(f"s{k}", float(m)) for k, m in enumerate(metrics)], "setting string, metric double")
+
+    assert tuple(learn.searched(table([0.95, 0.5, 0.7, 0.95])).first()) == (4, True, True)
+    assert tuple(learn.searched(table([0.3, 0.3, 0.3, 0.3])).first()) == (4, False, False)
+    assert learn.searched(table([])).first().n == 0
+
+
+def test_lists_of_a_constant_recommender_are_refused(spark):
+    same = [(u, i, 1.0, i) for u in (1, 2) for i in range(1, 21)]
+    rows = spark.createDataFrame(same, "user_id bigint, item_id bigint, score double, rank int")
+    assert {r.n_liked for r in learn.judged(rows).collect()} == {10}
+    rising = rows.withColumn("score", F.col("rank").cast("double"))
+    assert not any(r.falling for r in learn.judged(rising).collect())

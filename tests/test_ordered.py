@@ -1,7 +1,9 @@
 import random
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sparkdeck.operators import ordered
@@ -21,43 +23,70 @@ def skewed(spark):
 
 
 def same(f):
-    whole, cut = f(10**9), f(15)
+    """One block and many give the same rows; a plain window is the judge in the tests below."""
+    whole, cut = f(1), f(40)
     cols = whole.columns
     assert rows_by(whole) == rows_by(cut.select(*cols))
 
 
 def test_cut_keys_give_the_same_running_values(skewed):
-    same(lambda m: ordered.row_index(skewed, ["k"], ["t"], max_rows=m))
-    same(lambda m: ordered.running_sum(skewed.fillna(0.0), ["k"], ["t"], "v", "total", max_rows=m))
-    same(lambda m: ordered.row_index(skewed, [], ["t", "k"], max_rows=m))
+    same(lambda n: ordered.row_index(skewed, ["k"], ["t"], partitions=n))
+    same(lambda n: ordered.running_sum(skewed.fillna(0.0), ["k"], ["t"], "v", "total", partitions=n))
+    same(lambda n: ordered.row_index(skewed, [], ["t", "k"], partitions=n))
 
 
 def test_cut_keys_give_the_same_runs(skewed):
-    same(lambda m: ordered.state_run_length(skewed, ["k"], ["t"], ["v", "s"], max_rows=m))
-    same(lambda m: ordered.state_run_length(skewed, ["k"], ["t"], ["s"], when_null=("v", ["k"]), max_rows=m))
-    same(lambda m: ordered.nonzero_run(skewed, ["k"], ["t"], "v", max_rows=m))
+    same(lambda n: ordered.state_run_length(skewed, ["k"], ["t"], ["v", "s"], partitions=n))
+    same(lambda n: ordered.state_run_length(skewed, ["k"], ["t"], ["s"], when_null=("v", ["k"]), partitions=n))
+    same(lambda n: ordered.nonzero_run(skewed, ["k"], ["t"], "v", partitions=n))
 
 
 def test_cut_keys_give_the_same_fill_and_returns(skewed):
-    same(lambda m: ordered.interpolate(skewed, ["k"], "t", "v", "f", max_rows=m).withColumn("f", F.round("f", 9)))
-    same(lambda m: ordered.interpolate(skewed, ["k"], "t", "v", "f", True, m).withColumn("f", F.round("f", 9)))
-    same(lambda m: ordered.period_return(skewed, ["k"], ["t"], "v", max_rows=m))
+    same(lambda n: ordered.interpolate(skewed, ["k"], "t", "v", "f", partitions=n).withColumn("f", F.round("f", 9)))
+    same(lambda n: ordered.interpolate(skewed, ["k"], "t", "v", "f", True, n).withColumn("f", F.round("f", 9)))
+    same(lambda n: ordered.period_return(skewed, ["k"], ["t"], "v", partitions=n))
 
 
-def test_cut_keys_with_null_key_and_text_order(spark):
+def numbered(df, by, order):
+    """Row numbers from the walk and from a plain window agree on every row."""
+    window = Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
+    both = ordered.row_index(df, by, order, partitions=30).withColumn("want", F.row_number().over(window))
+    assert both.count() == df.count()
+    assert both.filter("idx <> want").count() == 0
+
+
+def test_text_that_starts_alike_then_another_column(spark):
+    rows = [(f"https:{i % 20:02d}", i) for i in range(400)]
+    numbered(spark.createDataFrame(rows, "name string, id int"), [], ["name", "id"])
+
+
+def test_nulls_infinities_and_nan(spark):
+    values = [None, float("-inf"), float("inf"), float("nan"), 0.0, -1.5]
+    rows = [(values[i % 6], i) for i in range(400)]
+    numbered(spark.createDataFrame(rows, "v double, id int"), [], ["v", "id"])
+    two = spark.createDataFrame([(None if i % 2 else float("-inf"), i) for i in range(400)], "v double, id int")
+    numbered(two, [], ["v", "id"])
+
+
+def test_long_ids_and_wide_decimals(spark):
+    rows = [(2**60 + i % 20, i) for i in range(400)]
+    numbered(spark.createDataFrame(rows, "big bigint, id int"), [], ["big", "id"])
+    wide = spark.createDataFrame([(Decimal(10**25 + i % 20), i) for i in range(400)], "d decimal(38,0), id int")
+    numbered(wide, [], ["d", "id"])
+
+
+def test_null_key_and_text_order(spark):
     rows = [(None if i % 2 else "x", f"id{i:04d}", float(i % 5)) for i in range(300)]
-    df = spark.createDataFrame(rows, "k string, o string, v double")
-    same(lambda m: ordered.row_index(df, ["k"], ["o"], max_rows=m))
+    numbered(spark.createDataFrame(rows, "k string, o string, v double"), ["k"], ["o"])
 
 
-def test_order_column_with_few_values_is_cut_by_the_next(spark):
-    rows = [(None if i % 3 == 0 else float(i % 2), float("nan") if i % 7 == 0 else 1.0, i, float(i)) for i in range(600)]
-    df = spark.createDataFrame(rows, "a double, b double, i int, v double")
-    same(lambda m: ordered.row_index(df.select("a", "b", "i"), [], ["a", "b", "i"], max_rows=m).drop("b"))
-    same(lambda m: ordered.running_sum(df, [], ["a", "i"], "v", "t", max_rows=m).drop("b"))
-    walk = ordered.Walk(df, [], ["a", "i"], 20)
-    largest = walk.df.groupBy(ordered.BLOCK).count().agg(F.max("count")).first()[0]
-    assert largest <= 40
+def test_hot_keys_with_disjoint_ranges_are_cut_evenly(spark):
+    df = spark.range(8000).select((F.col("id") % 8).alias("k"), (F.col("id") + (F.col("id") % 8) * 10**6).alias("t"))
+    numbered(df, ["k"], ["t"])
+    walk = ordered.Walk(df, ["k"], ["t"], 80)
+    largest = walk.df.groupBy("k", ordered.BLOCK).count().agg(F.max("count")).first()[0]
+    assert largest <= 200
+    assert walk.cut.count() <= 80
 
 
 def test_run_length_by_hand(spark):
@@ -87,8 +116,8 @@ def test_quantiles_match_sorting(spark):
     rows = [(i % 3, rng.choice([float("nan"), None, rng.random(), 0.5])) for i in range(400)]
     df = spark.createDataFrame(rows, "k int, v double")
     probs = {"lo": 0.0, "q": 0.3, "hi": 1.0}
-    for limit in (10**9, 5):
-        got = {r.k: (r.lo, r.q, r.hi) for r in ordered.quantiles(df, ["k"], "v", probs, limit).collect()}
+    for parts in (1, 20):
+        got = {r.k: (r.lo, r.q, r.hi) for r in ordered.quantiles(df, ["k"], "v", probs, parts).collect()}
         for k in range(3):
             values = sorted(v for key, v in rows if key == k and v is not None and v == v)
             spot = (len(values) - 1) * 0.3
@@ -115,8 +144,7 @@ def test_folds(spark):
     assert ordered.fold(spark.range(2), ["id"], 4).select("fold").distinct().count() == 2
 
 
-@pytest.mark.parametrize("small", [10_000, 0])
-def test_interval_ends(spark, small):
+def test_interval_ends(spark):
     def at(h):
         return datetime(2024, 1, 1, h)
 
@@ -125,7 +153,7 @@ def test_interval_ends(spark, small):
         [("a", at(1), at(3), False), ("a", at(2), at(3), False), ("a", at(3), at(5), True), ("a", at(4), at(4), False)],
         "k string, s timestamp, e timestamp, open_start boolean",
     )
-    out = ordered.covered(rows, iv, ["k"], "ts", small=small).orderBy("k", "ts").collect()
+    out = ordered.covered(rows, iv, ["k"], "ts").orderBy("k", "ts").collect()
     assert [r.covered for r in out] == [0, 1, 1, 0, 1, 0, 0]
 
 

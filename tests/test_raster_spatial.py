@@ -5,6 +5,7 @@ import statistics
 from pyspark.sql import functions as F
 
 from sparkdeck.operators import raster, series, spatial
+from sparkdeck.session import fresh_path
 
 
 def grid(spark, rows):
@@ -72,18 +73,44 @@ def test_write_back_and_stretch(spark):
 def test_rectangle_boundary_is_inside(spark):
     df = spark.createDataFrame([(0.0, 0.0), (1.0, 1.0), (1.01, 0.5), (0.5, 0.5)], "x double, y double")
     assert spatial.in_rectangle(df, "x", "y", (0.0, 1.0, 0.0, 1.0)).count() == 3
-    cells = spatial.with_cell(df, "x", "y", 0.3)
-    assert spatial.in_rectangle_by_cell(cells, "x", "y", (0.0, 1.0, 0.0, 1.0), 0.3).count() == 3
+    path = fresh_path(spark, "cells")
+    spatial.write_cells(df, "x", "y", 0.3, path)
+    found = spatial.in_rectangle_by_cell(spark.read.parquet(path), "x", "y", (0.0, 1.0, 0.0, 1.0), 0.3)
+    assert found.count() == 3
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(cell_x" in plan and "GreaterThanOrEqual(cell_y,0)" in plan
 
 
 def test_point_in_concave_polygon(spark):
     ring = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (2.0, 1.0), (0.0, 4.0)]
     polygons = spark.createDataFrame([(7, ring), (8, ring[:2])], "polygon_id int, ring array<struct<x: double, y: double>>")
     points = spark.createDataFrame([(1, 2.0, 0.5), (2, 2.0, 2.0), (3, 0.5, 2.5), (4, 5.0, 1.0), (5, 3.5, 2.9)], "i int, x double, y double")
-    found = spatial.point_in_polygon(points, polygons, "x", "y", 1.0)
+    found = spatial.point_in_polygon(points, polygons, "x", "y")
     assert sorted((r.i, r.polygon_id) for r in found.collect()) == [(1, 7), (3, 7), (5, 7)]
 
 
+def test_polygons_of_all_sizes_against_every_edge(spark):
+    """A star with many edges, a huge box and a tiny one: cells on the outline and whole cells give what all edges give."""
+    rng = random.Random(6)
+    star = [(50 + (40 if k % 2 else 15) * math.cos(k * math.pi / 30), 50 + (40 if k % 2 else 15) * math.sin(k * math.pi / 30)) for k in range(60)]
+    shapes = {1: star, 2: [(-900.0, -900.0), (900.0, -900.0), (900.0, 900.0), (-900.0, 900.0)], 3: [(10.0, 10.0), (10.2, 10.0), (10.1, 10.3)]}
+    spots = [(k, rng.uniform(0, 100), rng.uniform(0, 100)) for k in range(1500)] + [(2000 + k, 10 + k / 100, 10.05) for k in range(25)]
+
+    def inside(x, y, ring):
+        hits = 0
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+            if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+                hits += 1
+        return hits % 2 == 1
+
+    polygons = spark.createDataFrame(list(shapes.items()), "polygon_id int, ring array<struct<x: double, y: double>>")
+    found = spatial.point_in_polygon(spark.createDataFrame(spots, "i int, x double, y double"), polygons, "x", "y")
+    want = {(i, p) for i, x, y in spots for p, ring in shapes.items() if inside(x, y, ring)}
+    assert {(r.i, r.polygon_id) for r in found.collect()} == want and found.count() == len(want)
+    cover, _ = spatial.polygon_cells(polygons)
+    assert cover.filter("_id = 2").count() <= 4 and cover.filter("_id = 1").agg(F.max(F.size("_edges"))).first()[0] < 60
+
+
 def test_reprojection_against_known_point(spark):
     # on the middle meridian the northing is the scaled meridian arc: 4984944.378 m up to 45 degrees
     df = spark.createDataFrame([(45.0, 3.0)], "lat double, lon double")

@@ -1,3 +1,4 @@
+import re
 import math
 import random
 from collections import Counter
@@ -5,6 +6,7 @@ from collections import Counter
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from sparkdeck.session import fresh_path
 from sparkdeck.operators import search, similarity
 
 
@@ -64,9 +66,13 @@ def test_most_similar_with_a_large_group_of_copies(spark):
 def test_search_scores_grow_with_matches(spark):
     rows = [(1, "red ring", "x"), (2, "red red ring", "y"), (3, "blue ring", "red"), (4, "blue", "z")]
     df = spark.createDataFrame(rows, "id int, a_label string, b_label string")
-    out = search.search(df, "id", ["a_label", "b_label"], "Red", 10).collect()
+    path = fresh_path(spark, "index")
+    search.build_index(df, "id", ["a_label", "b_label"], path)
+    out = search.search(spark, path, "Red", 10).collect()
     assert {r.id for r in out} == {1, 2, 3}
     score = {r.id: r.score for r in out}
     assert score[2] > score[1]
-    assert {r.id for r in search.matching(df, ["a_label", "b_label"], "blue z").collect()} == {3, 4}
-    assert search.search(df, "id", ["a_label"], "nothing", 5).count() == 0
+    assert {r.id for r in search.matching(spark, path, "blue z").collect()} == {3, 4}
+    assert search.search(spark, path, "nothing", 5).count() == 0
+    plan = search.search(spark, path, "red blue", 5)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*bucket#\d+ IN \(|PartitionFilters: \[.*bucket#\d+ = ", plan), plan

@@ -95,7 +95,9 @@ def test_restart_continues_counts(spark):
     schema = spark.createDataFrame([], "ts timestamp, k string").schema
     for part in range(3):
         write(spark, src, [(START + timedelta(seconds=part), "a"), (START + timedelta(seconds=part), "b")])
-        sinks.update_table(ops.windowed_count(stream_files(spark, src, schema), "ts", "1 minute", keys=["k"]), f"{out}", cp)
+        sinks.update_table(ops.windowed_count(stream_files(spark, src, schema), "ts", "1 minute", keys=["k"]), out, cp, ["start", "end", "k"], compact_every=2)
+    # the first two batches are in the base, the third is in the log
+    assert set(sinks._numbered(spark, out, "batch_id")) == {2} and set(sinks._numbered(spark, f"{out}-base", "upto")) == {1}
     counts = sinks.current(spark, out, ["start", "end", "k"])
     assert sorted((r.k, r.n) for r in counts.collect()) == [("a", 3), ("b", 3)]
 
