@@ -1,7 +1,8 @@
 """Licences by sentence rules.
 
 A text is split into sentences (at . ; : ! ? before white space or the end, and at empty lines). A sentence
-is normalised: everything but ASCII letters, digits, "." and "+" becomes one space, lower case. A known
+is normalised: everything but ASCII letters, digits, "." and "+" becomes one space, lower case, and a "." that does
+not stand between two letters or digits goes too, whatever sign, tag or blank is beside it. A known
 sentence is a phrase that stands in it, on word borders, and gives its identifier; a sentence may give
 several, in the order in which they begin. The identifiers of a document, in order, are then matched with
 `RULES`, first rule first: where a rule's sequence of identifiers stands, they are taken out and the
@@ -109,6 +110,7 @@ RULES = [
 BLANK = "[ \\t\\n\\x0b\\f\\r]"
 BREAK = f"[.;:!?]+(?:{BLANK}+|$)|\\n{BLANK}*\\n"
 OTHER = "[^A-Za-z0-9.+]+"
+LOOSE = "(?<![a-z0-9])\\.+|\\.+(?![a-z0-9])"
 
 
 def sequence(rule: str) -> str:
@@ -123,14 +125,17 @@ class Scanner:
         self.rules = [(f"[{licence}]", sequence(rule)) for licence, rule in rules]
         # a word out of each phrase; a text with none of these words has no known sentence
         self.words = re.compile("|".join(sorted({re.escape(max(p.split(), key=len)) for p in sentences.values()})))
-        self.cut, self.other = re.compile(BREAK), re.compile(OTHER)
+        self.cut, self.other, self.loose = re.compile(BREAK), re.compile(OTHER), re.compile(LOOSE)
+
+    def normal(self, sentence: str) -> str:
+        return " ".join(self.loose.sub(" ", self.other.sub(" ", sentence).lower()).split())
 
     def identifiers(self, text: str | None) -> list[str]:
         if not text or not self.words.search(text.lower()):
             return []
         out = []
         for sentence in self.cut.split(text):
-            plain = f" {self.other.sub(' ', sentence).lower().strip(' ')} "
+            plain = f" {self.normal(sentence)} "
             found = [(plain.find(p), name) for name, p in self.phrases if p in plain]
             out += [name for _, name in sorted(found)]
         return out

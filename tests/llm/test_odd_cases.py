@@ -350,6 +350,19 @@ def test_licences(spark, odd, empty):
     assert licences.scanned(odd).count() == odd.count() and licences.scanned(empty).count() == 0
 
 
+@pytest.mark.parametrize("end", [".</p>", ".)", '."', ".'", ".\u201d", ".\u00a0", ".[1]", ".*", ".**", ".<br>", "...", "._", ".\u00a0More", ".) More", '."\nMore', ".", ""])
+def test_licence_sentences_with_something_after_the_full_stop(end):
+    scanner = licences.Scanner(licences.SENTENCES, licences.RULES)
+    for text, want in [
+        ("Released under the MIT License", "MIT"), ("All rights reserved", "All-rights-reserved"),
+        ("Licensed under the Apache License, Version 2.0", "Apache-2.0"),
+    ]:
+        for start in ("", "<p>", "(", '"', "...", "\u00a0"):
+            assert scanner.licences(scanner.identifiers(start + text + end)) == ([want], [])
+    assert scanner.identifiers("Licensed under the Apache License, Version 2.0.1") == []
+    assert scanner.identifiers("Licensed under the Apache License, Version 2") == []
+
+
 def test_phrases_and_rules():
     phrases = [f" {p} " for p in licences.SENTENCES.values()]
     assert not any(a != b and a in b for a in phrases for b in phrases)
