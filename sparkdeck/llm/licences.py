@@ -1,10 +1,11 @@
 """Licences by sentence rules.
 
-A text is split into sentences (at . ; : ! ? before white space or the end, and at empty lines). A sentence
+A text is split into sentences (at . ; : ! ? before white space or the end, and at empty lines, but not between
+the "v." of a version and its digit: "v. 2.0" and "v.2.0" are read as "v 2.0"). A sentence
 is normalised: everything but ASCII letters, digits, "." and "+" becomes one space, lower case, and a "." that does
 not stand between two letters or digits goes too, whatever sign, tag or blank is beside it. A known
 sentence is a phrase that stands in it, on word borders, and gives its identifier; a sentence may give
-several, in the order in which they begin. The identifiers of a document, in order, are then matched with
+several, in the order in which they begin. Phrases are normalised like texts. The identifiers of a document, in order, are then matched with
 `RULES`, first rule first: where a rule's sequence of identifiers stands, they are taken out and the
 licence is noted. Identifiers that no rule takes stay behind.
 
@@ -110,6 +111,8 @@ RULES = [
 BLANK = "[ \\t\\n\\x0b\\f\\r]"
 BREAK = f"[.;:!?]+(?:{BLANK}+|$)|\\n{BLANK}*\\n"
 OTHER = "[^A-Za-z0-9.+]+"
+#: blanks with one line break at most; possessive, so a long run is read once
+VERSION = "(?<![A-Za-z0-9.+])([vV])\\.[ \\t\\x0b\\f\\r]*+\\n?+[ \\t\\x0b\\f\\r]*+(?=[0-9])"
 LOOSE = "(?<![a-z0-9])\\.+|\\.+(?![a-z0-9])"
 
 
@@ -121,11 +124,12 @@ class Scanner:
     """Finds identifiers and licences of one text at a time."""
 
     def __init__(self, sentences: dict[str, str], rules: list[tuple[str, str]]):
-        self.phrases = sorted((name, f" {phrase} ") for name, phrase in sentences.items())
+        self.cut, self.other, self.loose, self.version = map(re.compile, (BREAK, OTHER, LOOSE, VERSION))
+        phrases = {name: self.normal(self.version.sub(r"\1 ", phrase)) for name, phrase in sentences.items()}
+        self.phrases = sorted((name, f" {phrase} ") for name, phrase in phrases.items())
         self.rules = [(f"[{licence}]", sequence(rule)) for licence, rule in rules]
         # a word out of each phrase; a text with none of these words has no known sentence
-        self.words = re.compile("|".join(sorted({re.escape(max(p.split(), key=len)) for p in sentences.values()})))
-        self.cut, self.other, self.loose = re.compile(BREAK), re.compile(OTHER), re.compile(LOOSE)
+        self.words = re.compile("|".join(sorted({re.escape(max(p.split(), key=len)) for p in phrases.values()})))
 
     def normal(self, sentence: str) -> str:
         return " ".join(self.loose.sub(" ", self.other.sub(" ", sentence).lower()).split())
@@ -134,7 +138,7 @@ class Scanner:
         if not text or not self.words.search(text.lower()):
             return []
         out = []
-        for sentence in self.cut.split(text):
+        for sentence in self.cut.split(self.version.sub(r"\1 ", text)):
             plain = f" {self.normal(sentence)} "
             found = [(plain.find(p), name) for name, p in self.phrases if p in plain]
             out += [name for _, name in sorted(found)]

@@ -363,6 +363,40 @@ def test_licence_sentences_with_something_after_the_full_stop(end):
     assert scanner.identifiers("Licensed under the Apache License, Version 2") == []
 
 
+#: notices as they are published, for the licences that a single sentence shows
+NOTICES = {
+    "BSD-3-Clause": "Released under the BSD 3-Clause License.", "BSD-2-Clause": "Released under the BSD 2-Clause License.",
+    "Apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License");',
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.", "MIT": "Released under the MIT License.",
+    "GPL-3.0": "Licensed under the GNU General Public License, version 3.", "GPL-2.0": "Licensed under the GNU General Public License, version 2.",
+    "AGPL": "under the terms of the GNU Affero General Public License as published", "LGPL": "under the terms of the GNU Lesser General Public License as published",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed",
+    "EPL": "under the terms of the Eclipse Public License v. 2.0 which is available", "Artistic-2.0": "under the terms of the Artistic License 2.0.",
+    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.", "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.", "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-4.0": "Licensed under CC BY 4.0.", "CC0-1.0": "CC0 1.0 Universal", "All-rights-reserved": "All rights reserved.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.", "WTFPL": "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE",
+}
+
+
+def test_every_phrase_and_notice_is_found_in_a_text():
+    scanner = licences.Scanner(licences.SENTENCES, licences.RULES)
+    for name, phrase in licences.SENTENCES.items():
+        assert scanner.identifiers(f"Words. {phrase.capitalize()}. More") == [name]
+    for licence, rule in licences.RULES:
+        text = "\n\n".join(licences.SENTENCES[name] for name in rule.split())
+        assert scanner.licences(scanner.identifiers(text)) == ([licence], [])
+    assert set(NOTICES) >= {licence for licence, rule in licences.RULES if len(rule.split()) == 1}
+    for licence, notice in NOTICES.items():
+        assert scanner.licences(scanner.identifiers(notice)) == ([licence], [])
+
+
+@pytest.mark.parametrize("version", ["v. 2.0", "v.2.0", "V. 2.0", "v.\n2.0", "v.\u00a02.0", "v 2.0"])
+def test_version_of_a_licence_stays_in_its_sentence(version):
+    scanner = licences.Scanner(licences.SENTENCES, licences.RULES)
+    assert scanner.identifiers(f"Subject to the terms of the Mozilla Public License, {version}.") == ["mpl_notice"]
+    assert scanner.identifiers("Subject to the terms of the Mozilla Public License, v.\n\n2.0 is a number") == []
+
+
 def test_phrases_and_rules():
     phrases = [f" {p} " for p in licences.SENTENCES.values()]
     assert not any(a != b and a in b for a in phrases for b in phrases)
