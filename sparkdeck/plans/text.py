@@ -424,8 +424,7 @@ def cosine_pairs(t):
     JOIN documents a ON a.doc_id = r.id JOIN documents b ON b.doc_id = other WHERE rank <= 5""",
 )
 def most_similar(t):
-    groups, pairs = similarity.similar_documents(documents_with_tokens(t), "doc_id", "words", 0.4)
-    top = similarity.most_similar(groups, pairs.withColumn("sim", F.round("sim", 9)), 5)
+    top = similarity.nearest_documents(documents_with_tokens(t), "doc_id", "words", 5)
     names = t.documents.select("doc_id", "source")
     named = top.join(names.select(F.col("doc_id").alias("id"), "source"), "id").join(
         names.select(F.col("doc_id").alias("other"), F.col("source").alias("other_source")), "other"

@@ -63,6 +63,42 @@ def test_most_similar_with_a_large_group_of_copies(spark):
         assert [o for _, o in sorted(got.get(i, []))] == want, i
 
 
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(seed=st.integers(0, 10_000))
+def test_nearest_documents_have_no_floor(spark, seed):
+    """Lists are full although most pairs are far below 0.4, over several blocks, with copies and strangers."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(40)]
+    docs = {i: rng.sample(words, rng.randint(1, 9)) for i in range(40)}
+    docs |= {50 + i: docs[i] for i in range(3)} | {90: ["alone"], 91: []}
+    df = spark.createDataFrame([(i, w) for i, w in docs.items()], "id int, words array<string>")
+    sims = brute(docs, 1e-12) | {(i, 50 + i): 1.0 for i in range(3)}
+    old = similarity.BLOCK, similarity.PRODUCTS, similarity.COLUMNS
+    similarity.BLOCK, similarity.PRODUCTS, similarity.COLUMNS = 12, 50, 3
+    try:
+        got = {}
+        for r in similarity.nearest_documents(df, "id", "words", 4).collect():
+            got.setdefault(r.id, []).append((r["rank"], r.other, r.sim, r.found))
+    finally:
+        similarity.BLOCK, similarity.PRODUCTS, similarity.COLUMNS = old
+    low = 0
+    for i in docs:
+        near = sorted((-round(s, 9), b if a == i else a) for (a, b), s in sims.items() if i in (a, b))[:4]
+        assert [(o, -s, len(near)) for s, o in near] == [(o, round(s, 9), f) for _, o, s, f in sorted(got.get(i, []))], i
+        low += sum(-s < 0.4 for s, _ in near)
+    assert low > 0 and 90 not in got
+
+
+def test_n08_against_its_check_without_the_floor(spark, sf_dir):
+    from compare import compare, database
+
+    from sparkdeck.plans import CHECKS, QUERIES
+
+    whole = CHECKS["n08_most_similar"].replace("HAVING sum(a.u * b.u) >= 0.4", "")
+    assert whole != CHECKS["n08_most_similar"]
+    assert compare(QUERIES["n08_most_similar"](spark, sf_dir), database(sf_dir), whole) == ""
+
+
 def test_search_scores_grow_with_matches(spark):
     rows = [(1, "red ring", "x"), (2, "red red ring", "y"), (3, "blue ring", "red"), (4, "blue", "z")]
     df = spark.createDataFrame(rows, "id int, a_label string, b_label string")
