@@ -19,8 +19,9 @@ signature (those four standard deviations below the threshold go), each in the f
 left is compared exactly, on the weighted sets, in the tile in which it met. No bucket is capped.
 
 Odd cases: a text of fewer words than `SHINGLE` is one shingle; a text without words, or null, is in a class
-of its own; a null id is smaller than any other; rows that repeat an id are kept or dropped together.
-An empty table gives an empty result. Only the named columns are read.
+of its own; a null id is smaller than any other. An id may stand on several texts: what is kept goes by id and
+weighted set, so of a class with words the rows with the smallest id and one weighted set are marked as kept, and
+`keep_one` leaves one of them. An empty table gives an empty result. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.models.clustering import components
@@ -207,8 +208,8 @@ def smallest(parts: DataFrame) -> DataFrame:
     return parts.select("node", "root").join(low, "root").select("node", "class_id")
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, class_id, kept) for every row; class_id is the smallest id of the class."""
+def _labelled(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, h1, h2, n, class_id, kept) for every row, the lowest number for a null id."""
     rows = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(_LOWEST)).alias("id"), F.col(text_col).cast("string").alias("text")
     )
@@ -229,22 +230,56 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     links = stored(together(found.join(units, "node")).mapInPandas(_verify, "a long, b long").distinct(), "links")
     linked = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
     parts = stored(components(linked, links).join(nodes.select("node", "least"), "node"), "parts")
-    named = nodes.join(smallest(parts), "node", "left").select(
-        F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("n").alias("gn"), F.coalesce("class_id", "least").alias("class_id")
+    # class_id may be that of another class too, as an id may stand on several texts; the root is not
+    own = nodes.join(smallest(parts), "node", "left").join(parts.select("node", "root"), "node", "left")
+    own = own.select("h1", "h2", "n", "least", F.coalesce("class_id", "least").alias("class_id"), F.coalesce("root", "node").alias("root"))
+    own = stored(own, "own")
+    leads = own.filter("least = class_id").groupBy("root").agg(F.min(F.struct("h1", "h2", "n")).alias("lead"))
+    named = own.join(leads, "root").select(
+        F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("n").alias("gn"), "class_id",
+        (F.struct("h1", "h2", "n") == F.col("lead")).alias("leads"),
     )
     named = stored(named, "named")
     same = (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")) & (F.col("n") == F.col("gn"))
     found = signed.select("id", "h1", "h2", "n").join(named, same, "left")
-    found = found.select("id", F.coalesce("class_id", "id").alias("class_id"))
-    return found.select(
-        F.nullif("id", F.lit(_LOWEST)).alias("id"), F.nullif("class_id", F.lit(_LOWEST)).alias("class_id"),
-        (F.col("id") == F.col("class_id")).alias("kept"),
+    kept = F.coalesce(F.col("leads") & (F.col("id") == F.col("class_id")), F.lit(True))
+    return found.select("id", "h1", "h2", "n", F.coalesce("class_id", "id").alias("class_id"), kept.alias("kept"))
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, class_id, kept) for every row; class_id is the smallest id of the class."""
+    return _labelled(docs, id_col, text_col).select(
+        F.nullif("id", F.lit(_LOWEST)).alias("id"), F.nullif("class_id", F.lit(_LOWEST)).alias("class_id"), "kept"
     )
 
 
+def _set_of(text: Column) -> Column:
+    """Column struct(n, h1, h2): the size and hash of the weighted set of a text column."""
+
+    @F.pandas_udf("n long, h1 long, h2 long")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        units = [elements(t) for t in texts]
+        return pd.DataFrame([(len(u), *set_hash(u)) for u in units], columns=["n", "h1", "h2"]).astype("int64")
+
+    return run(text)
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay: one document of each class, that with the smallest id."""
-    gone = classes(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("id").alias("__id"))
-    gone = stored(gone.distinct(), "gone")
+    found = stored(_labelled(docs, id_col, text_col).select("id", "h1", "h2", "n", "kept"), "found")
+    marked = found.groupBy(F.col("id").alias("__id")).agg(F.count(F.lit(1)).alias("__times"), F.min("kept").alias("__kept"))
+    # nearly every row stays as it is, so only the exceptions are joined
+    odd = stored(marked.filter("not __kept or __times > 1"), "odd")
+    own = F.coalesce(F.col(id_col).cast("long"), F.lit(_LOWEST))
     # what goes grows with the documents, so the join is planned alike at every size
-    return docs.join(gone.hint("merge"), F.col(id_col).cast("long").eqNullSafe(gone["__id"]), "left_anti")
+    single = docs.join(odd.hint("merge"), own == odd["__id"], "left_anti")
+    several = odd.filter("__times > 1").select("__id")
+    if several.isEmpty():
+        return single
+    # an id on several rows says nothing of a row, so these go by the weighted set of their text as well
+    again = docs.join(several.hint("merge"), own == several["__id"], "left_semi")
+    again = again.withColumns({"__id": own, "__set": _set_of(F.col(text_col).cast("string"))})
+    stay = found.filter("kept and n > 0").select(F.col("id").alias("__i"), F.struct("n", "h1", "h2").alias("__s")).distinct()
+    worded = again.filter("__set.n > 0").join(stay, (F.col("__id") == F.col("__i")) & (F.col("__set") == F.col("__s")), "left_semi")
+    worded = worded.dropDuplicates(["__id", "__set"]).select(*docs.columns)
+    return single.unionByName(worded).unionByName(again.filter("__set.n = 0").select(*docs.columns))

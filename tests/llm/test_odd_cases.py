@@ -75,6 +75,38 @@ def test_near_keeps_one(odd, plain, repeats, empty):
     assert near.keep_one(empty).count() == 0
 
 
+def one_of_each_class(spark, rows):
+    """Checks what stays of (id, text) rows: the smallest id of each class, and every text without words."""
+    kept = Counter((r.doc_id, r.text) for r in near.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert not kept - Counter(rows)
+    members = {}
+    for at, root in brute.near_classes([(k, text) for k, (_, text) in enumerate(rows)]).items():
+        members.setdefault(root, []).append(rows[at])
+    plain = Counter(row for row in rows if not brute.units(row[1]))
+    assert Counter({row: n for row, n in kept.items() if not brute.units(row[1])}) == plain
+    left = sum(kept.values()) - sum(plain.values())
+    worded = [m for m in members.values() if brute.units(m[0][1])]
+    assert left == len(worded)
+    for rows_of in worded:
+        stay = [row for row in set(rows_of) if row in kept]
+        assert len(stay) == 1 and kept[stay[0]] == 1
+        assert stay[0][0] == min((i for i, _ in rows_of), key=lambda i: (i is not None, i))
+
+
+def test_near_keeps_one_where_ids_repeat(spark, repeats):
+    def text(seed, changed=""):
+        return " ".join(f"{chr(97 + seed)}{k}" for k in range(100)) + changed
+
+    # id 5 on two texts: in the class {5, 9}, where it is the smallest, and in {3, 5}, where it is not
+    one_of_each_class(spark, [(5, text(0)), (9, text(0, " x")), (3, text(1)), (5, text(1, " y"))])
+    # near copies that share an id, copies that do, and one id on classes apart
+    one_of_each_class(spark, [(7, text(2)), (7, text(2, " z")), (7, text(2)), (7, text(3)), (8, text(4))])
+    # no ids at all
+    one_of_each_class(spark, [(None, text(k % 3, " w" * (k % 2))) for k in range(9)] + [(None, "."), (None, "."), (None, None), (1, text(0))])
+    one_of_each_class(spark, [(r.doc_id, r.text) for r in repeats.collect()])
+    assert near.keep_one(repeats).columns == repeats.columns
+
+
 def test_near_in_a_large_bucket(spark, monkeypatch):
     """A bucket of many blocks: copies of one text with few words changed, and strangers."""
     monkeypatch.setattr(near, "BLOCK", 8)
