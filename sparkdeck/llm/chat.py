@@ -5,7 +5,7 @@ hash of all turns up to it (a rolling prefix hash: exclusive or of 128-bit hashe
 conversation is redundant if its last prefix hash is an inner prefix hash of another one; of equal
 conversations the one with the smallest id stays. What is left is rendered.
 
-Turns are put in order by range partitioning on (conversation, turn), and windows run inside one block
+Turns are put in order by range partitioning on (conversation, turn, role, beginning of the text), and windows run inside one block
 of one conversation only; counts and hashes of earlier blocks are carried on, one row per block. So a conversation that holds
 a third of all rows is many blocks. Rendering gives one row per part of at most `PART` turns. DataFrame
 functions only.
@@ -25,10 +25,12 @@ from ..session import stored
 
 #: turns rendered into one row
 PART = 1000
+#: characters of a text that decide on its block
+HEAD = 64
 #: what stands before the role, between role and text, and after a turn
 TEMPLATE = ("<|im_start|>", "\n", "<|im_end|>\n")
 
-_ORDER = ("turn", "role", "content")
+_ORDER = ("turn", "role", "text")
 
 
 def _before(column: str, merge, zero: Column, by: str = "block") -> Column:
@@ -43,8 +45,8 @@ def positions(turns: DataFrame, conv_col: str, turn_col: str, role_col: str, tex
         F.col(conv_col).cast("long").alias("conv"), F.col(turn_col).alias("turn"), F.col(role_col).cast("string").alias("role"),
         F.col(text_col).cast("string").alias("text"),
     )
-    rows = rows.withColumn("content", F.xxhash64("role", "text", F.col("text").isNull()))
-    ranged = rows.repartitionByRange("conv", "turn", "role", "content")
+    # the bounds of the ranges are sampled on the driver, so they take the beginning of a text only, which sorts like the text
+    ranged = rows.repartitionByRange("conv", "turn", "role", F.substring("text", 1, HEAD))
     blocks = stored(ranged.withColumn("block", F.spark_partition_id()), "turns")
     inside = W.partitionBy("conv", "block").orderBy(*_ORDER)
     sizes = blocks.groupBy("conv", "block").count()

@@ -467,6 +467,25 @@ def test_chat(spark):
     assert chat.collapse(df.limit(0)).count() == 0
 
 
+def test_chat_orders_ties_by_text(spark, monkeypatch):
+    """Different texts under one turn and role, in one conversation and over many blocks of another."""
+    rows = [(1, 0, "user", t) for t in ("b", "a", "c", "", None, "aa", "B", "\u00e9", "\U0001f642", "\uffff")]
+    rows += [(2, 0, "user", f"t{k * 7919 % 3001}") for k in range(3000)] + [(3, None, None, t) for t in ("z", None, "y")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    monkeypatch.setattr(chat, "HEAD", 4)  # texts that begin alike stay in one block
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = chat.collapse(df).collect()
+        blocks = chat.positions(df, "conv_id", "turn", "role", "text").filter("conv = 2").select("block").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = {}
+    for r in found:
+        parts.setdefault(r.conv_id, []).append((r.part, r.rendered))
+    assert {c: "".join(x for _, x in sorted(p)) for c, p in parts.items()} == collapsed(rows)
+    assert blocks > 1
+
+
 # --- vectors ------------------------------------------------------------------------------------------
 
 def vector_rows():
