@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import bpe, chat, exact, language, licences, lines, mixing, near, vectors, warc
+from . import align, bpe, chat, exact, language, licences, lines, mixing, near, pieces, ranked, vectors, warc
 from .common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def model_path() -> str:
+    """Where the SentencePiece model of the queries lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def query(check: str | None = None):
     """Register `fn(spark, sf_dir)` under its own name."""
 
@@ -149,3 +156,50 @@ def op9_exact(spark, sf_dir):
 @query()
 def op10_language(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query(
+    r"""
+    WITH t AS (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM documents),
+    p AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+    d AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM p GROUP BY doc_id),
+    a AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM d),
+    f AS (
+        SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * max(docs) + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w
+        FROM p, a GROUP BY term),
+    q AS (
+        SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark),
+    i AS (SELECT item_id, term, count(*) AS times FROM q GROUP BY item_id, term),
+    s AS (
+        SELECT item_id, doc_id,
+               CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // words)))) AS BIGINT) AS score
+        FROM i JOIN p USING (term) JOIN f USING (term) JOIN d USING (doc_id), a GROUP BY item_id, doc_id),
+    r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM s WHERE score > 0)
+    SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM r WHERE place <= 20"""
+)
+def op11_ranked_search(spark, sf_dir):
+    return ranked.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op12_pieces(spark, sf_dir):
+    model = pieces.read_file(model_path())
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", pieces.round_trip(F.col("text"), model).alias("found"))
+    return found.select(
+        "doc_id",
+        F.size("found.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("found.ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("found.text", 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op13_alignment(spark, sf_dir):
+    found = align.align(table(spark, sf_dir, "documents"), bpe.read_file(tokenizer_path()), pieces.read_file(model_path()))
+    return found.withColumnRenamed("id", "doc_id")

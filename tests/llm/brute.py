@@ -114,3 +114,66 @@ def source_targets(sizes, most=3):
         if not over:
             return aim
         capped |= over
+
+
+def alignment(docs, encode_a, encode_b, bytes_a, bytes_b):
+    """Rows of the alignment of (doc, text), in order, by comparing every two neighbouring tokens.
+
+    `encode_a` and `encode_b` give ids, `bytes_a` and `bytes_b` the bytes of an id.
+    """
+    found, holders = [], Counter()
+    for _, text in docs:
+        plain = (" " + text).encode() if text else b""
+        a, b = (encode_a(" " + text), encode_b(text)) if text else ([], [])
+        if b"".join(map(bytes_a, a)) != plain or b"".join(map(bytes_b, b)) != plain:
+            a, b = [], []
+        links, groups, i, j, end_a, end_b = [], [[[], []]], 0, 0, 0, 0
+        while i < len(a):
+            links.append((a[i], b[j]))
+            stop_a, stop_b = end_a + len(bytes_a(a[i])), end_b + len(bytes_b(b[j]))
+            if stop_a <= stop_b:
+                groups[-1][0].append(a[i])
+                i, end_a = i + 1, stop_a
+            if stop_b <= stop_a:
+                groups[-1][1].append(b[j])
+                j, end_b = j + 1, stop_b
+            if stop_a == stop_b and i < len(a):
+                groups.append([[], []])
+        holders.update(set(links))
+        found.append((a, b, links, groups if a else []))
+    highest = Counter()
+    for (x, _), n in holders.items():
+        highest[x] = max(highest[x], n)
+    out = []
+    for (doc, _), (a, b, links, groups) in zip(docs, found):
+        line = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        best = sum(holders[p] == highest[p[0]] for p in links)
+        out.append((doc, len(a), len(b), len(groups), len(links), best, sum(holders[p] for p in links), sha(line) if line else ""))
+    return out
+
+
+def ranked(docs, items, top=20):
+    """(item, rank, doc, score) of the best documents, for (id, text) rows."""
+    import math
+
+    def terms(text):
+        plain = (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+        return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", plain)
+
+    held = [(doc, Counter(terms(text))) for doc, text in docs]
+    df = Counter(t for _, c in held for t in c)
+    documents, words = sum(1 for _, c in held if c), sum(c.total() for _, c in held)
+    out = []
+    for item, text in items:
+        scores = []
+        for doc, c in held:
+            score = 0
+            for t in terms(text):
+                if c[t]:
+                    w = math.floor(1000 * math.log((2 * documents + 2) / (2 * df[t] + 1)))
+                    m = 100 - 25 + 25 * c.total() * documents // words
+                    score += w * (1000000000 * c[t] // (1000 * c[t] + 12 * m))
+            if score > 0:
+                scores.append((-score, doc is not None, doc or 0))
+        out += [(item, k + 1, doc if known else None, -s) for k, (s, known, doc) in enumerate(sorted(scores)[:top])]
+    return out
