@@ -3,8 +3,8 @@
 A pair of bytes that stands next to each other in no token of the vocabulary can never be merged, so a text
 may be cut between them. Cuts are taken where such a pair is also no danger to the rule that splits words
 before merging: before white space that follows something else, between two ASCII letters, and where ASCII
-letters, digits and other signs meet, which is where that rule splits anyway. (Any other place could change
-how the rule reads what follows, such as an apostrophe among signs.) The fragments
+letters, digits and other signs meet, which is where that rule splits anyway, but never between an apostrophe and a letter. (Any other place
+could change how the rule reads what follows, such as an apostrophe among signs.) The fragments
 are encoded independently, each distinct one once per task as long as the task's memory of fragments
 lasts, and the ids are put together again. Strings of added tokens are taken out first, as the tokenizer
 itself does.
@@ -13,7 +13,8 @@ The result is that of the tokenizer with add_special_tokens=False, without trunc
 the tokens' bytes together; bytes that are no UTF-8 become the replacement character.
 
 Odd cases: a null or empty text has no ids; null ids decode to the empty text, ids outside the vocabulary are
-left out. Very long texts without a cut are one fragment. All of it is a column expression, so no row moves
+left out. Very long texts without a cut are one fragment. Vocabularies with other rules (no split into words, dropout, unknown tokens, word
+marks) are refused, and a token across a cut raises an error. All of it is a column expression, so no row moves
 and other columns are not touched.
 """
 
@@ -54,6 +55,10 @@ class Vocabulary:
         added = data.get("added_tokens") or []
         if model.get("type") != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or data.get("normalizer"):
             raise ValueError("only byte-level BPE without normalizer and prefix space")
+        plain = (None, False, 0, 0.0, "")
+        settings = ("dropout", "ignore_merges", "byte_fallback", "fuse_unk", "unk_token", "continuing_subword_prefix", "end_of_word_suffix")
+        if not pre.get("use_regex", True) or any(model.get(k) not in plain for k in settings):
+            raise ValueError("only the usual split into words and merges without dropout, word marks or unknown tokens")
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added):
             raise ValueError("added tokens that take their surroundings are not supported")
         data["truncation"] = data["padding"] = None
@@ -87,6 +92,7 @@ class Vocabulary:
         kind = np.where(letter, 1, np.where((byte >= ord("0")) & (byte <= ord("9")), 2, 3))
         shown = (byte < 128) & ~blank
         apart = (kind[:, None] != kind[None, :]) | (letter[:, None] & letter[None, :])
+        apart[ord("'"), letter] = False  # an apostrophe may begin a word of its own, such as 's
         safe = (~blank[:, None] & blank[None, :]) | (shown[:, None] & shown[None, :] & apart)
         return ~inside & safe.ravel()
 
@@ -128,7 +134,10 @@ class Vocabulary:
             some = runs[k : k + 64]
             for run, code in zip(some, many([b"".join(r).decode() for r in some], add_special_tokens=False)):
                 ids = np.array(code.ids, np.int32)
-                ends = np.searchsorted(np.cumsum(self.size[ids]), np.cumsum([len(f) for f in run])) + 1
+                reached, wanted = np.cumsum(self.size[ids]), np.cumsum([len(f) for f in run])
+                ends = np.searchsorted(reached, wanted) + 1
+                if not np.array_equal(reached[ends - 1], wanted):
+                    raise ValueError("a token stands across a cut")
                 data = ids.tobytes()
                 self.known.update((f, data[4 * a : 4 * b]) for f, a, b in zip(run, [0, *ends.tolist()], ends.tolist()))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RUNTIME = {
@@ -31,6 +31,12 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def carried(df: DataFrame, **keys: Column) -> DataFrame:
+    """All columns of `df` as one struct `carried` beside `keys`, so that no name of theirs can clash; `df` is `carried.*`."""
+    own = F.struct(*[F.col(f"`{c}`") for c in df.columns]) if df.columns else F.struct(F.lit(None))
+    return df.select(own.alias("carried"), *[value.alias(name) for name, value in keys.items()])
+
+
 def unit_interval(*columns: Column | str, seed: int = 0) -> Column:
     """A number in [0, 1) that depends on the columns' values and the seed only."""
     return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(1 << 52)) / F.lit(float(1 << 52))

@@ -5,7 +5,7 @@ is written once and never changed. It holds the digests it has seen, dealt over
 row that stands for each, and one static binary fuse filter per bucket (8-bit fingerprints, about 9 bits a
 digest). An incoming batch is first reduced to its distinct digests. These are screened bucket by bucket:
 what the filter refuses is new for certain; what it lets pass joins the exact bucket. Digests that are new
-are grouped among themselves and become the next snapshot.
+are grouped among themselves and become the next snapshot. Snapshots are folders that later runs open.
 
 Digests are SHA-256. Still, rows that meet under one digest have their bytes compared with the text of the
 row that stands for it; rows that differ form classes of their own.
@@ -14,7 +14,8 @@ Of equal texts the row with the most code points in the original text stays, the
 
 Odd cases: a null text is empty, so null, empty and all-blank texts are one group; a null id is larger than
 any other. Rows that repeat the id and the text of the row that stays are all marked as kept; `keep_one`
-leaves one of them. An empty table gives an empty result. Only the named columns are read.
+leaves one of them. A very long text is one row like others. An empty table gives an empty result. Only the named columns are
+read; `keep_one` carries the others along under any names.
 
 Scale: groups are pre-aggregated before each shuffle. Buckets hold about `BUCKET` distinct digests
 each, as digests spread evenly; a digest shared by a third of all rows is one entry of one bucket. The
@@ -27,11 +28,11 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import stored
-from .common import text_of
+from ..session import fresh_path, stored
+from .common import carried, text_of
 
 #: distinct digests of a bucket: bounds what one task takes at a time
 BUCKET = 2048
@@ -118,12 +119,15 @@ def normal_text(text: Column) -> Column:
     return F.regexp_replace(text, "[\\x20\\x09-\\x0D]+", "")
 
 
-def _entries(batch: DataFrame, buckets: int) -> DataFrame:
-    """One row per distinct digest: its screening key and bucket, the row that stays, the group's size."""
+def entries_of(batch: DataFrame) -> DataFrame:
+    """(digest, rows, best, key): one row per distinct digest of (id, digest, n_chars), its screening key and the row that stays."""
     best = F.max(F.struct(F.col("n_chars"), F.coalesce(F.bitwise_not("id"), F.lit(-(1 << 63))).alias("minus"), F.col("id")))
     groups = batch.groupBy("digest").agg(F.count(F.lit(1)).alias("rows"), best.alias("best"))
-    key = F.xxhash64("digest")
-    return groups.withColumns({"key": key, "bucket": F.pmod(F.xxhash64(F.lit(1), "digest"), F.lit(buckets)).cast("int")})
+    return groups.withColumn("key", F.xxhash64("digest"))
+
+
+def _in_buckets(entries: DataFrame, buckets: int) -> DataFrame:
+    return entries.withColumn("bucket", F.pmod(F.xxhash64(F.lit(1), "digest"), F.lit(buckets)).cast("int"))
 
 
 def _filters(entries: DataFrame) -> DataFrame:
@@ -136,8 +140,27 @@ def _filters(entries: DataFrame) -> DataFrame:
     )
 
 
-def screen(entries: DataFrame, filters: DataFrame) -> DataFrame:
-    """`entries` with the column `maybe`: false where the snapshot certainly lacks the digest."""
+class Snapshot:
+    """An immutable set of digests under `path`: exact buckets in `entries`, a filter per bucket in `filters`."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.path, self.entries = path, spark.read.parquet(f"{path}/entries")
+        self.filters = spark.read.parquet(f"{path}/filters")
+        self.buckets = spark.read.parquet(f"{path}/size").first()["buckets"]
+
+
+def write_snapshot(entries: DataFrame, path: str) -> Snapshot:
+    """Freeze `entries` (of `entries_of`) under `path`, which must not exist; any later run opens it with `Snapshot`."""
+    spark = entries.sparkSession
+    buckets = max(1, -(-entries.count() // BUCKET))
+    _in_buckets(entries, buckets).repartition("bucket").write.parquet(f"{path}/entries")
+    _filters(spark.read.parquet(f"{path}/entries")).write.parquet(f"{path}/filters")
+    spark.range(1).select(F.lit(buckets).alias("buckets")).write.parquet(f"{path}/size")  # last: marks the snapshot as whole
+    return Snapshot(spark, path)
+
+
+def screen(entries: DataFrame, snapshot: Snapshot) -> DataFrame:
+    """(digest, maybe) of `entries`: false where the snapshot certainly lacks the digest."""
 
     def look(keys: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         maybe = np.zeros(len(keys), bool)
@@ -145,8 +168,25 @@ def screen(entries: DataFrame, filters: DataFrame) -> DataFrame:
             maybe |= may_hold(keys["key"].to_numpy().astype(np.uint64), f.seed, f.segment, f.segments, f.prints)
         return pd.DataFrame({"digest": keys["digest"], "maybe": maybe})
 
-    left = entries.select("digest", "key", "bucket").groupBy("bucket")
-    return left.cogroup(filters.groupBy("bucket")).applyInPandas(look, "digest string, maybe boolean")
+    left = _in_buckets(entries.select("digest", "key"), snapshot.buckets).groupBy("bucket")
+    return left.cogroup(snapshot.filters.groupBy("bucket")).applyInPandas(look, "digest string, maybe boolean")
+
+
+def known(entries: DataFrame, snapshot: Snapshot) -> DataFrame:
+    """(digest): the digests of `entries` that the snapshot holds. The filter screens, the exact bucket decides."""
+    maybe = screen(entries, snapshot).filter("maybe").select("digest")
+    return stored(maybe.join(snapshot.entries.select("digest"), "digest"), "known")
+
+
+def keyed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 1) -> DataFrame:
+    """(id, digest, n_chars, batch) of every row; the batch is a hash of the id."""
+    text = text_of(text_col)
+    return docs.select(
+        F.col(id_col).cast("long").alias("id"),
+        F.sha2(normal_text(text), 256).alias("digest"),
+        F.char_length(text).cast("long").alias("n_chars"),
+        F.pmod(F.xxhash64(F.lit(9), F.col(id_col).cast("long")), F.lit(batches)).cast("int").alias("batch"),
+    )
 
 
 def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 2) -> DataFrame:
@@ -155,35 +195,22 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     The rows arrive as `batches` batches (by a hash of the id); each batch but the last is frozen
     as a snapshot once it has been compared with the snapshots before it.
     """
-    spark = docs.sparkSession
-    text = text_of(text_col)
-    keyed = stored(
-        docs.select(
-            F.col(id_col).cast("long").alias("id"),
-            F.sha2(normal_text(text), 256).alias("digest"),
-            F.char_length(text).cast("long").alias("n_chars"),
-            F.pmod(F.xxhash64(F.lit(9), F.col(id_col).cast("long")), F.lit(batches)).cast("int").alias("batch"),
-        ),
-        "keyed",
-    )
-    buckets = max(1, -(-keyed.count() // (BUCKET * batches)))
-    snapshots: list[tuple[DataFrame, DataFrame]] = []
+    keyed = stored(keyed_rows(docs, id_col, text_col, batches), "keyed")
+    snapshots: list[Snapshot] = []
     states, shared = [], []
     for number in range(batches):
-        fresh = _entries(keyed.filter(F.col("batch") == number), buckets)
+        fresh = entries_of(keyed.filter(F.col("batch") == number))
         fresh = stored(fresh, "entries") if number else fresh
         new = fresh
-        for entries, filters in snapshots:
-            maybe = screen(fresh, filters).filter("maybe").select("digest")
-            known = stored(maybe.join(entries.select("digest"), "digest"), "known")  # the exact bucket decides
-            shared.append(known)
-            new = new.join(known, "digest", "left_anti")
+        for snapshot in snapshots:
+            held = known(fresh, snapshot)
+            shared.append(held)
+            new = new.join(held, "digest", "left_anti")
         if snapshots:
             states.append(fresh.join(reduce(DataFrame.unionByName, shared[-len(snapshots) :]), "digest", "left_semi"))
         if number < batches - 1:
-            snapshot = stored(new.repartition("bucket"), "snapshot")
-            snapshots.append((snapshot, stored(_filters(snapshot), "filters")))
-            states.append(snapshot)
+            snapshots.append(write_snapshot(stored(new, "new"), fresh_path(docs.sparkSession, "snapshot")))
+            states.append(snapshots[-1].entries)
         else:
             states.append(new)
     groups = reduce(DataFrame.unionByName, [s.select("digest", "rows", "best") for s in states])
@@ -192,6 +219,15 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return _answer(keyed, groups, checked)
 
 
+def arrivals(docs: DataFrame, snapshots: list[Snapshot], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(digest, rows, best, key): the distinct digests of a new batch that no snapshot holds, grouped among themselves.
+
+    Written as the next snapshot with `write_snapshot`, they let the batch after it be screened in turn.
+    """
+    fresh = stored(entries_of(keyed_rows(docs, id_col, text_col)), "entries")
+    return reduce(lambda left, snapshot: left.join(known(fresh, snapshot), "digest", "left_anti"), snapshots, fresh)
+
+
 def _byte_check(docs: DataFrame, id_col: str, text_col: str, keyed: DataFrame, groups: DataFrame) -> DataFrame:
     """(id, digest, other) of rows whose bytes differ from the text that stands for their digest."""
     several = groups.filter("rows > 1").select("digest", F.col("best.id").alias("stands"))
@@ -226,17 +262,17 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ba
     """The rows of `docs` that stay: one of each group of equal texts."""
     found = duplicates(docs, id_col, text_col, batches)
     found = stored(found.select("id", "digest", "kept"), "found")
-    marked = found.groupBy(F.col("id").alias("__id"), F.col("digest").alias("__digest")).agg(
-        F.first("kept").alias("__kept"), F.count(F.lit(1)).alias("__times")
+    marked = found.groupBy(F.col("id").alias("odd_id"), F.col("digest").alias("odd_digest")).agg(
+        F.first("kept").alias("one_kept"), F.count(F.lit(1)).alias("times")
     )
     # nearly every row stays as it is, so only the exceptions are joined
-    odd = stored(marked.filter("not __kept or __times > 1"), "odd")
-    own = F.sha2(normal_text(text_of(text_col)), 256)
-    same = F.col(id_col).cast("long").eqNullSafe(odd["__id"]) & (own == odd["__digest"])
+    odd = stored(marked.filter("not one_kept or times > 1"), "odd")
+    rows = carried(docs, own=F.col(id_col).cast("long"), own_digest=F.sha2(normal_text(text_of(text_col)), 256))
+    same = F.col("own").eqNullSafe(F.col("odd_id")) & (F.col("own_digest") == F.col("odd_digest"))
     # the exceptions grow with the documents, so the join is planned alike at every size
-    joined = docs.join(odd.hint("merge"), same, "left").filter("__times is null or __kept")
-    if odd.filter("__kept").isEmpty():
-        return joined.select(*docs.columns)
-    single = joined.filter("__times is null").select(*docs.columns)
-    again = joined.filter("__times is not null").dropDuplicates(["__id", "__digest"]).select(*docs.columns)
+    joined = rows.join(odd.hint("merge"), same, "left").filter("times is null or one_kept")
+    if odd.filter("one_kept").isEmpty():
+        return joined.select("carried.*")
+    single = joined.filter("times is null").select("carried.*")
+    again = joined.filter("times is not null").dropDuplicates(["odd_id", "odd_digest"]).select("carried.*")
     return single.unionByName(again)

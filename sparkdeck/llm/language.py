@@ -14,15 +14,13 @@ nothing to learn from. Rows whose language is null are not learned from. Only th
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import stored
-from .common import unit_interval
+from .common import carried, unit_interval
 
 UNKNOWN = "und"
 EDGE = 1
@@ -104,21 +102,16 @@ def learn(
     """
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    spark = labelled.sparkSession
-    sizes = [(r["lang"], min(1.0, train_docs / r["count"])) for r in rows.groupBy("lang").count().collect()]
-    if not sizes:
-        return {}
-    share = spark.createDataFrame(sizes, "lang string, share double")
-    sample = rows.join(F.broadcast(share), "lang").filter(unit_interval("id", seed=10) < F.col("share"))
+    share = rows.groupBy(F.col("lang").alias("of")).agg(F.least(F.lit(1.0), F.lit(float(train_docs)) / F.count(F.lit(1))).alias("share"))
+    # languages are few, but nothing says how few, so the size of `share` decides on the join
+    sample = rows.join(share, F.col("lang") == F.col("of")).filter(unit_interval("id", seed=10) < F.col("share"))
     counted = sample.select("lang", "text").mapInPandas(_count, "lang string, code long, n long")
-    counted = stored(counted.groupBy("lang", "code").agg(F.sum("n").alias("n")), "grams")
-    best = [
-        counted.filter(F.col("lang") == lang).orderBy(F.col("n").desc(), "code").limit(profile_size)
-        for lang, _ in sorted(sizes)
-    ]
+    counted = counted.groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "code")
+    best = counted.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= profile_size)
     profiles: dict[str, list[tuple[int, int]]] = {}
-    for r in reduce(DataFrame.unionByName, best).collect() if best else []:
-        profiles.setdefault(r["lang"], []).append((-r["n"], r["code"]))
+    for r in best.select("lang", "place", "code").collect():
+        profiles.setdefault(r["lang"], []).append((r["place"], r["code"]))
     return {lang: [code for _, code in sorted(found)] for lang, found in sorted(profiles.items())}
 
 
@@ -160,13 +153,13 @@ def identify(
 ) -> DataFrame:
     """(id, held_out, lang_pred, score) for every row, with profiles learned from the rows not held out."""
     profiles = learn(docs.filter(~held_out(id_col)), id_col, text_col, lang_col, **bounds)
-    rows = docs.select(F.col(id_col), held_out(id_col).alias("held_out"), F.col(text_col).alias("__text"))
-    found = predict("__text", profiles, bounds.get("profile_size", 400))
-    return rows.select(F.col(id_col), "held_out", found.alias("__found")).select(id_col, "held_out", "__found.lang_pred", "__found.score")
+    rows = docs.select(F.col(id_col).alias("id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
+    found = rows.select("id", "held_out", predict("text", profiles, bounds.get("profile_size", 400)).alias("found"))
+    return found.select(F.col("id").alias(id_col), "held_out", "found.lang_pred", "found.score")
 
 
 def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **bounds: int) -> DataFrame:
     """The rows of `docs` whose language can be told; texts without letters and null texts go."""
     profiles = learn(docs.filter(~held_out(id_col)), id_col, text_col, lang_col, **bounds)
-    found = docs.withColumn("__found", predict(text_col, profiles, bounds.get("profile_size", 400)))
-    return found.filter(F.col("__found.lang_pred") != UNKNOWN).drop("__found")
+    found = carried(docs, found=predict(text_col, profiles, bounds.get("profile_size", 400)))
+    return found.filter(F.col("found.lang_pred") != UNKNOWN).select("carried.*")

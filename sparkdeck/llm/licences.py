@@ -172,19 +172,27 @@ def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def check_sql(table: str = "documents") -> str:
-    """SQL with the same result as the registered query."""
-    known = ", ".join(f"('{name}', ' {phrase} ')" for name, phrase in SENTENCES.items())
+    """SQL with the same result as the registered query: the same steps, without looking around."""
+    known = ", ".join(f"('{name}', '{phrase}')" for name, phrase in Scanner(SENTENCES, RULES).phrases)
     marked = "names"
     for licence, rule in RULES:
         marked = f"replace({marked}, '{sequence(rule)}', '[{licence}]')"
     blank = BLANK.replace("\\f", "\\x0c")
     cut = BREAK.replace(BLANK, blank)
+    space = "[ \\t\\x0b\\x0c\\r]*"
+    version = f"(^|[^A-Za-z0-9.+])([vV])\\.{space}\\n?{space}([0-9])"
+    inner = "([a-z0-9])[.]([a-z0-9])"
     return f"""
         WITH known(name, phrase) AS (VALUES {known}),
-        parts AS (SELECT doc_id, regexp_split_to_array(coalesce(text, ''), '{cut}') AS parts FROM {table}),
+        texts AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '{version}', '\\1\\2 \\3', 'g') AS text FROM {table}),
+        parts AS (SELECT doc_id, regexp_split_to_array(text, '{cut}') AS parts FROM texts),
         one AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS place FROM parts),
+        words AS (SELECT doc_id, place, lower(regexp_replace(part, '{OTHER}', ' ', 'g')) AS part FROM one),
+        -- a full stop between two letters or digits is kept as a comma until the others are gone; twice, as it may share a letter
+        kept AS (
+            SELECT doc_id, place, regexp_replace(regexp_replace(part, '{inner}', '\\1,\\2', 'g'), '{inner}', '\\1,\\2', 'g') AS part FROM words),
         plain AS (
-            SELECT doc_id, place, ' ' || trim(lower(regexp_replace(part, '{OTHER}', ' ', 'g')), ' ') || ' ' AS part FROM one),
+            SELECT doc_id, place, ' ' || trim(regexp_replace(replace(replace(part, '.', ' '), ',', '.'), ' +', ' ', 'g')) || ' ' AS part FROM kept),
         hits AS (
             SELECT doc_id, place, name, instr(part, phrase) AS begins FROM plain JOIN known ON contains(part, phrase)),
         named AS (

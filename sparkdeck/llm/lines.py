@@ -5,18 +5,18 @@ Lines are compared by key: ASCII white space stripped at both ends, A-Z in lower
 document with the largest id that holds it. Other lines stay as they are, joined by \\n.
 
 Each key is known by two 64-bit halves of a 128-bit hash. Counting is one aggregate (documents per key and
-largest id, combined in the map tasks). The repeated keys are dealt over shards by hash, and each shard becomes a minimal
+largest id, combined in the map tasks). All distinct keys are dealt over shards by hash, and each shard becomes a minimal
 perfect hash (levels of bit arrays: a key is placed at the first level where it lands alone) that numbers
 its keys without gaps, beside arrays at those numbers: 64-bit fingerprint, count, largest id. Documents
-send their keys to the shards and probe the arrays; keys are never joined with lines. The fingerprint is
-the second half of the hash, the place depends on both, so a key that is not repeated is refused but for a
+send their keys to the shards and probe the arrays, whose counts decide; keys are never joined with lines. The fingerprint is
+the second half of the hash, the place depends on both, so a key that is not in the index is refused but for a
 chance of 2^-64.
 
 A line that a third of all documents hold sends as many probes to one shard; probes are therefore dealt over copies of a
 shard, as many as its counted probes need. Drops are then collected per document and joined with the texts by id.
 
 Odd cases: a null or empty text is one empty line. Rows that repeat an id count as several documents and
-lose the same lines. A null id is smaller than any other. An empty table gives an empty result. Only the named columns are read.
+lose the same lines. A null id is smaller than any other. A very long text is split in one task, its lines one at a time. An empty table gives an empty result. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from ..session import stored
 
-#: repeated keys of a shard, probes that one copy of a shard takes
-SHARD, PROBES = 2000, 8000
+#: distinct keys of a shard, probes that one copy of a shard takes
+SHARD, PROBES = 8192, 1 << 15
 _BLANKS = b" \t\n\x0b\x0c\r"
 _LOWEST = -(1 << 63)
 
@@ -94,15 +94,14 @@ def number_of(levels: list[bytes], high: np.ndarray, low: np.ndarray) -> np.ndar
 def _keys(least_chars: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            ids, keys = [], []
-            for doc, text in zip(frame["id"], frame["text"]):
+            ids, marks, keys = [], [], []
+            for doc, mark, text in zip(frame["id"], frame["mark"], frame["text"]):
                 own = {key_of(line, least_chars) for line in (text or "").encode().split(b"\n")} - {None}
                 ids += [doc] * len(own)
+                marks += [mark] * len(own)
                 keys += own
-            halves = [_halves(k) for k in keys]
-            yield pd.DataFrame(
-                {"id": np.array(ids, np.int64), "high": np.array([h for h, _ in halves], np.int64), "low": np.array([x for _, x in halves], np.int64)}
-            )
+            halves = np.array([_halves(k) for k in keys], np.int64).reshape(-1, 2)
+            yield pd.DataFrame({"id": np.array(ids, np.int64), "mark": np.array(marks, np.int64), "high": halves[:, 0], "low": halves[:, 1]})
 
     return run
 
@@ -114,24 +113,27 @@ def _build(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"shard": frame["shard"].iloc[:1], "levels": [levels], **{c: [b] for c, b in arrays.items()}})
 
 
-def _probe(asked: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
-    out = []
-    for shard in index.itertuples():
-        prints, last = np.frombuffer(shard.low, np.int64), np.frombuffer(shard.last, np.int64)
-        number = number_of(list(shard.levels), asked["high"].to_numpy(), asked["low"].to_numpy())
-        known = (number >= 0) & (prints[number] == asked["low"].to_numpy())
-        out.append(asked[known & (last[number] != asked["id"].to_numpy())])
-    return pd.concat(out)[["id", "high", "low"]] if out else asked[["id", "high", "low"]].iloc[:0]
+def _probe(least_docs: int):
+    def run(asked: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
+        out = [asked.iloc[:0]]
+        for shard in index.itertuples():
+            prints, docs, last = (np.frombuffer(b, np.int64) for b in (shard.low, shard.docs, shard.last))
+            number = number_of(list(shard.levels), asked["high"].to_numpy(), asked["low"].to_numpy())
+            known = (number >= 0) & (prints[number] == asked["low"].to_numpy())
+            out.append(asked[known & (docs[number] >= least_docs) & (last[number] != asked["id"].to_numpy())])
+        return pd.concat(out)[["id", "mark", "high", "low"]]
+
+    return run
 
 
-def repeated(keys: DataFrame, least_docs: int) -> DataFrame:
-    """(high, low, docs, last): the keys found in enough documents."""
-    return keys.groupBy("high", "low").agg(F.count(F.lit(1)).alias("docs"), F.max("id").alias("last")).filter(F.col("docs") >= least_docs)
+def distinct_keys(keys: DataFrame) -> DataFrame:
+    """(high, low, docs, last) of each distinct key: how many documents hold it and the largest id among them."""
+    return keys.groupBy("high", "low").agg(F.count(F.lit(1)).alias("docs"), F.max("id").alias("last"))
 
 
 def drops(keys: DataFrame, least_docs: int) -> DataFrame:
-    """(id, high, low): the keys whose lines a document loses, for (id, high, low) of distinct keys per document."""
-    found = stored(repeated(keys, least_docs), "repeated")
+    """(id, mark, high, low): the keys whose lines a document loses, for distinct (high, low) of each row's (id, mark)."""
+    found = stored(distinct_keys(keys), "distinct")
     shards = max(1, -(-found.count() // SHARD))
     shard = F.pmod(F.xxhash64("high", "low"), F.lit(shards)).cast("int")
     index = stored(
@@ -146,9 +148,9 @@ def drops(keys: DataFrame, least_docs: int) -> DataFrame:
     copies = index.join(load, index["shard"] == load["s"]).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     dealt = asked.join(load, asked["shard"] == load["s"])
     dealt = dealt.withColumn("copy", F.pmod(F.xxhash64(F.lit(7), "id", "high"), F.col("copies")).cast("int"))
-    left = dealt.select("shard", "copy", "id", "high", "low").groupBy("shard", "copy")
-    right = copies.select("shard", "copy", "levels", "low", "last").groupBy("shard", "copy")
-    return left.cogroup(right).applyInPandas(_probe, "id long, high long, low long")
+    left = dealt.select("shard", "copy", "id", "mark", "high", "low").groupBy("shard", "copy")
+    right = copies.select("shard", "copy", "levels", "low", "docs", "last").groupBy("shard", "copy")
+    return left.cogroup(right).applyInPandas(_probe(least_docs), "id long, mark long, high long, low long")
 
 
 def _cut(least_chars: int):
@@ -176,11 +178,13 @@ def drop_repeated(
 ) -> DataFrame:
     """(id, n_lines, n_dropped, kept_text) for every row."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    named = rows.withColumn("id", F.coalesce("id", F.lit(_LOWEST)))
-    keys = stored(named.mapInPandas(_keys(least_chars), "id long, high long, low long"), "keys")
-    gone = drops(keys, least_docs).groupBy("id").agg(F.collect_set(F.struct("high", "low")).alias("gone"))
-    gone = stored(gone.withColumnRenamed("id", "gid"), "gone")
+    # many rows may have one id, or none: what a row loses is found by its id and a hash of its text
+    named = rows.select(F.coalesce("id", F.lit(_LOWEST)).alias("id"), "text", F.xxhash64("text").alias("mark"))
+    keys = stored(named.mapInPandas(_keys(least_chars), "id long, mark long, high long, low long"), "keys")
+    gone = drops(keys, least_docs).groupBy(F.col("id").alias("gid"), F.col("mark").alias("of"))
+    gone = stored(gone.agg(F.collect_set(F.struct("high", "low")).alias("gone")), "gone")
     # the list of drops grows with the documents, so the join is planned alike at every size
-    joined = named.join(gone.hint("merge"), F.col("id") == F.col("gid"), "left").select("id", "text", "gone")
+    same = (F.col("id") == F.col("gid")) & (F.col("mark") == F.col("of"))
+    joined = named.join(gone.hint("merge"), same, "left").select("id", "text", "gone")
     cut = joined.mapInPandas(_cut(least_chars), "id long, n_lines long, n_dropped long, kept_text string")
     return cut.withColumn("id", F.nullif("id", F.lit(_LOWEST)))

@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .common import text_of, unit_interval
+from .common import carried, text_of, unit_interval
 
 #: documents of a bin, which are one array in one row
 BIN = 64
@@ -176,13 +176,9 @@ def mix(
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it."""
-    found = mix(docs, id_col, text_col, source_col, **how).select(
-        F.col("id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), F.col("copies").alias("__copies")
-    )
-    found = stored(found.filter("__copies > 0").distinct(), "copies")
-    same = (
-        F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
-        & F.col(source_col).cast("string").eqNullSafe(F.col("__source"))
-        & (words(text_of(text_col)) == F.col("__size"))
-    )
-    return docs.join(found.hint("merge"), same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    found = mix(docs, id_col, text_col, source_col, **how).select("id", "source", "size", "copies")
+    found = stored(found.filter("copies > 0").distinct(), "copies")
+    keys = {"own_id": F.col(id_col).cast("long"), "own_source": F.col(source_col).cast("string"), "own_size": words(text_of(text_col))}
+    rows = carried(docs, **keys)
+    same = F.col("own_id").eqNullSafe(F.col("id")) & F.col("own_source").eqNullSafe(F.col("source")) & (F.col("own_size") == F.col("size"))
+    return rows.join(found.hint("merge"), same).select("carried", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("carried.*")

@@ -21,7 +21,8 @@ left is compared exactly, on the weighted sets, in the tile in which it met. No
 Odd cases: a text of fewer words than `SHINGLE` is one shingle; a text without words, or null, is in a class
 of its own; a null id is smaller than any other. An id may stand on several texts: what is kept goes by id and
 weighted set, so of a class with words the rows with the smallest id and one weighted set are marked as kept, and
-`keep_one` leaves one of them. An empty table gives an empty result. Only the named columns are read.
+`keep_one` leaves one of them. A very long text is hashed in pieces of `PIECE` bytes. An empty table gives an empty result. Only the named
+columns are read; `keep_one` carries the others along under any names.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from ..operators.models.clustering import components
 from ..session import stored
-from .common import whole_groups
+from .common import carried, whole_groups
 from .tiles import listed, partners, tiled, together
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -154,6 +155,7 @@ def _sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             rows.append((len(units), *set_hash(units), signature(units) if len(units) else None))
         out = pd.DataFrame(rows, columns=["n", "h1", "h2", "sig"])
         out.insert(0, "id", frame["id"].to_numpy())
+        out.insert(1, "mark", frame["mark"].to_numpy())
         yield out
 
 
@@ -162,7 +164,7 @@ def _units(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for node, h1, h2, text in zip(frame["node"], frame["h1"], frame["h2"], frame["text"]):
             units = elements(text)
-            if set_hash(units) == (h1, h2):  # another row may have the same id
+            if set_hash(units) == (h1, h2):  # another text may have the same id and hash
                 rows.append((node, units.tobytes()))
         yield pd.DataFrame(rows, columns=["node", "units"])
 
@@ -213,8 +215,11 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(_LOWEST)).alias("id"), F.col(text_col).cast("string").alias("text")
     )
-    signed = stored(rows.mapInPandas(_sign, "id long, n long, h1 long, h2 long, sig binary"), "signed")
-    nodes = signed.filter("n > 0").groupBy("h1", "h2", "n").agg(F.min("id").alias("least"), F.first("sig").alias("sig"))
+    # many rows may have one id, or none: a row is found again by its id and a hash of its text
+    rows = rows.withColumn("mark", F.xxhash64("text"))
+    signed = stored(rows.mapInPandas(_sign, "id long, mark long, n long, h1 long, h2 long, sig binary"), "signed")
+    nodes = signed.filter("n > 0").groupBy("h1", "h2", "n").agg(F.min(F.struct("id", "mark")).alias("first"), F.first("sig").alias("sig"))
+    nodes = nodes.select("h1", "h2", "n", F.col("first.id").alias("least"), F.col("first.mark").alias("of"), "sig")
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     keys = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
@@ -224,8 +229,9 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     met = stored(tiled(members, BLOCK), "met")
     found = met.join(nodes.select("node", "sig"), "node")
     found = stored(partners(found, _likely), "likely")
-    wanted = nodes.select("node", "least", "h1", "h2").join(found.select("node").distinct(), "node", "left_semi")
-    units = rows.join(wanted.hint("merge"), rows["id"] == wanted["least"]).select("node", "h1", "h2", "text")
+    wanted = nodes.select("node", "least", "of", "h1", "h2").join(found.select("node").distinct(), "node", "left_semi")
+    same = (F.col("id") == F.col("least")) & (F.col("mark") == F.col("of"))
+    units = rows.join(wanted.hint("merge"), same).select("node", "h1", "h2", "text")
     units = stored(units.mapInPandas(_units, "node long, units binary").dropDuplicates(["node"]), "units")
     links = stored(together(found.join(units, "node")).mapInPandas(_verify, "a long, b long").distinct(), "links")
     linked = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
@@ -267,19 +273,18 @@ def _set_of(text: Column) -> Column:
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay: one document of each class, that with the smallest id."""
     found = stored(_labelled(docs, id_col, text_col).select("id", "h1", "h2", "n", "kept"), "found")
-    marked = found.groupBy(F.col("id").alias("__id")).agg(F.count(F.lit(1)).alias("__times"), F.min("kept").alias("__kept"))
+    marked = found.groupBy(F.col("id").alias("odd_id")).agg(F.count(F.lit(1)).alias("times"), F.min("kept").alias("all_kept"))
     # nearly every row stays as it is, so only the exceptions are joined
-    odd = stored(marked.filter("not __kept or __times > 1"), "odd")
-    own = F.coalesce(F.col(id_col).cast("long"), F.lit(_LOWEST))
+    odd = stored(marked.filter("not all_kept or times > 1"), "odd")
+    rows = carried(docs, own=F.coalesce(F.col(id_col).cast("long"), F.lit(_LOWEST)), text=F.col(text_col).cast("string"))
     # what goes grows with the documents, so the join is planned alike at every size
-    single = docs.join(odd.hint("merge"), own == odd["__id"], "left_anti")
-    several = odd.filter("__times > 1").select("__id")
+    single = rows.select("carried", "own").join(odd.hint("merge"), F.col("own") == F.col("odd_id"), "left_anti").select("carried.*")
+    several = odd.filter("times > 1").select("odd_id")
     if several.isEmpty():
         return single
     # an id on several rows says nothing of a row, so these go by the weighted set of their text as well
-    again = docs.join(several.hint("merge"), own == several["__id"], "left_semi")
-    again = again.withColumns({"__id": own, "__set": _set_of(F.col(text_col).cast("string"))})
-    stay = found.filter("kept and n > 0").select(F.col("id").alias("__i"), F.struct("n", "h1", "h2").alias("__s")).distinct()
-    worded = again.filter("__set.n > 0").join(stay, (F.col("__id") == F.col("__i")) & (F.col("__set") == F.col("__s")), "left_semi")
-    worded = worded.dropDuplicates(["__id", "__set"]).select(*docs.columns)
-    return single.unionByName(worded).unionByName(again.filter("__set.n = 0").select(*docs.columns))
+    again = rows.join(several.hint("merge"), F.col("own") == F.col("odd_id"), "left_semi").select("carried", "own", _set_of(F.col("text")).alias("set"))
+    stay = found.filter("kept and n > 0").select(F.col("id").alias("i"), F.struct("n", "h1", "h2").alias("s")).distinct()
+    worded = again.filter("set.n > 0").join(stay, (F.col("own") == F.col("i")) & (F.col("set") == F.col("s")), "left_semi")
+    worded = worded.dropDuplicates(["own", "set"]).select("carried.*")
+    return single.unionByName(worded).unionByName(again.filter("set.n = 0").select("carried.*"))

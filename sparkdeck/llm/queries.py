@@ -60,20 +60,33 @@ def op1_mixing(spark, sf_dir):
 @query(
     """
     WITH p AS (
-        SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
-    d AS (SELECT page_id, octet_length(body) AS n, sha256(body) AS digest FROM p),
-    f AS (SELECT *, min(page_id) OVER (PARTITION BY digest, n) AS first FROM d)
+        SELECT page_id, coalesce(html, '') AS body, chr(13) || chr(10) AS nl,
+               regexp_replace(replace(replace(url, chr(13), '%0D'), chr(10), '%0A'), '[\\x00-\\x1F\\x7F]', '%00', 'g') AS url FROM pages),
+    d AS (SELECT *, strlen(body) AS n, sha256(body) AS digest FROM p),
+    f AS (SELECT *, min(page_id) OVER (PARTITION BY digest, n) AS first FROM d),
+    k AS (SELECT *, n >= 100 AND page_id <> first AS again FROM f),
+    r AS (
+        SELECT *, 'WARC/1.1' || nl || 'WARC-Type: ' || CASE WHEN again THEN 'revisit' ELSE 'response' END || nl
+                  || 'WARC-Record-ID: <urn:record:' || page_id || '>' || nl || 'WARC-Date: 1970-01-01T00:00:00Z' || nl
+                  || coalesce('WARC-Target-URI: ' || url || nl, '') || 'WARC-Payload-Digest: sha256:' || digest || nl
+                  || CASE WHEN again THEN 'WARC-Refers-To: <urn:record:' || first || '>' || nl
+                          || 'WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest' || nl
+                          ELSE 'Content-Type: text/html; charset=utf-8' || nl END
+                  || 'Content-Length: ' || CASE WHEN again THEN 0 ELSE n END || nl || nl
+                  || CASE WHEN again THEN '' ELSE body END || nl || nl AS record
+        FROM k)
     SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
-           CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
-           CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
-    FROM f"""
+           CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first END AS refers_to,
+           CAST(strlen(record) AS BIGINT) AS record_bytes, sha256(record) AS record_sha256
+    FROM r"""
 )
 def op2_warc(spark, sf_dir):
     path = fresh_path(spark, "archive")
     warc.write_archive(table(spark, sf_dir, "pages"), path)
     found = warc.read_archive(spark, path)
     return found.select(
-        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to")
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"),
+        F.octet_length("record").cast("long").alias("record_bytes"), F.sha2("record", 256).alias("record_sha256"),
     )
 
 
