@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..functions.scalar import right_closed
 from ..operators import features, neighbours, ordered, relational as rel, similarity, stats
-from ..session import spread, stored
+from ..session import stored
 from .groups import _ITEM_MEAN, with_item_mean
 from .registry import query
 from .text import STOP_WORDS, _CATALOGUE_SQL
@@ -153,7 +153,7 @@ def categorical_detection(t):
 
 @query("l06_hashed_counts", f"SELECT doc_id, CAST(len({_CATALOGUE_SQL}) AS DOUBLE) AS total FROM documents")
 def hashed_counts(t):
-    rows = spread(t.documents).select("doc_id", text.clean_catalogue(F.col("text"), STOP_WORDS).alias("words"))
+    rows = t.documents.select("doc_id", text.clean_catalogue(F.col("text"), STOP_WORDS).alias("words"))
     v = vector_to_array(F.col("tf"))
     hashed = features.hashed_counts(rows, "words", 1000)
     return hashed.select("doc_id", F.aggregate(v, F.lit(0.0), lambda s, x: s + x).alias("total"))
@@ -162,7 +162,7 @@ def hashed_counts(t):
 @query("l07_hashed_tf_idf", "SELECT count(*) AS n, true AS close FROM documents")
 def hashed_tf_idf(t):
     """Weights from frequencies of training documents only; against the same without hashing, term by term."""
-    rows = spread(t.documents).select("doc_id", text.clean_catalogue(F.col("text"), STOP_WORDS).alias("words"))
+    rows = t.documents.select("doc_id", text.clean_catalogue(F.col("text"), STOP_WORDS).alias("words"))
     rows = stored(rows, "words")
     train, _ = rel.split_by_hash(rows, "doc_id", [0.7, 0.3], seed=4)
     size = 1 << 15
@@ -189,7 +189,7 @@ def hashed_tf_idf(t):
 def stop_words(t):
     words = text.drop_stop_words(F.split(F.lower("text"), r"\s+"), ["the", "and", "les", "der"])
     listed = t.part.select(F.explode(F.split("p_name", " ")).alias("word")).distinct()
-    counted = rel.word_counts(spread(t.documents), words)
+    counted = rel.word_counts(t.documents, words)
     return counted.join(listed, "word", "left_anti")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import haversine
 from ..operators import ordered, raster, series, spatial, stats
-from ..session import fresh_path, spread, stored
+from ..session import fresh_path, stored
 from .registry import query
 
 NDVI = "SELECT *, CASE WHEN nir + red <> 0 THEN (nir - red) / (nir + red) END AS ndvi FROM v_pixels"
@@ -339,7 +339,7 @@ def points_in_polygons(t):
 
     ring = F.array(corner(0.4, 0), corner(0, 0.4), corner(-0.4, 0), corner(0, -0.4))
     diamonds = t.supplier.select(F.col("s_suppkey").alias("polygon_id"), ring.alias("ring"))
-    found = spatial.point_in_polygon(spread(t.v_points), diamonds, "lon", "lat")
+    found = spatial.point_in_polygon(t.v_points, diamonds, "lon", "lat")
     return found.select("event_id", "polygon_id")
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..functions.scalar import right_closed
 from ..operators import ordered, relational as rel, stats
-from ..session import spread
 from .registry import query
 
 
@@ -40,7 +39,7 @@ def global_sums(t):
        WHERE word <> '' GROUP BY word""",
 )
 def word_count(t):
-    return rel.word_counts(spread(t.documents), F.split(F.lower(text.strip_punctuation(F.col("text"))), " "))
+    return rel.word_counts(t.documents, F.split(F.lower(text.strip_punctuation(F.col("text"))), " "))
 
 
 @query(
@@ -49,7 +48,7 @@ def word_count(t):
        FROM documents) WHERE word <> '' GROUP BY word""",
 )
 def word_count_any_case(t):
-    return rel.word_counts(spread(t.documents), F.split(F.lower("text"), r"\s+"))
+    return rel.word_counts(t.documents, F.split(F.lower("text"), r"\s+"))
 
 
 @query(

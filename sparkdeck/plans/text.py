@@ -8,7 +8,7 @@ from ..functions import records, scalar, text
 from ..functions.stems import stem_tokens
 from ..operators import features, ordered, search as find, similarity
 from ..operators.raster import COLOR_RAMP
-from ..session import fresh_path, spread
+from ..session import fresh_path
 from .registry import query
 
 #: words that have an index of their own; all others decode to the default
@@ -370,7 +370,7 @@ def color_ramp(t):
 
 @query("j02_stem_counts")
 def stem_counts(t):
-    french = spread(t.documents.filter("lang = 'fr'"))
+    french = t.documents.filter("lang = 'fr'")
     words = french.select("doc_id", F.explode(text.clean_catalogue(F.col("text"), STOP_WORDS)).alias("word"))
     counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     return stem_tokens(counted).groupBy("stem").agg(F.sum("n").alias("n"))
@@ -379,7 +379,7 @@ def stem_counts(t):
 # --- similarity and search -------------------------------------------------------------------------
 
 def documents_with_tokens(t):
-    return spread(t.documents).select("doc_id", text.clean_catalogue(F.col("text"), STOP_WORDS).alias("words"))
+    return t.documents.select("doc_id", text.clean_catalogue(F.col("text"), STOP_WORDS).alias("words"))
 
 
 _TERMS = f"""tok AS (SELECT doc_id AS id, {_CATALOGUE_SQL} AS words FROM documents),
@@ -402,10 +402,10 @@ _PAIRS = f"""{_TERMS},
     u AS (SELECT id, term, w / n AS u FROM w JOIN (SELECT id, sqrt(sum(w * w)) AS n FROM w GROUP BY id) USING (id) WHERE n > 0
           AND id IN (SELECT rep FROM reps)),
     pairs AS (SELECT a.id AS a, b.id AS b, sum(a.u * b.u) AS sim FROM u a JOIN u b ON a.term = b.term AND a.id < b.id
-              GROUP BY 1, 2 HAVING sum(a.u * b.u) >= 0.4)"""
+              GROUP BY 1, 2)"""
 
 
-@query("n07_cosine_pairs", f"WITH {_PAIRS} SELECT a, b, round(sim, 6) AS sim FROM pairs")
+@query("n07_cosine_pairs", f"WITH {_PAIRS} SELECT a, b, round(sim, 6) AS sim FROM pairs WHERE sim >= 0.4")
 def cosine_pairs(t):
     _, pairs = similarity.similar_documents(documents_with_tokens(t), "doc_id", "words", 0.4)
     return pairs.withColumn("sim", F.round("sim", 6))

@@ -89,15 +89,3 @@ def stored(df: DataFrame, name: str = "stage") -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a table over all cores if its bytes fill fewer splits than there are cores.
-
-    Only the place of rows changes, and what moves is at most one split per core; larger tables stay.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return df.repartition(cores) if int(str(size)) < cores * split else df
