@@ -6,11 +6,12 @@ import math
 from functools import reduce
 from itertools import product
 
+import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ...session import stored
+from ...session import fresh_path, stored
 
 
 def kmeans(df: DataFrame, k: int, features="features", iters: int = 20, seed: int = 1):
@@ -175,17 +176,9 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         links = new
 
 
-def density_clusters(df: DataFrame, id_col: str, cols: list[str], eps: float, min_points: int) -> DataFrame:
-    """(id, core, cluster): cluster is the number of its smallest cell, -1 for noise.
-
-    A border point between clusters takes the smallest cluster number. Points at the same coordinates
-    are handled as one point with a weight.
-    """
+def _clustered_cores(located: DataFrame, cols: list[str], eps: float, min_points: int) -> tuple[DataFrame, DataFrame]:
+    """Core points with the smallest cell of their cluster (`root`), and the points of thin cells."""
     cells = _cell_names(cols)
-    side = eps / math.sqrt(len(cols))
-    rows = df.select(F.col(id_col).alias("id"), *[F.col(c).cast("double").alias(c) for c in cols])
-    located = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("_w"))
-    located = stored(located.withColumns({k: F.floor(F.col(c) / side) for k, c in zip(cells, cols)}), "points")
     weights = located.groupBy(*cells).agg(F.sum("_w").alias("_cell"))
     sized = located.join(weights, cells)
     dense = sized.filter(F.col("_cell") >= min_points)
@@ -200,8 +193,27 @@ def density_clusters(df: DataFrame, id_col: str, cols: list[str], eps: float, mi
     node = F.struct(*cells)
     nodes = core.select(node.alias("node")).distinct()
     roots = components(nodes, _touching(core, cols, cells, eps))
-    named = stored(core.withColumn("node", node).join(roots, "node").drop("node"), "clusters")
-    border = thin.join(core, [*cols, *cells], "left_anti").select(*cols, *cells)
+    return stored(core.withColumn("node", node).join(roots, "node").drop("node"), "clusters"), thin
+
+
+def _located(df: DataFrame, cols: list[str], eps: float) -> DataFrame:
+    """Distinct places with their number of rows and their cell."""
+    side = eps / math.sqrt(len(cols))
+    places = df.groupBy(*[F.col(c).cast("double").alias(c) for c in cols]).agg(F.count(F.lit(1)).alias("_w"))
+    return places.withColumns({k: F.floor(F.col(c) / side) for k, c in zip(_cell_names(cols), cols)})
+
+
+def density_clusters(df: DataFrame, id_col: str, cols: list[str], eps: float, min_points: int) -> DataFrame:
+    """(id, core, cluster): cluster is the number of its smallest cell, -1 for noise.
+
+    A border point between clusters takes the smallest cluster number. Points at the same coordinates
+    are handled as one point with a weight.
+    """
+    cells = _cell_names(cols)
+    rows = df.select(F.col(id_col).alias("id"), *[F.col(c).cast("double").alias(c) for c in cols])
+    located = stored(_located(rows, cols, eps), "points")
+    named, thin = _clustered_cores(located, cols, eps, min_points)
+    border = thin.join(named, [*cols, *cells], "left_anti").select(*cols, *cells)
     reached = (
         _near_points(border, named, cols, cells, eps).groupBy(*cols).agg(F.min("o_root").alias("root"))
     )
@@ -212,3 +224,77 @@ def density_clusters(df: DataFrame, id_col: str, cols: list[str], eps: float, mi
     return rows.join(numbered, cols, "left").select(
         "id", F.coalesce("core", F.lit(False)).alias("core"), F.coalesce("cluster", F.lit("-1")).alias("cluster")
     )
+
+
+def write_density_model(df: DataFrame, cols: list[str], eps: float, min_points: int, path: str) -> None:
+    """Write the core points of a table by cell, each with its cluster, so that other tables can be matched with them."""
+    named, _ = _clustered_cores(stored(_located(df, cols, eps), "points"), cols, eps, min_points)
+    cores = named.select(*cols, *_cell_names(cols), F.to_json("root").alias("cluster"))
+    cores.repartitionByRange(*_cell_names(cols)).sortWithinPartitions(*_cell_names(cols)).write.parquet(path)
+
+
+def predict_density(df: DataFrame, id_col: str, cols: list[str], eps: float, path: str) -> DataFrame:
+    """(id, cluster, distance) of rows that need not have been in the table of the model.
+
+    A row belongs to the cluster of the nearest core point within `eps` (the one whose cluster comes first where several are
+    as near), else it is noise: -1 and no distance. Only the cells around a row's own are compared with it; rows at one
+    place are looked up once. Rows without coordinates are noise.
+    """
+    cells = _cell_names(cols)
+    cores = df.sparkSession.read.parquet(path)
+    rows = df.select(F.col(id_col).alias("id"), *[F.col(c).cast("double").alias(c) for c in cols])
+    places = _located(rows.dropna(subset=cols), cols, eps).select(*cols, *cells)
+    near = _near_points(places, cores, cols, cells, eps)
+    distance = F.sqrt(reduce(lambda a, b: a + b, [F.pow(F.col(c) - F.col(f"o_{c}"), 2) for c in cols]))
+    best = near.groupBy(*cols).agg(F.min(F.struct(distance.alias("distance"), F.col("o_cluster").alias("cluster"))).alias("_b"))
+    found = rows.join(best, cols, "left")
+    return found.select("id", F.coalesce("_b.cluster", F.lit("-1")).alias("cluster"), "_b.distance")
+
+
+# --- mini-batch k-means -------------------------------------------------------------------------------
+
+def minibatch_kmeans(
+    df: DataFrame, id_col: str, cols: list[str], k: int, batches: int = 10, epochs: int = 2, seed: int = 1, start_rows: int = 2000
+) -> list[list[float]]:
+    """k centres by mini-batches: each batch moves a centre towards the mean of its rows by their share of all rows it has had.
+
+    Rows are dealt over batches by a hash of their id and written by batch, so a step reads its own folder. A step is one
+    aggregate with k rows; only centres and their counts are on the driver. The first centres are spread over a sample of about
+    `start_rows` rows (by hash): the first at random, each other one far from those before it. Rows with a missing value are left out.
+    """
+    values = F.array(*[F.col(c).cast("double") for c in cols])
+    rows = df.dropna(subset=cols).select(values.alias("v"), F.xxhash64(F.lit(seed), F.col(id_col)).alias("h"))
+    path = fresh_path(df.sparkSession, "batches")
+    rows.withColumn("batch", F.pmod("h", F.lit(batches)).cast("int")).repartition(batches, "batch").write.partitionBy("batch").parquet(path)
+    dealt = df.sparkSession.read.parquet(path)
+    n = dealt.count()
+    sample = dealt.filter(F.pmod(F.xxhash64("h"), F.lit(1 << 30)) < min(1.0, start_rows / max(n, 1)) * (1 << 30))
+    points = np.array([r["v"] for r in sample.orderBy("h").limit(2 * start_rows).collect()]).reshape(-1, len(cols))
+    if not len(points):
+        raise ValueError("no rows")
+    rng = np.random.default_rng(seed)
+    centres = points[rng.integers(len(points), size=1)]
+    while len(centres) < k:  # drawn in proportion to the squared distance; the best of a few draws stays
+        far = ((points[:, None, :] - centres[None]) ** 2).sum(2).min(1)
+        chance = far / far.sum() if far.sum() > 0 else None
+        draws = points[rng.choice(len(points), size=8, p=chance)]
+        left = [np.minimum(far, ((points - d) ** 2).sum(1)).sum() for d in draws]
+        centres = np.vstack([centres, draws[int(np.argmin(left))]])
+    had = np.zeros(k)
+    for step in range(epochs * batches):
+        each = F.array(*[_squared(F.col("v"), c) for c in centres])
+        place = F.array_position(each, F.array_min(each)) - 1
+        sums = [F.sum(F.col("v")[i]).alias(f"s{i}") for i in range(len(cols))]
+        for r in dealt.filter(F.col("batch") == step % batches).groupBy(place.alias("c")).agg(F.count(F.lit(1)).alias("n"), *sums).collect():
+            had[r["c"]] += r["n"]
+            centres[r["c"]] += (np.array([r[f"s{i}"] for i in range(len(cols))]) - r["n"] * centres[r["c"]]) / had[r["c"]]
+    return centres.tolist()
+
+
+def assigned(df: DataFrame, cols: list[str], centres: list[list[float]]) -> DataFrame:
+    """Rows with `prediction`, the number of the nearest centre, and `d2`, the squared distance to it; null where a value is missing."""
+    vector = F.array(*[F.col(c).cast("double") for c in cols])
+    each = F.array(*[_squared(vector, c) for c in centres])
+    nearest = F.array_min(each)
+    there = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+    return df.withColumns({"prediction": F.when(there, F.array_position(each, nearest) - 1), "d2": F.when(there, nearest)})

@@ -28,6 +28,23 @@ def training_summary(spark, model) -> DataFrame:
     return spark.createDataFrame(rows, "name string, step int, value double")
 
 
+def residuals(predictions: DataFrame, label: str) -> DataFrame:
+    """Rows with `residual`, label less prediction."""
+    return predictions.withColumn("residual", F.col(label) - F.col("prediction"))
+
+
+def residual_sketch(rows: DataFrame, by: list[str] = ()) -> DataFrame:
+    """(by, n, sketch): a mergeable quantile sketch of the residuals per key, or of the whole table."""
+    return rows.groupBy(*by).agg(F.count("residual").alias("n"), F.kll_sketch_agg_double(F.col("residual").cast("double")).alias("sketch"))
+
+
+def residual_quantiles(sketches: DataFrame, shares: list[float]) -> DataFrame:
+    """(share, residual): quantiles of all residuals from any number of sketches. The rank is off by about 1.7 % of the rows at most."""
+    merged = sketches.agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+    found = [F.struct(F.lit(float(s)).alias("share"), F.kll_sketch_get_quantile_double("sketch", F.lit(float(s))).alias("residual")) for s in shares]
+    return merged.select(F.inline(F.array(*found)))
+
+
 def gradient_descent(df: DataFrame, cols: list[str], label: str, step: float, iters: int) -> list[float]:
     """Weights (no intercept) after full-batch descent from zero with step / sqrt(t) at iteration t.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalar import haversine
-from ..operators import ordered, raster, series, spatial, stats
+from ..operators import ordered, raster, reconstruct, series, spatial, stats
 from ..session import fresh_path, stored
 from .registry import query
 
@@ -320,7 +320,9 @@ def rectangle_by_cell(t):
        ORDER BY sqrt(pow(lon + 110, 2) + pow(lat - 33, 2)), event_id LIMIT 12""",
 )
 def nearest_points(t):
-    out = spatial.knn_points(t.v_points, "lon", "lat", -110.0, 33.0, 12, "event_id")
+    path = fresh_path(t.spark, "cells")
+    spatial.write_cells(t.v_points, "lon", "lat", 0.5, path)
+    out = spatial.knn_by_cell(t.spark.read.parquet(path), "lon", "lat", -110.0, 33.0, 12, "event_id", 0.5)
     return out.select("event_id", F.round("dist", 6).alias("dist"))
 
 
@@ -438,6 +440,24 @@ def interpolate_rows(t):
     return _filled(t, False)
 
 
+@query(
+    "q04_reconstruct_from_alike",
+    """WITH s AS (SELECT parcel, d, v FROM v_series),
+         gaps AS (SELECT parcel, d FROM (SELECT DISTINCT parcel FROM s) CROSS JOIN (SELECT DISTINCT d FROM s) EXCEPT SELECT parcel, d FROM s),
+         far AS (SELECT a.parcel AS p, b.parcel AS o, avg((a.v - b.v) * (a.v - b.v)) AS dist
+                 FROM s a JOIN s b ON a.d = b.d AND a.parcel <> b.parcel GROUP BY 1, 2),
+         near AS (SELECT g.parcel, g.d, s.v, dist, row_number() OVER (PARTITION BY g.parcel, g.d ORDER BY dist, s.parcel) AS r
+                  FROM gaps g JOIN s ON s.d = g.d JOIN far ON p = g.parcel AND o = s.parcel),
+         new AS (SELECT parcel, d, CASE WHEN min(dist) = 0 THEN avg(CASE WHEN dist = 0 THEN v END)
+                                        ELSE sum(v / nullif(dist, 0)) / sum(1 / nullif(dist, 0)) END AS v FROM near WHERE r <= 5 GROUP BY 1, 2)
+       SELECT parcel, strftime(d, '%Y-%m-%d') AS day, round(v, 6) AS v, false AS filled FROM s UNION ALL
+       SELECT g.parcel, strftime(g.d, '%Y-%m-%d'), round(n.v, 6), n.v IS NOT NULL FROM gaps g LEFT JOIN new n ON n.parcel = g.parcel AND n.d = g.d""",
+)
+def reconstruct_from_alike(t):
+    out = reconstruct.knn_fill(stored(t.v_series, "series"), "parcel", "d", "v", 5)
+    return out.select("parcel", F.date_format("d", "yyyy-MM-dd").alias("day"), F.round("v", 6).alias("v"), "filled")
+
+
 @query("e06_interpolate_time", _fill_sql("date_diff('day', DATE '2024-01-01', grid.d)"))
 def interpolate_time(t):
     return _filled(t, True)

@@ -76,13 +76,24 @@ def least_squares(t):
     return fitted.select(F.round("s", 4).alias("slope"), F.round("i", 2).alias("intercept"))
 
 
+def sloped(t):
+    """Order lines with an amount that is a line on two of three columns, give or take 5, and `held` for rows not trained on."""
+    noise = 10 * rel.hash_unit(F.col("l_extendedprice"), 3) - 5
+    rows = lines(t).withColumn("amount", 7 * F.col("l_quantity") - 900 * F.col("l_discount") + 40 + noise)
+    return rows.withColumn("held", rel.hash_unit(F.col("l_orderkey"), 4) < 0.3)
+
+
+def explained(predicted, bound=0.98):
+    """One row: rows scored, and whether the fit on rows not trained on explains at least `bound` of the variance."""
+    left = F.avg(F.when(F.col("held"), F.pow(F.col("amount") - F.col("prediction"), 2))) / F.var_pop(F.when(F.col("held"), F.col("amount")))
+    return predicted.agg(F.count("prediction").alias("n"), F.coalesce(1 - left >= bound, F.lit(False)).alias("fits"))
+
+
 @query("m01_elastic_net", "SELECT count(*) AS n, true AS fits FROM lineitem")
 def elastic_net(t):
-    """A lightly penalised fit explains nearly as much as the best line on one column does."""
-    predicted = regression.linear(lines(t), "l_extendedprice").transform(lines(t))
-    best = F.pow(F.corr("l_extendedprice", "l_quantity"), 2)
-    left = F.avg(F.pow(F.col("l_extendedprice") - F.col("prediction"), 2)) / F.var_pop("l_extendedprice")
-    return predicted.agg(F.count("prediction").alias("n"), F.coalesce(1 - left > best - 0.02, F.lit(False)).alias("fits"))
+    """A penalised fit finds the planted line on rows it has not seen."""
+    rows = sloped(t)
+    return explained(regression.linear(seen(rows), "amount").transform(rows))
 
 
 @query(
@@ -120,6 +131,33 @@ def regression_summary(t):
     )
 
 
+@query(
+    "m03_residuals",
+    """SELECT l_orderkey, l_quantity, l_extendedprice, round(l_extendedprice - (b + a * l_quantity), 3) AS residual
+       FROM lineitem, (SELECT regr_slope(l_extendedprice, l_quantity) AS a, regr_intercept(l_extendedprice, l_quantity) AS b FROM lineitem)""",
+)
+def residual_rows(t):
+    rows = features.assemble(t.lineitem.select("l_orderkey", "l_quantity", "l_extendedprice"), ["l_quantity"])
+    model = regression.linear(rows, "l_extendedprice", reg=0.0, elastic=0.0, solver="normal")
+    out = regression.residuals(model.transform(rows), "l_extendedprice")
+    return out.select("l_orderkey", "l_quantity", "l_extendedprice", F.round("residual", 3).alias("residual"))
+
+
+@query("m03_residual_quantiles", "SELECT share, true AS near FROM lineitem, (VALUES (0.0), (0.25), (0.5), (0.75), (1.0)) v(share) GROUP BY share")
+def residual_quantiles(t):
+    """Quantiles from merged sketches of the residuals (one per ship mode, say) have the right share of rows below them."""
+    rows = sloped(t)
+    out = stored(regression.residuals(regression.linear(seen(rows), "amount").transform(rows), "amount").select("l_quantity", "residual"), "residuals")
+    shares = [0.0, 0.25, 0.5, 0.75, 1.0]
+    found = regression.residual_quantiles(regression.residual_sketch(out, ["l_quantity"]), shares)
+    values = {r["share"]: r["residual"] for r in found.collect()}
+    part = lambda s, cut: F.avg((F.col("residual") <= cut).cast("double")).alias(f"p{s}")
+    real = out.agg(*[part(k, values[s]) for k, s in enumerate(shares)]).first()
+    low = out.agg(*[F.avg((F.col("residual") < values[s]).cast("double")).alias(f"p{k}") for k, s in enumerate(shares)]).first()
+    rows = [(s, bool(low[k] - 0.02 <= s <= real[k] + 0.02)) for k, s in enumerate(shares)]
+    return t.spark.createDataFrame(rows, "share double, near boolean").select(F.col("share").cast("decimal(3,2)").alias("share"), "near")
+
+
 # --- classification ------------------------------------------------------------------------------------
 
 _GOOD = "SELECT count(*) AS n, true AS good FROM part"
@@ -164,8 +202,8 @@ def hold_out_predictions(t):
 )
 def label_with_prediction(t):
     rows = planted(t)
-    scored = cls.tree(rows, depth=4).transform(rows)  # label and prediction stay in one row
-    right = F.avg((F.col("prediction") == F.col("label")).cast("double")) >= 0.9
+    scored = cls.tree(seen(rows), depth=4).transform(rows)  # label and prediction stay in one row
+    right = F.coalesce(F.avg(F.when(F.col("held"), (F.col("prediction") == F.col("label")).cast("double"))) >= 0.9, F.lit(False))
     return scored.groupBy("label").agg(F.count("prediction").alias("n"), right.alias("mostly_right"))
 
 
@@ -174,11 +212,11 @@ def two_stage_demand(t):
     """Sold or not, and how much, follow the age; the product of both fits and the expected amounts show it."""
     rows, names = prepare_articles(t)
     rows = rows.withColumn("sold", F.when(F.col("age") > 0, F.col("age") * 10).otherwise(0).cast("double"))
-    rows = stored(features.assemble(rows, names), "articles")
-    score, fit = cls.two_stage(rows, "sold", trees=8)
+    rows = stored(features.assemble(rows, names).withColumn("held", rel.hash_unit(F.col("article"), 6) < 0.3), "articles")
+    score, fit = cls.two_stage(seen(rows), "sold", trees=8)
     return score(rows).agg(
         F.count("expected").alias("n"), (F.min("expected") >= 0).alias("positive"), F.lit(fit >= 0.9).alias("fits"),
-        (F.avg(F.abs(F.col("expected") - F.col("sold"))) < 1).alias("close"),
+        F.coalesce(F.avg(F.when(F.col("held"), F.abs(F.col("expected") - F.col("sold")))) < 1, F.lit(False)).alias("close"),
     )
 
 
@@ -403,12 +441,44 @@ def nearest(rows, model, name="features"):
     )
 
 
-@query("m09_kmeans", _NEAREST.format("embeddings"))
+def told_apart(scored, blob, k):
+    """One row: rows scored, and whether each planted blob has a cluster of its own (all but 2 % of the rows)."""
+    pairs = scored.groupBy(F.col(blob).alias("b"), F.col("prediction").alias("c")).agg(F.count("prediction").alias("n"))
+    best = pairs.groupBy("b").agg(F.max("n").alias("n"), F.max_by("c", "n").alias("c"), F.sum("n").alias("all"))
+    good = (F.count_distinct("c") == k) & (F.sum("n") >= 0.98 * F.sum("all"))
+    return best.agg(F.coalesce(F.sum("all"), F.lit(0)).alias("n"), F.coalesce(good, F.lit(False)).alias("told_apart"))
+
+
+def blobs(t, k):
+    """Events as points around k places: `blob` is the place, `x` and `y` lie within 1 of it, places are 6 apart."""
+    blob = F.pmod(F.col("event_id"), F.lit(k))
+    jitter = lambda seed: 2 * rel.hash_unit(F.col("event_id"), seed) - 1
+    return t.events.select("event_id", blob.alias("blob"), (blob % 3 * 6 + jitter(1)).alias("x"), (F.floor(blob / 3) * 6 + jitter(2)).alias("y"))
+
+
+@query("m09_kmeans", "SELECT count(*) AS n, true AS told_apart FROM events")
 def kmeans(t):
+    rows = features.assemble(blobs(t, 3), ["x", "y"])
+    return told_apart(clustering.kmeans(rows, 3).transform(rows), "blob", 3)
+
+
+@query("m09_nearest_centre", _NEAREST.format("embeddings"))
+def nearest_centre(t):
     rows = vectors(t)
     return nearest(rows, clustering.kmeans(rows, 3))
 
 
+@query("m12_minibatch_kmeans", "SELECT count(*) AS n, true AS told_apart, true AS near_full FROM events")
+def minibatch_kmeans(t):
+    """Mini-batches find the planted places and come within 5 % of the error of the places themselves."""
+    rows = stored(blobs(t, 6), "blobs")
+    centres = clustering.minibatch_kmeans(rows, "event_id", ["x", "y"], 6)
+    scored = clustering.assigned(rows, ["x", "y"], centres)
+    own = scored.groupBy("blob").agg((F.var_pop("x") + F.var_pop("y")).alias("v"), F.count(F.lit(1)).alias("m"), F.sum("d2").alias("d2"))
+    near = own.agg(F.coalesce(F.sum("d2") <= 1.05 * F.sum(F.col("v") * F.col("m")), F.lit(False))).first()[0]
+    return told_apart(scored, "blob", 6).withColumn("near_full", F.lit(near))
+
+
 @query("m10_within_set_error", "SELECT count(*) AS n, true AS not_above FROM embeddings")
 def within_set_error(t):
     rows = vectors(t)
@@ -437,13 +507,21 @@ def elbow_falls(t):
     return table.agg(F.count(F.lit(1)).alias("n"), ((cost[2] > cost[5]) & (cost[5] > cost[12])).alias("falls"))
 
 
-@query("m12_segment_kmeans", "SELECT count(*) AS n, 0::BIGINT AS not_nearest FROM (SELECT DISTINCT tile_col, tile_row FROM v_pixels)")
+def zoned(t):
+    """Pixels with data, whose bands depend on the `zone` (one of four) of their tile, give or take 300."""
+    zone = F.pmod(F.col("tile_col") + 2 * F.col("tile_row"), F.lit(4))
+    bands = {"red": 1000 + 2000 * zone + F.col("red") % 300, "nir": 9000 - 2000 * (zone % 2) + F.col("nir") % 300}
+    return t.v_pixels.filter("red + nir <> 0").withColumns({"zone": zone, **bands})
+
+
+@query("m12_segment_kmeans", "SELECT count(*) AS n, true AS told_apart FROM (SELECT DISTINCT tile_col, tile_row FROM v_pixels WHERE red + nir <> 0)")
 def segment_kmeans(t):
     from ..operators.raster import segment_features
 
-    seg = segment_features(t.v_pixels, ["tile_col", "tile_row"], ["red", "nir"])
-    rows = features.assemble(seg, [c for c in seg.columns if c not in ("tile_col", "tile_row")])
-    return nearest(rows, clustering.kmeans(rows, 6))
+    segments = ["tile_col", "tile_row", "zone"]
+    seg = segment_features(zoned(t), segments, ["red", "nir"])
+    rows = features.assemble(seg, [c for c in seg.columns if c not in segments])
+    return told_apart(clustering.kmeans(rows, 4).transform(rows), "zone", 4)
 
 
 def pixel_vectors(t):
@@ -474,24 +552,28 @@ def pixel_kmeans(t):
     )
 
 
-@query("o14_cluster_raster", "SELECT count(*) AS n, 0::BIGINT AS not_nearest, true AS all_used FROM v_pixels WHERE red + nir <> 0")
+@query("o14_cluster_raster", "SELECT count(*) AS n, true AS told_apart FROM v_pixels WHERE red + nir <> 0")
 def cluster_raster(t):
-    """Every cell with data carries its nearest centre, and all clusters have cells."""
-    rows = pixel_vectors(t)
-    model = clustering.kmeans(rows, 4, iters=10)
-    grid = clustering.with_distance(rows, model, "features")
-    return grid.agg(
-        F.count(F.lit(1)).alias("n"), F.sum((F.col("d2") > F.col("best_d2") + 1e-9).cast("int")).alias("not_nearest"),
-        (F.count_distinct("prediction") == 4).alias("all_used"),
-    )
+    """Every cell with data carries a cluster, and the clusters are the planted zones."""
+    rows = features.assemble(zoned(t), ["red", "nir"])
+    return told_apart(clustering.kmeans(rows, 4, iters=10).transform(rows), "zone", 4)
 
 
-@query("o21_classified_pixels", "SELECT count(*) AS n, CAST(sum(CASE WHEN red + nir = 0 THEN 1 ELSE 0 END) AS BIGINT) AS masked FROM v_pixels")
+@query(
+    "o21_classified_pixels",
+    """SELECT count(*) AS n, CAST(sum(CASE WHEN red + nir = 0 THEN 1 ELSE 0 END) AS BIGINT) AS masked, true AS good FROM v_pixels""",
+)
 def classified_pixels(t):
-    rows = features.assemble(t.v_pixels, ["red", "nir"]).withColumn("label", ((F.col("x") + F.col("y")) % 3).cast("double"))
-    model = cls.forest(rows.filter(F.col("red") + F.col("nir") != 0), trees=5, depth=4)
-    shown = model.transform(rows).withColumn("cls", F.when(F.col("red") + F.col("nir") != 0, F.col("prediction")).otherwise(-1.0))
-    return shown.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("cls") == -1).cast("int")).alias("masked"))
+    """Classes follow a rule on the bands; nine of ten pixels not trained on get theirs, and those without data none."""
+    there = F.col("red") + F.col("nir") != 0
+    label = 2 * (F.col("red") > 5000).cast("int") + (F.col("nir") > 5000).cast("int")
+    rows = features.assemble(t.v_pixels, ["red", "nir"]).withColumn("label", label.cast("double"))
+    rows = rows.withColumn("held", rel.hash_unit(F.concat_ws("/", "x", "y"), 8) < 0.3)
+    shown = cls.forest(seen(rows.filter(there)), trees=5, depth=4).transform(rows).withColumn("cls", F.when(there, F.col("prediction")).otherwise(-1.0))
+    hit = F.when(F.col("held") & there, (F.col("cls") == F.col("label")).cast("double"))
+    return shown.agg(
+        F.count(F.lit(1)).alias("n"), F.sum((F.col("cls") == -1).cast("int")).alias("masked"), F.coalesce(F.avg(hit) >= 0.9, F.lit(False)).alias("good")
+    )
 
 
 _NEAR = "(a.lon - b.lon) * (a.lon - b.lon) + (a.lat - b.lat) * (a.lat - b.lat) <= 0.0225"
@@ -512,6 +594,26 @@ def density_clusters(t):
     return out.select("id", "core", (F.col("cluster") == "-1").alias("noise"))
 
 
+@query(
+    "m24_density_predict",
+    f"""WITH pts AS (SELECT event_id, lon, lat FROM v_points WHERE event_id % 10 <> 3),
+         near AS (SELECT a.event_id, count(*) AS n FROM pts a JOIN pts b ON b.lon BETWEEN a.lon - 0.15 AND a.lon + 0.15 AND {_NEAR}
+                  GROUP BY 1),
+         core AS (SELECT pts.* FROM pts JOIN near USING (event_id) WHERE n >= 14)
+       SELECT a.event_id AS id, min(b.event_id) IS NULL AS noise,
+              round(min(sqrt((a.lon - b.lon) * (a.lon - b.lon) + (a.lat - b.lat) * (a.lat - b.lat))), 6) AS distance
+       FROM v_points a LEFT JOIN core b ON b.lon BETWEEN a.lon - 0.15 AND a.lon + 0.15 AND {_NEAR}
+       WHERE a.event_id % 10 = 3 GROUP BY a.event_id""",
+)
+def density_predict(t):
+    """Clusters of nine tenths of the points, and the others matched with them."""
+    held = F.col("event_id") % 10 == 3
+    path = fresh_path(t.spark, "density")
+    clustering.write_density_model(t.v_points.filter(~held), ["lon", "lat"], 0.15, 14, path)
+    out = clustering.predict_density(t.v_points.filter(held), "event_id", ["lon", "lat"], 0.15, path)
+    return out.select("id", (F.col("cluster") == "-1").alias("noise"), F.round("distance", 6).alias("distance"))
+
+
 @query(
     "m23_isolation_scores",
     """SELECT count(*) AS n, true AS in_range, count(*) FILTER (event_id % 400 = 7) AS planted, true AS on_top FROM events""",
