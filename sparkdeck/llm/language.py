@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .common import carried, unit_interval
 
 UNKNOWN = "und"
@@ -103,7 +104,8 @@ def learn(
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     share = rows.groupBy(F.col("lang").alias("of")).agg(F.least(F.lit(1.0), F.lit(float(train_docs)) / F.count(F.lit(1))).alias("share"))
-    # languages are few, but nothing says how few, so the size of `share` decides on the join
+    # languages are few, but nothing says how few: the written size of `share` decides on the join, so that texts stay where they are
+    share = stored(share, "share")
     sample = rows.join(share, F.col("lang") == F.col("of")).filter(unit_interval("id", seed=10) < F.col("share"))
     counted = sample.select("lang", "text").mapInPandas(_count, "lang string, code long, n long")
     counted = counted.groupBy("lang", "code").agg(F.sum("n").alias("n"))
