@@ -250,22 +250,28 @@ def quantiles(df, by, value, probs: dict[str, float], partitions=None) -> DataFr
     return picked.select(*by, *[c.alias(n) for n, c in exact.items()])
 
 
-def quantile_bins(df, value, probs: list[float], out="bin", partitions=None) -> DataFrame:
-    """Right-closed bins between the given quantiles; lowest edge included, last bin open above.
+def quantile_cuts(df, value, probs: list[float], partitions=None) -> list[float]:
+    """The quantiles of a column as a fixed, small number of scalars on the driver; none for a table without values."""
+    row = quantiles(df, [], value, {f"q{i}": p for i, p in enumerate(probs)}, partitions).first()
+    return [] if row is None else [row[f"q{i}"] for i in range(len(probs))]
 
-    The cut points are a fixed, small number of scalars and are read to the driver.
-    """
-    names = {f"q{i}": p for i, p in enumerate(probs)}
-    cuts = quantiles(df, [], value, names, partitions).first()
-    if cuts is None:
+
+def bin_by(df, value, cuts: list[float], out="bin") -> DataFrame:
+    """Right-closed bins between cut points, numbered from 1; lowest edge included, last bin open above, null below the lowest cut."""
+    if not cuts:
         return df.withColumn(out, F.lit(None).cast("int"))
-    expr = F.lit(len(probs))
-    for i in range(len(probs) - 1, 0, -1):
-        expr = F.when(F.col(value) <= cuts[f"q{i}"], F.lit(i)).otherwise(expr)
-    low = F.col(value) < cuts["q0"]
+    expr = F.lit(len(cuts))
+    for i in range(len(cuts) - 1, 0, -1):
+        expr = F.when(F.col(value) <= cuts[i], F.lit(i)).otherwise(expr)
+    low = F.col(value) < cuts[0]
     return df.withColumn(out, F.when(F.col(value).isNull() | low, F.lit(None)).otherwise(expr).cast("int"))
 
 
+def quantile_bins(df, value, probs: list[float], out="bin", partitions=None) -> DataFrame:
+    """`bin_by` the given quantiles of the same column."""
+    return bin_by(df, value, quantile_cuts(df, value, probs, partitions), out)
+
+
 def fold(df, order, k, out="fold", partitions=None) -> DataFrame:
     """k contiguous folds of near-equal size along `order` (larger folds first), numbered from 1."""
     n = df.count()
