@@ -39,11 +39,8 @@ def wssse(df: DataFrame, model, features="features") -> DataFrame:
 
 def sweep(df: DataFrame, ks: list[int], features="features", iters: int = 20, seed: int = 1):
     """One model per k and the elbow table (k, wssse), k in numeric order."""
-    df = df.select(features).persist()
-    try:
-        models = {k: kmeans(df, k, features, iters, seed) for k in sorted(ks)}
-    finally:
-        df.unpersist()
+    df = stored(df.select(features), "points")  # every k reads them again
+    models = {k: kmeans(df, k, features, iters, seed) for k in sorted(ks)}
     rows = [(k, float(m.summary.trainingCost)) for k, m in models.items()]
     return models, df.sparkSession.createDataFrame(rows, "k int, wssse double")
 

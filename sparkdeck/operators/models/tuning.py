@@ -8,6 +8,7 @@ import time
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 
+from ...session import stored
 from ..relational import sample_by_hash
 
 
@@ -31,11 +32,7 @@ def search(df: DataFrame, estimator, settings: list, evaluator, folds: int = 3,
         estimator=estimator, estimatorParamMaps=settings, evaluator=evaluator, numFolds=folds, seed=seed,
         parallelism=parallelism,
     )
-    df = df.persist()
-    try:
-        return validator.fit(df)
-    finally:
-        df.unpersist()
+    return validator.fit(stored(df, "rows"))  # every setting reads it again
 
 
 def search_table(spark, model) -> DataFrame:

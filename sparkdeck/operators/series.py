@@ -5,7 +5,11 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType
+
+from ..session import stored
+
+#: dates of a list
+DATES = 1000
 
 
 def _date_counts(df: DataFrame, id_col: str, date: str, value: str) -> tuple[DataFrame, int]:
@@ -31,13 +35,14 @@ def drop_sparse_dates(df: DataFrame, id_col: str, date: str, value: str, share:
 def complete(df: DataFrame, id_col: str, date: str) -> DataFrame:
     """One row per parcel and date of the table, null where nothing was observed.
 
-    Every parcel unfolds the distinct dates of the table (one scalar per date); a stray date adds one row per
-    parcel, as it does to the result.
+    The distinct dates are dealt over lists of about `DATES`, and every parcel unfolds each list by its number, so the
+    dates never come to the driver and no row holds all of them; a stray date adds one row per parcel, as it does to the result.
     """
-    kind = df.schema[date].dataType
-    dates = df.agg(F.sort_array(F.collect_set(date))).first()[0]
-    days = F.array(*[F.lit(d) for d in dates]).cast(ArrayType(kind))
-    grid = df.select(id_col).distinct().withColumn(date, F.explode(days))
+    dates = stored(df.select(F.col(date).alias("_date")).filter(F.col("_date").isNotNull()).distinct(), "dates")
+    lists = max(1, -(-dates.count() // DATES))
+    dealt = dates.groupBy(F.pmod(F.xxhash64("_date"), F.lit(lists)).cast("int").alias("_list")).agg(F.collect_list("_date").alias("_dates"))
+    parcels = df.select(id_col).distinct().withColumn("_of", F.explode(F.sequence(F.lit(0), F.lit(lists - 1))))
+    grid = parcels.join(dealt, F.col("_of") == F.col("_list")).select(id_col, F.explode("_dates").alias(date))
     return grid.join(df, [id_col, date], "left")
 
 

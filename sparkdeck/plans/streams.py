@@ -190,6 +190,16 @@ def refreshed_upsert(t):
     return sinks.merged(t.spark, path, ["id"], "version")
 
 
+@query("i14_refreshed_in_versions", "SELECT id, max(version) AS version, arg_max(label, version) AS label FROM v_upsert GROUP BY id")
+def refreshed_in_versions(t):
+    """Rows arrive in four stretches of conversations; the log is shortened on the way."""
+    arrived, (path, checkpoint) = fresh_path(t.spark, "arrived"), folders(t, "versions")
+    for k in range(4):
+        t.v_upsert.filter(F.pmod("id", F.lit(4)) == k).write.mode("append").parquet(arrived)
+        sinks.upsert_table(stream_files(t.spark, arrived, t.v_upsert.schema), path, checkpoint, ["id"], "version", compact_every=2)
+    return sinks.merged(t.spark, path, ["id"], "version")
+
+
 _RANGE = ("2024-01-05 00:00:00", "2024-01-20 00:00:00")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.files import upsert
+from .versions import Versions
 
 
 def run_available(writer, checkpoint: str, timeout: int | None = None) -> None:
@@ -35,65 +36,57 @@ def append_batches(stream: DataFrame, path: str, checkpoint: str) -> None:
     run_available(stream.writeStream.outputMode("append").foreachBatch(write), checkpoint)
 
 
-def _numbered(spark: SparkSession, path: str, name: str) -> dict[int, str]:
-    """Number -> folder, for the complete folders `path`/`name`=number."""
-    jvm = spark._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/{name}=*/_SUCCESS")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
-    folders = [status.getPath().getParent() for status in found]
-    return {int(f.getName().split("=")[1]): f.toString() for f in folders}
+def _logged(table: Versions, rows: DataFrame, batch_id: int, shorten, compact_every: int, keep: int) -> None:
+    """Add a batch to a table of versions; when more than `compact_every` folders are named, `shorten` makes them one."""
+    held = [*table.before(batch_id), table.write(rows, "batch", batch_id)]
+    if len(held) > compact_every:
+        held = [table.write(shorten(held), "base", batch_id)]
+    table.publish(batch_id, held)
+    table.clean(keep)
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def _newest_batch(spark: SparkSession, folders: list[tuple[str, int]], keys: list[str]) -> DataFrame:
+    """Row of the newest batch per key."""
+    rows = reduce(DataFrame.unionByName, [spark.read.parquet(f).withColumn("_batch", F.lit(n)) for f, n in folders])
+    rest = [c for c in rows.columns if c not in keys and c != "_batch"]
+    newest_row = F.max_by(F.struct(*rest), F.col("_batch")).alias("_row")
+    return rows.groupBy(*keys).agg(newest_row).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
-def update_table(stream: DataFrame, path: str, checkpoint: str, keys: list[str], compact_every: int = 100) -> None:
-    """Changed aggregate rows of each batch under their batch number; read with `current`.
+def update_table(stream: DataFrame, path: str, checkpoint: str, keys: list[str], compact_every: int = 100, keep: int = 2) -> None:
+    """Changed aggregate rows of each batch as a folder of a table of versions; read with `current`.
 
-    After every `compact_every` batches the newest row per key is written as the new base and the folders
-    that it covers are deleted, so the log stays as long as that many batches. A crash in between leaves a
-    base that is complete or ignored; folders it covers are not read again.
+    Once more than `compact_every` folders are named, the newest row per key is written as their successor, so the log stays that
+    short. The newest `keep` versions can be read while the stream goes on.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        if (batch_id + 1) % compact_every == 0:
-            spark = batch.sparkSession
-            current(spark, path, keys).write.mode("overwrite").parquet(f"{path}-base/upto={batch_id}")
-            for name, at in (("batch_id", path), ("upto", f"{path}-base")):
-                for number, folder in _numbered(spark, at, name).items():
-                    if number < batch_id + (name == "batch_id"):
-                        _delete(spark, folder)
+        spark = batch.sparkSession
+        _logged(Versions(spark, path), batch, batch_id, lambda held: _newest_batch(spark, held, keys), compact_every, keep)
 
     run_available(stream.writeStream.outputMode("update").foreachBatch(write), checkpoint)
 
 
-def current(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Newest row per key of a table written by `update_table`: the last base and the batches after it."""
-    bases = _numbered(spark, f"{path}-base", "upto")
-    upto = max(bases, default=-1)
-    log = {n: folder for n, folder in _numbered(spark, path, "batch_id").items() if n > upto}
-    parts = [spark.read.parquet(f).withColumn("_batch", F.lit(n)) for n, f in log.items()]
-    if bases:
-        parts.append(spark.read.parquet(bases[upto]).withColumn("_batch", F.lit(upto)))
-    rows = reduce(DataFrame.unionByName, parts)
-    rest = [c for c in rows.columns if c not in keys and c != "_batch"]
-    newest_row = F.max_by(F.struct(*rest), F.col("_batch")).alias("_row")
-    return rows.groupBy(*keys).agg(newest_row).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
+def current(spark: SparkSession, path: str, keys: list[str], version: int | None = None) -> DataFrame:
+    """Newest row per key of a table written by `update_table`, as of its newest version or of an older one that is kept."""
+    return _newest_batch(spark, Versions(spark, path).folders(version), keys)
 
 
-def upsert_table(stream: DataFrame, path: str, checkpoint: str, key: list[str], version: str) -> None:
-    """Log of upserts: each batch keeps its newest row per key in its own folder.
+def upsert_table(stream: DataFrame, path: str, checkpoint: str, key: list[str], version: str, compact_every: int = 100, keep: int = 2) -> None:
+    """Log of upserts as a table of versions: each batch adds a folder with its newest row per key.
 
-    A batch only writes what it received, however large the table has grown, and a replayed batch
-    replaces its own folder. Read with `merged`, shorten with `compact`.
+    A batch only writes what it received, however large the table has grown. Once more than `compact_every` folders are named, they are
+    replaced by one with the newest row per key. A replayed batch replaces its own version. Read with `merged`.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            newest(batch, key, version).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            spark = batch.sparkSession
+
+            def shorten(held: list[tuple[str, int]]) -> DataFrame:
+                return newest(spark.read.parquet(*[f for f, _ in held]), key, version)
+
+            _logged(Versions(spark, path), newest(batch, key, version), batch_id, shorten, compact_every, keep)
 
     run_available(stream.writeStream.outputMode("append").foreachBatch(write), checkpoint)
 
@@ -102,11 +95,6 @@ def newest(rows: DataFrame, key: list[str], version: str) -> DataFrame:
     return upsert(rows.limit(0), rows, key, version)
 
 
-def merged(spark: SparkSession, path: str, key: list[str], version: str) -> DataFrame:
-    """Current state of a table written by `upsert_table`."""
-    return newest(spark.read.parquet(path).drop("batch_id"), key, version)
-
-
-def compact(spark: SparkSession, path: str, target: str, key: list[str], version: str) -> None:
-    """Write the current state as the first folder of a new log."""
-    merged(spark, path, key, version).write.mode("overwrite").parquet(f"{target}/batch_id=-1")
+def merged(spark: SparkSession, path: str, key: list[str], version: str, number: int | None = None) -> DataFrame:
+    """State of a table written by `upsert_table`, as of its newest version or of version `number` if that is kept."""
+    return newest(spark.read.parquet(*[f for f, _ in Versions(spark, path).folders(number)]), key, version)

@@ -182,3 +182,22 @@ def test_prediction_of_seen_rows_does_not_count(spark, sf_dir):
     rows = learn.sloped(Tables(spark, sf_dir))
     learned_by_heart = F.when(~F.col("held"), F.col("amount")).otherwise(F.lit(0.0))
     assert learn.explained(rows.withColumn("prediction", learned_by_heart)).first()["fits"] is False
+
+
+def test_grid_of_many_dates(spark, monkeypatch):
+    from sparkdeck.operators import series
+
+    monkeypatch.setattr(series, "DATES", 3)
+    df = spark.createDataFrame([(p, d, 1.0) for p in range(4) for d in range(20) if (p + d) % 3], "p long, d long, v double")
+    out = series.complete(df, "p", "d")
+    assert out.count() == 80 and out.filter("v is null").count() == 80 - df.count() and out.columns == ["p", "d", "v"]
+
+
+def test_too_many_ids_raise(spark, monkeypatch):
+    from sparkdeck.operators import recommend
+
+    rows = spark.range(10).select(F.col("id").alias("user"))
+    assert recommend.dense_ids(rows, "user").agg(F.max("_user")).first()[0] == 10
+    monkeypatch.setattr(recommend, "MOST_IDS", 9)
+    with pytest.raises(Exception, match="too many distinct"):
+        recommend.dense_ids(rows, "user")

@@ -9,6 +9,7 @@ from sparkdeck.session import fresh_path, stored, workspace
 from sparkdeck.sources import connectors, files
 from sparkdeck.streaming import operators as ops, sinks
 from sparkdeck.streaming.sources import stream_files
+from sparkdeck.streaming.versions import Versions
 
 
 def test_rows_with_names_and_schema(spark):
@@ -96,8 +97,9 @@ def test_restart_continues_counts(spark):
     for part in range(3):
         write(spark, src, [(START + timedelta(seconds=part), "a"), (START + timedelta(seconds=part), "b")])
         sinks.update_table(ops.windowed_count(stream_files(spark, src, schema), "ts", "1 minute", keys=["k"]), out, cp, ["start", "end", "k"], compact_every=2)
-    # the first two batches are in the base, the third is in the log
-    assert set(sinks._numbered(spark, out, "batch_id")) == {2} and set(sinks._numbered(spark, f"{out}-base", "upto")) == {1}
+    # the third batch makes one folder of all; the version before it is still there
+    table = Versions(spark, out)
+    assert table.numbers() == [1, 2] and [len(table.folders(n)) for n in (1, 2)] == [2, 1]
     counts = sinks.current(spark, out, ["start", "end", "k"])
     assert sorted((r.k, r.n) for r in counts.collect()) == [("a", 3), ("b", 3)]
 
@@ -110,8 +112,34 @@ def test_upsert_table_over_several_batches(spark):
         sinks.upsert_table(stream_files(spark, src, schema), out, cp, ["id"], "v")
     want = [(1, 3), (2, 1), (3, 1)]
     assert sorted(tuple(r) for r in sinks.merged(spark, out, ["id"], "v").collect()) == want
-    sinks.compact(spark, out, f"{out}-short", ["id"], "v")
-    assert sorted(tuple(r) for r in sinks.merged(spark, f"{out}-short", ["id"], "v").collect()) == want
+
+
+def test_versions_hold_for_readers_and_replays(spark):
+    """A reader opened before a compaction sees its version; a replayed batch changes nothing; old folders go."""
+    src, out, cp = (fresh_path(spark, n) for n in ("src", "out", "cp"))
+    schema = spark.createDataFrame([], "id int, v int").schema
+    held, states = {}, {}
+    for k in range(6):
+        spark.createDataFrame([(k % 3, k), (10 + k, k)], schema).coalesce(1).write.mode("append").parquet(src)
+        sinks.upsert_table(stream_files(spark, src, schema), out, cp, ["id"], "v", compact_every=2)
+        states[k] = {i: max(j for j in range(k + 1) if j % 3 == i) for i in range(min(3, k + 1))} | {10 + j: j for j in range(k + 1)}
+        if k:  # opened at the version before, read after the log has moved on
+            assert {r.id: r.v for r in held[k - 1].collect()} == states[k - 1]
+        held[k] = sinks.merged(spark, out, ["id"], "v")
+        assert {r.id: r.v for r in held[k].collect()} == states[k]
+    table = Versions(spark, out)
+    assert table.numbers() == [4, 5] and {r.id: r.v for r in sinks.merged(spark, out, ["id"], "v", 4).collect()} == states[4]
+    named = {f for n in (4, 5) for f, _ in table.folders(n)}
+    there = {f"{out}/data/{s.getPath().getName()}" for s in table.fs.globStatus(table._at("data/*"))}
+    assert there == named and max(len(table.folders(n)) for n in (4, 5)) <= 2
+    # the last batch once more, as after a crash between its writes and its commit
+    batch = spark.createDataFrame([(2, 5), (15, 5)], schema)
+    shorten = lambda folders: sinks.newest(spark.read.parquet(*[f for f, _ in folders]), ["id"], "v")
+    table.write(batch, "batch", 5)  # a folder that no version names
+    sinks._logged(table, batch, 5, shorten, 2, 2)
+    assert {r.id: r.v for r in sinks.merged(spark, out, ["id"], "v").collect()} == states[5]
+    there = {f"{out}/data/{s.getPath().getName()}" for s in table.fs.globStatus(table._at("data/*"))}
+    assert there == {f for n in table.numbers() for f, _ in table.folders(n)}
 
 
 def test_site_filter_is_not_a_prefix_match(spark):
