@@ -56,7 +56,8 @@ class Walk:
         ends = self.df.groupBy(BLOCK).agg(F.min(key).alias("_low"), F.max(key).alias("_high"))
         parts = ends.select(F.inline(F.array(F.struct(BLOCK, F.col("_low").alias("_k")), F.struct(BLOCK, F.col("_high").alias("_k")))))
         cut = parts.groupBy("_k").agg(F.count_distinct(BLOCK).alias("_n")).filter("_n > 1")
-        self.cut = cut.select(*[F.col(f"_k.{c}").alias(f"_k_{c}") for c in by])
+        # found once, however many columns are added; its written size tells the planner that it is small
+        self.cut = stored(cut.select(*[F.col(f"_k.{c}").alias(f"_k_{c}") for c in by]), "cut")
 
     def add(
         self,
