@@ -18,6 +18,12 @@ of 5e-5. Documents with equal weighted sets are one node first. Pairs that meet
 signature (those four standard deviations below the threshold go), each in the first band it shares only. What is
 left is compared exactly, on the weighted sets, in the tile in which it met. No bucket is capped.
 
+Large buckets: only classes are asked for, so documents that are linked already need no comparison. Every member of a bucket of
+more than `BLOCK` is first compared with one member of it, links are contracted, and this is repeated with a member outside the
+largest part of the bucket for as long as that halves what is outside. Then only what is outside is compared, with everything of
+other parts. A bucket of n near copies that hang together so writes rows in proportion to n. Texts that share a band without being
+alike cannot be contracted; they meet in tiles as before.
+
 Odd cases: a text of fewer words than `SHINGLE` is one shingle; a text without words, or null, is in a class
 of its own; a null id is smaller than any other. An id may stand on several texts: what is kept goes by id and
 weighted set, so of a class with words the rows with the smallest id and one weighted set are marked as kept, and
@@ -170,17 +176,26 @@ def _units(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _likely(frame: pd.DataFrame):
+    """Judge of tiles: the signatures agree enough, this is the first band shared, and the rows are of two parts."""
     sig = np.frombuffer(b"".join(frame["sig"]), np.uint8).reshape(-1, K)
     band = frame["band"].to_numpy()
+    part = frame["root"].to_numpy() if "root" in frame else None
 
     def passes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         same = sig[a] == sig[b]
         first = same.reshape(-1, BANDS, ROWS).all(2).argmax(1)
-        return (first == band[a]) & (same.mean(1) >= LIKELY)
+        ok = (first == band[a]) & (same.mean(1) >= LIKELY)
+        return ok if part is None else ok & (part[a] != part[b])
 
     return passes
 
 
+def _likely_star(frame: pd.DataFrame):
+    """Judge of star tiles, whose pairs are distinct whatever their band."""
+    sig = np.frombuffer(b"".join(frame["sig"]), np.uint8).reshape(-1, K)
+    return lambda a, b: (sig[a] == sig[b]).mean(1) >= LIKELY
+
+
 def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(a, b): links of the tiles, without those inside what is linked already."""
     for frame in whole_groups(frames, lambda f: f["tile"].to_numpy()):
@@ -204,6 +219,74 @@ def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
 
+def _verified(found: DataFrame, units: DataFrame) -> DataFrame:
+    """Links (a, b) among the listed pairs of the tiles."""
+    return stored(together(found.join(units, "node")).mapInPandas(_verify, "a long, b long").distinct(), "links")
+
+
+def _ends(links: DataFrame) -> DataFrame:
+    return links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
+
+
+def _with_parts(large: DataFrame, links: DataFrame) -> DataFrame:
+    """(key, band, node, root, outside): members of large buckets, and whether they are outside its largest part."""
+    roots = components(_ends(links), links)
+    rows = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = stored(rows.select("key", "band", "node", "root"), "parts")
+    sizes = rows.groupBy("key", "root").count()
+    main = sizes.groupBy(F.col("key").alias("k")).agg(F.max(F.struct("count", F.xxhash64("root").alias("h"), "root"))["root"].alias("main"))
+    rows = rows.join(main, F.col("key") == F.col("k")).select("key", "band", "node", "root", (F.col("root") != F.col("main")).alias("outside"))
+    return stored(rows, "outside")
+
+
+def _star_tiles(members: DataFrame) -> DataFrame:
+    """Tiles of one member outside the largest part of each bucket, with all members of other parts."""
+    draw = F.xxhash64(F.lit("pivot"), "node").alias("draw")
+    pivots = members.filter("outside").groupBy(F.col("key").alias("k")).agg(F.min(F.struct(draw, "node", "root")).alias("pivot"))
+    met = members.join(pivots, F.col("key") == F.col("k")).filter(F.col("root") != F.col("pivot.root"))
+    # buckets of several bands often have the same pivot
+    pairs = stored(met.select("node", F.col("pivot.node").alias("pivot")).distinct(), "pairs")
+    sizes = pairs.groupBy(F.col("pivot").alias("p")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    rows = pairs.join(sizes, F.col("pivot") == F.col("p")).withColumn("tile", F.xxhash64(F.lit("star"), "pivot", block))
+    heads = rows.select("tile", F.col("pivot").alias("node")).distinct().withColumn("side", F.lit(0))
+    return rows.select("tile", "node", F.lit(1).alias("side")).unionByName(heads).withColumn("single", F.lit(False))
+
+
+def _cross_tiles(members: DataFrame) -> DataFrame:
+    """Tiles of what is outside the largest part of its bucket, with itself and with that part."""
+    columns = ["tile", "node", "band", "root", "side", "single"]
+    outside = members.filter("outside")
+    among = tiled(outside.select("key", "band", "node", "root"), BLOCK).select(*columns)
+    blocks = members.groupBy(F.col("key").alias("k")).agg(
+        F.ceil(F.count_if("outside") / BLOCK).cast("int").alias("outer"), F.ceil(F.count_if(~F.col("outside")) / BLOCK).cast("int").alias("inner")
+    )
+    rows = members.join(blocks.filter("outer > 0"), F.col("key") == F.col("k"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node", "key"), F.when(F.col("outside"), F.col("outer")).otherwise(F.col("inner"))).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("outside"), F.col("inner")).otherwise(F.col("outer")) - 1)))
+    outer, inner = F.when(F.col("outside"), F.col("own")).otherwise(F.col("other")), F.when(F.col("outside"), F.col("other")).otherwise(F.col("own"))
+    tile = F.xxhash64(F.lit("cross"), "key", outer, inner)
+    rows = rows.withColumns({"tile": tile, "side": (~F.col("outside")).cast("int"), "single": F.lit(False)})
+    return among.unionByName(rows.select(*columns))
+
+
+def _links_of_large(large: DataFrame, sigs: DataFrame, units: DataFrame) -> DataFrame:
+    """Links (a, b) that connect the members of large buckets as all links among them would."""
+    links = large.sparkSession.createDataFrame([], "a long, b long")
+    members = _with_parts(large, links)
+    left = members.filter("outside").count()
+    while left:
+        found = stored(partners(_star_tiles(members).join(sigs, "node"), _likely_star), "star")
+        links = stored(links.unionByName(_verified(found, units)).distinct(), "links")
+        members = _with_parts(large, links)
+        before, left = left, members.filter("outside").count()
+        if left * 2 > before:  # another round only where the last one paid
+            break
+    met = stored(_cross_tiles(members), "met")
+    found = stored(partners(met.join(sigs, "node"), _likely), "likely")
+    return stored(links.unionByName(_verified(found, units)).distinct(), "links")
+
+
 def smallest(parts: DataFrame) -> DataFrame:
     """(node, class_id): the smallest id of each connected part, from (node, root, least)."""
     low = parts.groupBy("root").agg(F.min("least").alias("class_id"))
@@ -226,15 +309,23 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         lambda j: F.struct(j.alias("band"), F.xxhash64(j, F.substring("sig", j * ROWS + 1, F.lit(ROWS))).alias("key")),
     )
     members = nodes.select("node", F.inline(keys))
-    met = stored(tiled(members, BLOCK), "met")
-    found = met.join(nodes.select("node", "sig"), "node")
-    found = stored(partners(found, _likely), "likely")
-    wanted = nodes.select("node", "least", "of", "h1", "h2").join(found.select("node").distinct(), "node", "left_semi")
+    sizes = members.groupBy(F.col("key").alias("k")).agg(F.count(F.lit(1)).alias("of_key")).filter("of_key > 1")
+    met = stored(members.join(sizes, F.col("key") == F.col("k")).select("key", "band", "node", "of_key"), "met")
+    sigs = nodes.select("node", "sig")
+    small = met.filter(F.col("of_key") <= BLOCK).select(
+        F.col("key").alias("tile"), "band", "node", F.lit(0).alias("side"), F.lit(True).alias("single")
+    )
+    found = stored(partners(small.join(sigs, "node"), _likely), "likely")
+    large = met.filter(F.col("of_key") > BLOCK).select("key", "band", "node")
+    compared = found.select("node").unionByName(large.select("node")).distinct()
+    wanted = nodes.select("node", "least", "of", "h1", "h2").join(compared, "node", "left_semi")
     same = (F.col("id") == F.col("least")) & (F.col("mark") == F.col("of"))
     units = rows.join(wanted.hint("merge"), same).select("node", "h1", "h2", "text")
     units = stored(units.mapInPandas(_units, "node long, units binary").dropDuplicates(["node"]), "units")
-    links = stored(together(found.join(units, "node")).mapInPandas(_verify, "a long, b long").distinct(), "links")
-    linked = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
+    links = _verified(found, units)
+    if not large.isEmpty():
+        links = stored(links.unionByName(_links_of_large(large, sigs, units)).distinct(), "links")
+    linked = _ends(links)
     parts = stored(components(linked, links).join(nodes.select("node", "least"), "node"), "parts")
     # class_id may be that of another class too, as an id may stand on several texts; the root is not
     own = nodes.join(smallest(parts), "node", "left").join(parts.select("node", "root"), "node", "left")

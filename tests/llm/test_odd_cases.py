@@ -123,6 +123,44 @@ def test_near_in_a_large_bucket(spark, monkeypatch):
     assert {r.id: r.class_id for r in found.collect()} == brute.near_classes(docs)
 
 
+def test_near_families_that_share_buckets(spark, monkeypatch):
+    """Families of near copies whose heads share most words: large buckets hold several classes, chains and strangers."""
+    monkeypatch.setattr(near, "BLOCK", 16)
+    rng = np.random.default_rng(7)
+    base = [f"b{k}" for k in range(120)]
+    docs = []
+    for family in range(5):
+        head = list(base)
+        head[family * 20 : family * 20 + 12] = [f"f{family}_{k}" for k in range(12)]
+        for k in range(90):
+            words = list(head)
+            for at in rng.integers(100, 120, k % 5):
+                words[at] = f"x{rng.integers(40)}"
+            docs.append((family * 1000 + k, " ".join(words)))
+    found = near.classes(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r.id: r.class_id for r in found.collect()} == brute.near_classes(docs)
+
+
+def test_rows_of_a_bucket_of_near_copies_grow_with_it(spark, monkeypatch):
+    """A bucket of n different near copies writes rows in proportion to n, not to its square."""
+    kept, written = near.stored, Counter()
+
+    def watched(df, name="stage"):
+        out = kept(df, name)
+        written[name] += out.count()
+        return out
+
+    monkeypatch.setattr(near, "stored", watched)
+    per_text = []
+    for n in (5_000, 20_000):
+        written.clear()
+        rows = spark.range(n).selectExpr("id doc_id", "concat(repeat('one two three four five six seven eight nine ten eleven ', 4), 'own', id) text")
+        found = near.classes(rows)
+        assert found.select("class_id").distinct().count() == 1 and found.filter("kept").count() == 1
+        per_text.append(sum(written[name] for name in ("met", "pairs", "star", "likely", "links")) / n)
+    assert per_text[1] < 1.1 * per_text[0] and per_text[1] < 150
+
+
 def test_signatures_agree_as_often_as_sets_are_alike():
     rng = np.random.default_rng(3)
     words = [f"t{k}" for k in range(400)]
