@@ -19,10 +19,9 @@ signature (those four standard deviations below the threshold go), each in the f
 left is compared exactly, on the weighted sets, in the tile in which it met. No bucket is capped.
 
 Large buckets: only classes are asked for, so documents that are linked already need no comparison. Every member of a bucket of
-more than `BLOCK` is first compared with one member of it, links are contracted, and this is repeated with a member outside the
-largest part of the bucket for as long as that halves what is outside. Then only what is outside is compared, with everything of
-other parts. A bucket of n near copies that hang together so writes rows in proportion to n. Texts that share a band without being
-alike cannot be contracted; they meet in tiles as before.
+more than `BLOCK` is first compared with one member of it, its pivot; members linked with one pivot are one part. Then only what is
+outside the largest part of a bucket is compared, with everything of other parts. A bucket of n near copies of its pivot so writes
+rows in proportion to n. Texts that share a band and are not alike, or hang together in other ways, meet in tiles of every two blocks.
 
 Odd cases: a text of fewer words than `SHINGLE` is one shingle; a text without words, or null, is in a class
 of its own; a null id is smaller than any other. An id may stand on several texts: what is kept goes by id and
@@ -228,29 +227,30 @@ def _ends(links: DataFrame) -> DataFrame:
     return links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
 
 
+def _star_tiles(large: DataFrame) -> DataFrame:
+    """Tiles of the pivot of each bucket with the other members."""
+    draw = F.xxhash64(F.lit("pivot"), "node").alias("draw")
+    pivots = large.groupBy(F.col("key").alias("k")).agg(F.min(F.struct(draw, "node"))["node"].alias("pivot"))
+    met = large.join(pivots, F.col("key") == F.col("k")).filter(F.col("node") != F.col("pivot"))
+    # buckets of several bands often have the same pivot
+    rows = met.groupBy("node", "pivot").agg(F.ceil(F.max("of_key") / BLOCK).alias("blocks"))
+    rows = rows.withColumn("tile", F.xxhash64(F.lit("star"), "pivot", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks"))))
+    # the pivot stands once in each tile
+    ends = F.array(F.struct("node", F.lit(1).alias("side")), F.struct(F.col("pivot").alias("node"), F.lit(0).alias("side")))
+    return rows.select("tile", F.inline(ends)).distinct().withColumn("single", F.lit(False))
+
+
 def _with_parts(large: DataFrame, links: DataFrame) -> DataFrame:
-    """(key, band, node, root, outside): members of large buckets, and whether they are outside its largest part."""
-    roots = components(_ends(links), links)
-    rows = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rows = stored(rows.select("key", "band", "node", "root"), "parts")
+    """(key, band, node, root, outside): members of large buckets, and whether they are outside its largest part.
+
+    `links` are pairs of a pivot and a member; a part is a pivot with the members that take it as their own.
+    """
+    own = links.groupBy(F.col("b").alias("node")).agg(F.min(F.struct(F.xxhash64("a").alias("draw"), "a"))["a"].alias("pivot"))
+    rows = large.join(own, "node", "left").select("key", "band", "node", F.coalesce("pivot", "node").alias("root"))
+    rows = stored(rows, "parts")
     sizes = rows.groupBy("key", "root").count()
     main = sizes.groupBy(F.col("key").alias("k")).agg(F.max(F.struct("count", F.xxhash64("root").alias("h"), "root"))["root"].alias("main"))
-    rows = rows.join(main, F.col("key") == F.col("k")).select("key", "band", "node", "root", (F.col("root") != F.col("main")).alias("outside"))
-    return stored(rows, "outside")
-
-
-def _star_tiles(members: DataFrame) -> DataFrame:
-    """Tiles of one member outside the largest part of each bucket, with all members of other parts."""
-    draw = F.xxhash64(F.lit("pivot"), "node").alias("draw")
-    pivots = members.filter("outside").groupBy(F.col("key").alias("k")).agg(F.min(F.struct(draw, "node", "root")).alias("pivot"))
-    met = members.join(pivots, F.col("key") == F.col("k")).filter(F.col("root") != F.col("pivot.root"))
-    # buckets of several bands often have the same pivot
-    pairs = stored(met.select("node", F.col("pivot.node").alias("pivot")).distinct(), "pairs")
-    sizes = pairs.groupBy(F.col("pivot").alias("p")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    rows = pairs.join(sizes, F.col("pivot") == F.col("p")).withColumn("tile", F.xxhash64(F.lit("star"), "pivot", block))
-    heads = rows.select("tile", F.col("pivot").alias("node")).distinct().withColumn("side", F.lit(0))
-    return rows.select("tile", "node", F.lit(1).alias("side")).unionByName(heads).withColumn("single", F.lit(False))
+    return rows.join(main, F.col("key") == F.col("k")).select("key", "band", "node", "root", (F.col("root") != F.col("main")).alias("outside"))
 
 
 def _cross_tiles(members: DataFrame) -> DataFrame:
@@ -272,19 +272,11 @@ def _cross_tiles(members: DataFrame) -> DataFrame:
 
 def _links_of_large(large: DataFrame, sigs: DataFrame, units: DataFrame) -> DataFrame:
     """Links (a, b) that connect the members of large buckets as all links among them would."""
-    links = large.sparkSession.createDataFrame([], "a long, b long")
-    members = _with_parts(large, links)
-    left = members.filter("outside").count()
-    while left:
-        found = stored(partners(_star_tiles(members).join(sigs, "node"), _likely_star), "star")
-        links = stored(links.unionByName(_verified(found, units)).distinct(), "links")
-        members = _with_parts(large, links)
-        before, left = left, members.filter("outside").count()
-        if left * 2 > before:  # another round only where the last one paid
-            break
-    met = stored(_cross_tiles(members), "met")
+    star = stored(partners(_star_tiles(large).join(sigs, "node"), _likely_star), "star")
+    links = _verified(star, units)
+    met = stored(_cross_tiles(_with_parts(large, links)), "met")
     found = stored(partners(met.join(sigs, "node"), _likely), "likely")
-    return stored(links.unionByName(_verified(found, units)).distinct(), "links")
+    return links.unionByName(_verified(found, units))
 
 
 def smallest(parts: DataFrame) -> DataFrame:
@@ -316,7 +308,7 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.col("key").alias("tile"), "band", "node", F.lit(0).alias("side"), F.lit(True).alias("single")
     )
     found = stored(partners(small.join(sigs, "node"), _likely), "likely")
-    large = met.filter(F.col("of_key") > BLOCK).select("key", "band", "node")
+    large = met.filter(F.col("of_key") > BLOCK)
     compared = found.select("node").unionByName(large.select("node")).distinct()
     wanted = nodes.select("node", "least", "of", "h1", "h2").join(compared, "node", "left_semi")
     same = (F.col("id") == F.col("least")) & (F.col("mark") == F.col("of"))
@@ -324,7 +316,7 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     units = stored(units.mapInPandas(_units, "node long, units binary").dropDuplicates(["node"]), "units")
     links = _verified(found, units)
     if not large.isEmpty():
-        links = stored(links.unionByName(_links_of_large(large, sigs, units)).distinct(), "links")
+        links = links.unionByName(_links_of_large(large, sigs, units))
     linked = _ends(links)
     parts = stored(components(linked, links).join(nodes.select("node", "least"), "node"), "parts")
     # class_id may be that of another class too, as an id may stand on several texts; the root is not
