@@ -5,6 +5,9 @@ around it still hold k other rows; that block bounds its k-th distance, so only
 are compared. At the next finer level the block holds at most k rows, hence few points of a cell search
 on the same level and the comparisons stay near linear in the table, dense spots included. Rows at the
 same coordinates count as one weighted point.
+
+Written points are small files, and a row per level is many times what the planner takes them for, so the joins
+are merged: none of the sides is ever collected to be broadcast.
 """
 
 from __future__ import annotations
@@ -65,12 +68,12 @@ def neighbours(points: DataFrame, cols: list[str], k: int) -> DataFrame:
         full = blocks.filter(F.col("_n") > k)
         deepest = (
             _keyed(active, cols, low, size, levels[1:])
-            .join(full, ["_level", *cells])
+            .join(full.hint("merge"), ["_level", *cells])
             .groupBy(*cols)
             .agg(F.max("_level").alias("_deepest"))
         )
         placed = stored(
-            active.join(deepest, cols, "left").select(*cols, "w", F.coalesce("_deepest", F.lit(base)).alias("_level")), "placed"
+            active.join(deepest.hint("merge"), cols, "left").select(*cols, "w", F.coalesce("_deepest", F.lit(base)).alias("_level")), "placed"
         )
         settled = placed.filter(F.col("_level") < levels[-1])
         asking = _keyed(settled.withColumnRenamed("_level", "_at"), cols, low, size, levels[:-1])
@@ -78,7 +81,7 @@ def neighbours(points: DataFrame, cols: list[str], k: int) -> DataFrame:
         near = _shifted(asking, n, reach, lambda s: sum(max(abs(v) - 1, 0) ** 2 for v in s) <= 4 * n)
         listed = _keyed(others, [f"n_{c}" for c in cols], low, size, levels[:-1])
         dist = F.sqrt(reduce(lambda a, b: a + b, [F.pow(F.col(c) - F.col(f"n_{c}"), 2) for c in cols]))
-        pairs = near.join(listed, ["_level", *cells]).withColumn("dist", dist)
+        pairs = near.join(listed.hint("merge"), ["_level", *cells]).withColumn("dist", dist)
         if base:  # on level 0 every row is in reach
             bound = F.lit(2 * size * math.sqrt(n) * 1.000001) / F.pow(F.lit(2.0), F.col("_level"))
             pairs = pairs.filter(F.col("dist") <= bound)
@@ -107,7 +110,7 @@ def kth_distance(df: DataFrame, id_col: str, cols: list[str], k: int) -> DataFra
     near = neighbours(_weighted(df, cols), cols, k)
     far = near.groupBy(*cols).agg(F.max("dist").alias("dist"))
     rows = df.select(F.col(id_col).alias("id"), *[F.col(c).cast("double").alias(c) for c in cols])
-    return rows.join(far, cols).select("id", "dist")
+    return rows.join(far.hint("merge"), cols).select("id", "dist")
 
 
 def oversample(
@@ -125,7 +128,7 @@ def oversample(
     # entry j of the list is the first neighbour that covers j rows; a point has at most k entries
     entries = F.sort_array(F.collect_list(F.struct("upto", *[f"n_{c}" for c in cols])))
     lists = near.groupBy(*cols).agg(entries.alias("_near"))
-    drawn = few.join(lists, cols).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(over))))
+    drawn = few.join(lists.hint("merge"), cols).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(over))))
     have = F.least(F.element_at("_near", -1)["upto"], F.lit(k))
     drawn = drawn.withColumn("_j", F.pmod(F.xxhash64("_id", "_copy", F.lit(seed)), have) + 1)
     chosen = F.get(F.filter("_near", lambda e: e["upto"] >= F.col("_j")), F.lit(0))

@@ -56,3 +56,21 @@ def test_oversampling(spark):
         )
         assert on
     assert df.filter(F.col("label") == 1).count() == 30
+
+
+def test_no_side_of_the_grid_joins_is_broadcast(spark, monkeypatch):
+    """A row per level is many times what the planner takes the points for, so a broadcast fills the driver."""
+    plans = []
+
+    def spy(df, name="stage"):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, name)
+
+    kept = nb.stored
+    monkeypatch.setattr(nb, "stored", spy)
+    rng = random.Random(9)
+    rows = [(i, rng.random(), rng.random(), i % 3) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, x double, y double, label int")
+    outs = [nb.kth_distance(df, "id", ["x", "y"], 5), nb.oversample(df, "id", ["x", "y"], "label", 1, over=2, under=1.5)]
+    plans += [out._jdf.queryExecution().executedPlan().toString() for out in outs]
+    assert any("SortMergeJoin" in p for p in plans) and not any("BroadcastHashJoin" in p for p in plans)
