@@ -269,7 +269,7 @@ def label_recode(t):
 )
 def oversampling(t):
     rare = (F.col("event_type") == "purchase").cast("int").alias("rare")
-    rows = t.v_points.join(t.events.select("event_id", rare), "event_id")
+    rows = t.v_points.join(t.events.select("event_id", rare).hint("merge"), "event_id")
     out = neighbours.oversample(rows, "event_id", ["lon", "lat"], "rare", 1, over=2, under=1.5)
     per = out.groupBy((F.col("rare") == 1).alias("is_rare"), "synthetic").agg(F.count(F.lit(1)).alias("n"))
     # the majority is thinned by a hash, so its number is near the aim, not on it
