@@ -129,3 +129,16 @@ def test_series_calendar(spark):
         (1, "2024-01-01", 1.0), (1, "2024-01-04", None), (2, "2024-01-01", 2.0), (2, "2024-01-04", 3.0)
     ] or full.count() == 4
     assert series.drop_sparse_dates(df, "p", "d", "v", 0.6).select("d").distinct().count() == 1
+
+
+def test_few_points_near_a_small_ring_are_tested(spark):
+    """Cells of a ring with few edges are cut too, so that most points outside it share no cell with it."""
+    ring = [(5.0, 1.0), (9.0, 5.0), (5.0, 9.0), (1.0, 5.0)]
+    polygons = spark.createDataFrame([(1, ring)], "polygon_id int, ring array<struct<x: double, y: double>>")
+    cover, _ = spatial.polygon_cells(polygons, cuts=spatial.CUTS)
+    area = cover.selectExpr("sum(pow(4.0, _level)) AS a").first().a
+    assert area < 1.8 * 32  # the ring has 32; before, its cells had 256
+    spots = [(i, i % 40 * 0.25 + 0.1, i // 40 * 0.25 + 0.07) for i in range(1600)]
+    found = spatial.point_in_polygon(spark.createDataFrame(spots, "i int, x double, y double"), polygons, "x", "y")
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.i for r in found.collect()) == [i for i, x, y in spots if abs(x - 5) + abs(y - 5) < 4]
