@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from sparkdeck.operators import features, recommend, relational as rel, stats
@@ -221,3 +222,51 @@ def test_lists_of_a_constant_recommender_are_refused(spark):
     assert {r.n_liked for r in learn.judged(rows).collect()} == {10}
     rising = rows.withColumn("score", F.col("rank").cast("double"))
     assert not any(r.falling for r in learn.judged(rising).collect())
+
+
+def test_best_items_equal_brute_force_over_blocks(spark, monkeypatch):
+    """Users and items in several blocks, products in several steps: the same lists as all products at once, without a product of tables."""
+    rng = random.Random(12)
+    rows = [(u, i, float(1 + 4 * (u % 3 == i % 3))) for u in range(60) for i in range(90) if rng.random() < 0.3]
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        model = recommend.train(spark.createDataFrame(rows, "user_id long, item_id long, rating double"), rank=4, iters=3)
+        assert model.model.userFactors.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    for name, value in (("USERS", 16), ("ITEMS", 25), ("ROWS", 5), ("COLUMNS", 7)):
+        monkeypatch.setattr(recommend, name, value)
+    best = model.recommend(9)
+    assert "CartesianProduct" not in best._jdf.queryExecution().executedPlan().toString()
+    got = {}
+    for r in best.orderBy("user_id", "rank").collect():
+        got.setdefault(r.user_id, []).append((r.item_id, r.score))
+    names = {side: {r[1]: r[0] for r in table.collect()} for side, table in (("u", model.users), ("i", model.items))}
+    items = [(names["i"][r.id], r.features) for r in model.model.itemFactors.collect()]
+    users = [(names["u"][r.id], r.features) for r in model.model.userFactors.collect()]
+    assert len(got) == len(users) == 60
+    for user, own in users:
+        scores = {item: sum(a * b for a, b in zip(own, other)) for item, other in items}
+        want = sorted(scores.values(), reverse=True)[:9]
+        assert [s for _, s in got[user]] == pytest.approx(want, abs=1e-4)
+        assert all(abs(scores[i] - s) < 1e-4 for i, s in got[user]) and len({i for i, _ in got[user]}) == 9
+    pairs = spark.createDataFrame(rows, "user_id long, item_id long, rating double")
+    held = {(u, i): sum(a * b for a, b in zip(own, other)) for u, own in users for i, other in items}
+    assert all(abs(r.prediction - held[r.user_id, r.item_id]) < 1e-4 for r in model.predict(pairs).collect())
+
+
+def test_boosting_deals_rows_over_the_cores(spark, monkeypatch):
+    """A small file is one task: without dealing, all rounds run in it."""
+    parts = []
+
+    def spy(df, name="stage"):
+        out = kept(df, name)
+        parts.append(out.sparkSession.read.parquet(out.inputFiles()[0].rsplit("/", 1)[0]).select(F.input_file_name()).distinct().count())
+        return out
+
+    kept = cls.stored
+    monkeypatch.setattr(cls, "stored", spy)
+    rows = [(k, k % 7 / 7, k % 5 / 5, float(k % 7 > 3)) for k in range(400)]
+    df = spark.createDataFrame(rows, "key long, a double, b double, label double").coalesce(1)
+    cls.boosted_classes(features.assemble(df, ["a", "b"]), "key", rounds=1)
+    assert min(parts) > 1
