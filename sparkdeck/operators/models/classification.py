@@ -101,11 +101,14 @@ def boosted_classes(
     fallen for `patience` rounds the fit stops and the rounds up to the best one stay. `curve` has (round, loss, held loss).
 
     The sums of all classes are written after each round, so a round reads one table and a lost executor repeats one round at most.
+    Rows are dealt over the cores once: a table of few columns is a small file, which one task would read in every pass. What the
+    trees of a round learn from is written too, as each of them reads it several times.
     """
     share = lambda k: F.pmod(F.xxhash64(F.lit(seed), F.lit(k), F.col(key)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     rows = df.select(key, F.col(label).cast("int").alias("_y"), F.col(features).alias("_x"), (share(0) < held_share).alias("_held"))
     counts = dict(rows.filter("not _held").groupBy("_y").count().collect())
     classes, n, width = max(counts) + 1, sum(counts.values()), len(rows.first()["_x"])
+    rows = rows.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
     model = Boosted([math.log(max(counts.get(k, 0), 0.5) / n) for k in range(classes)], rate, features)
     state = stored(rows.withColumn("_m", F.array(*[F.lit(s) for s in model.start])), "margins")
     rng, best = random.Random(seed), (float("inf"), 0)
@@ -113,7 +116,7 @@ def boosted_classes(
         trees = []
         names = sorted(rng.sample(range(width), max(1, round(column_share * width))))
         drawn = _picked(state.filter(~F.col("_held") & (share(number) < row_share)), "_x", names, "_part")
-        wide = drawn.withColumn("_p", _softmax("_m"))
+        wide = stored(drawn.select("_y", "_part", _softmax("_m").alias("_p")), "drawn")
         for k in range(classes):
             target = wide.withColumn("_g", (F.col("_y") == k).cast("double") - F.col("_p")[k])
             tree = DecisionTreeRegressor(labelCol="_g", featuresCol="_part", maxDepth=depth, seed=seed).fit(target)
