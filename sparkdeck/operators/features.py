@@ -57,6 +57,11 @@ def weigh(df: DataFrame, tokens: str, model, size: int = 10_000) -> DataFrame:
     return model.transform(hashed_counts(df, tokens, size, "_tf")).drop("_tf")
 
 
+def total(vector: str) -> Column:
+    """Sum of a vector's entries; only those that a sparse one holds are visited."""
+    return F.aggregate(F.unwrap_udt(F.col(vector))["values"], F.lit(0.0), lambda s, x: s + x)
+
+
 def one_hot(df: DataFrame, col: str, out: str):
     """One indicator per index value, none left out."""
     model = OneHotEncoder(inputCol=col, outputCol=out, dropLast=False).fit(df)

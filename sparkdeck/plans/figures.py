@@ -154,9 +154,8 @@ def categorical_detection(t):
 @query("l06_hashed_counts", f"SELECT doc_id, CAST(len({_CATALOGUE_SQL}) AS DOUBLE) AS total FROM documents")
 def hashed_counts(t):
     rows = t.documents.select("doc_id", text.clean_catalogue(F.col("text"), STOP_WORDS).alias("words"))
-    v = vector_to_array(F.col("tf"))
     hashed = features.hashed_counts(rows, "words", 1000)
-    return hashed.select("doc_id", F.aggregate(v, F.lit(0.0), lambda s, x: s + x).alias("total"))
+    return hashed.select("doc_id", features.total("tf").alias("total"))
 
 
 @query("l07_hashed_tf_idf", "SELECT count(*) AS n, true AS close FROM documents")
@@ -167,7 +166,7 @@ def hashed_tf_idf(t):
     train, _ = rel.split_by_hash(rows, "doc_id", [0.7, 0.3], seed=4)
     size = 1 << 15
     hashed = features.weigh(rows, "words", features.hashed_tf_idf(train, "words", size), size)
-    sums = hashed.select("doc_id", F.aggregate(vector_to_array("features"), F.lit(0.0), lambda s, x: s + x).alias("hashed"))
+    sums = hashed.select("doc_id", features.total("features").alias("hashed"))
     counts = similarity.term_counts(rows, "doc_id", "words")
     df = similarity.document_frequency(similarity.term_counts(train, "doc_id", "words"))
     weight = F.col("tf") * similarity.idf(train.count(), F.coalesce("df", F.lit(0)))
