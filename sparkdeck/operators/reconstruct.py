@@ -11,7 +11,9 @@ from .ordered import row_index, top_k
 from .series import complete
 
 #: series of a block; two blocks are compared in one task
-BLOCK = 256
+BLOCK = 1024
+#: nearest series of a block that are looked at first for the missing values of one
+NEAR = 48
 
 
 def _dense(frame: pd.DataFrame, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -30,22 +32,43 @@ def _offers(left: pd.DataFrame, right: pd.DataFrame, k: int) -> list[pd.DataFram
     x, seen = _dense(left, names)
     y, held = _dense(right, names)
     others = right["number"].to_numpy()
+    # products give every distance at once, a little off: they only tell which series may be near
+    count = seen.astype(float) @ held.T.astype(float)
+    sums = (x**2) @ held.T + seen @ (y**2).T - 2 * (x @ y.T)
+    rough = np.where(count > 0, sums / np.maximum(count, 1), np.inf)
+    slack = 1e-11 * ((x**2).sum(1) + (y**2).sum(1).max(initial=0))
+
+    def nearest(p: int, among: np.ndarray, upto: float) -> tuple[np.ndarray, np.ndarray]:
+        """Those of `among` within the distance `upto`, nearest first, and their exact distances."""
+        common = seen[p] & held[among]
+        n = common.sum(1)
+        distance = np.where(common, (x[p] - y[among]) ** 2, 0.0).sum(1) / np.maximum(n, 1)
+        order = np.lexsort((others[among], distance))
+        order = order[(n[order] > 0) & (distance[order] <= upto)]
+        return among[order], distance[order]
+
+    wanted = ~seen & ((count > 0).astype(float) @ held > 0)
     out = []
     for p in range(len(left)):
-        common = seen[p] & held
-        n = common.sum(1)
-        distance = np.where(common, (x[p] - y) ** 2, 0.0).sum(1) / np.maximum(n, 1)
-        order = np.lexsort((others, distance))
-        order = order[n[order] > 0]
-        gaps = np.flatnonzero(~seen[p] & held[order].any(0))
+        gaps = np.flatnonzero(wanted[p])
         if not len(gaps):
             continue
+        order = None
+        if NEAR < len(right):
+            upto = np.partition(rough[p], NEAR)[NEAR]
+            if np.isfinite(upto):
+                # what is not among these is farther than `upto`, whatever the products are off
+                order, distance = nearest(p, np.flatnonzero(rough[p] <= upto + slack[p]), upto)
+                if (held[order][:, gaps].sum(0) < k).any():
+                    order = None
+        if order is None:
+            order, distance = nearest(p, np.arange(len(right)), np.inf)
         usable = held[order][:, gaps]
         row, column = np.nonzero(usable & (np.cumsum(usable, axis=0) <= k))
         source = order[row]
         out.append(
             pd.DataFrame(
-                {"number": left["number"].iloc[p], "key": names[gaps[column]], "other": others[source], "distance": distance[source],
+                {"number": left["number"].iloc[p], "key": names[gaps[column]], "other": others[source], "distance": distance[row],
                  "v": y[source, gaps[column]]}
             )
         )

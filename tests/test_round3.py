@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.clustering import KMeans
 from pyspark.sql import functions as F
@@ -61,6 +62,30 @@ def test_knn_fill_equals_brute_force(spark, block, grouped):
     assert sum(f for _, f in want.values()) > 20
 
 
+def test_offers_look_at_few_series_and_equal_all(monkeypatch):
+    """Of the exact distances only those of near series are computed; ties, dates that few series have and series at distance 0 included."""
+    rng = np.random.default_rng(3)
+
+    def block(first, n):
+        rows = []
+        for i in range(n):
+            keys = np.flatnonzero(rng.random(12) < (0.05 if i % 9 == 0 else 0.8))
+            rows.append((first + i, keys, rng.integers(0, 3, len(keys)).astype(float) + (1e3 if i % 4 == 0 else 0)))
+        return pd.DataFrame(rows, columns=["number", "keys", "values"])
+
+    left, right = block(0, 40), block(100, 90)
+    asked = []
+    real = np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys: asked.append(len(keys[0])) or real(keys))
+    monkeypatch.setattr(reconstruct, "NEAR", 20)
+    few = pd.concat(reconstruct._offers(left, right, 3), ignore_index=True)
+    seen = sum(asked)
+    asked.clear()
+    monkeypatch.setattr(reconstruct, "NEAR", 1000)
+    pd.testing.assert_frame_equal(few, pd.concat(reconstruct._offers(left, right, 3), ignore_index=True))
+    assert len(few) > 100 and 0 < seen < 0.8 * sum(asked)
+
+
 def test_knn_fill_of_nothing(spark):
     empty = spark.createDataFrame([], "p long, d date, v double")
     assert reconstruct.knn_fill(empty, "p", "d", "v").count() == 0
