@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from sparkdeck.operators import ordered, spatial
+from sparkdeck.operators import features, ordered, spatial
 from sparkdeck.plans import QUERIES, learn
 from sparkdeck.plans.views import Tables
 
@@ -63,3 +63,17 @@ def test_latest_combines_before_the_shuffle(spark, sf_dir):
 def test_knn_needs_no_shuffle(spark, sf_dir):
     text = plan(QUERIES["p03_nearest_points"](spark, sf_dir))
     assert "TakeOrderedAndProject" in text and "Exchange" not in text
+
+
+def test_rating_range_aggregates_pairs_once(spark, sf_dir):
+    assert "distinct" not in plan(QUERIES["c02_item_rating_range"](spark, sf_dir))
+
+
+def test_tf_idf_does_not_sort_the_counts(spark, sf_dir):
+    assert "SortMergeJoin" not in plan(QUERIES["l07_tf_idf"](spark, sf_dir))
+
+
+def test_sum_of_a_sparse_vector_reads_its_entries(spark):
+    rows = spark.createDataFrame([(["a", "b", "a"],), ([],)], "w array<string>")
+    sums = features.hashed_counts(rows, "w", 1 << 15).select(features.total("tf").alias("n"))
+    assert "vector_to_array" not in plan(sums).lower() and [r.n for r in sums.collect()] == [3.0, 0.0]
