@@ -89,6 +89,28 @@ def test_nearest_documents_have_no_floor(spark, seed):
     assert low > 0 and 90 not in got
 
 
+def test_blocks_meet_in_place(spark, monkeypatch):
+    """Documents in many blocks and batches: every pair once, and no document is shuffled to its blocks."""
+    rng = random.Random(5)
+    docs = {i: [rng.choice("abcdefghijklmnop") for _ in range(rng.randint(1, 9))] for i in range(60)} | {70: list("abcdefghijklmnop") * 2}
+    for name, value in (("BLOCK", 7), ("ENTRIES", 14), ("STEP", 3)):
+        monkeypatch.setattr(similarity, name, value)
+    held = {k: spark.conf.get(k) for k in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "11")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        _, (groups, pairs) = pairs_over_all(spark, docs, 0.2)
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        got = pairs.collect()
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert "CartesianProduct" in plan and "Exchange" not in plan, plan
+    rep = {r.id: r.rep for r in groups.collect()}
+    want = {k: s for k, s in brute(docs, 0.2).items() if rep[k[0]] == k[0] and rep[k[1]] == k[1]}
+    assert len(got) == len(want) > 100 and all(abs(want[r.a, r.b] - r.sim) < 1e-9 for r in got)
+
+
 def test_only_the_pairs_have_a_floor():
     from sparkdeck.plans import CHECKS
 
