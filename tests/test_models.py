@@ -161,6 +161,27 @@ def test_ids_of_any_size_and_type(spark):
     assert {r.user_id for r in best} == {2**60 + 1} and {int(r.item_id[4:]) % 2 for r in best} == {0}
 
 
+def test_whole_numbers_are_not_numbered_again(spark, monkeypatch):
+    """Ids that the library takes go in as they are; beyond its range, or of another type, they are numbered."""
+    rows = [(u * 1000, 2**31 - 1 - i, 5.0 if (u + i) % 2 else 1.0) for u in range(12) for i in range(10) if (u * 3 + i) % 4]
+    ratings = spark.createDataFrame([*rows, (None, 5, 1.0), (7, None, 1.0)], "user_id bigint, item_id int, rating double")
+    wide = ratings.withColumn("user_id", F.col("user_id") + 2**33)
+    named = []
+    numbered = recommend.dense_ids
+    monkeypatch.setattr(recommend, "dense_ids", lambda rows, name: named.append(name) or numbered(rows, name))
+    model = recommend.train(ratings, rank=3, iters=8, reg=0.01)
+    assert not named
+    known = {(u, i) for u, i, _ in rows}
+    scored = model.predict(ratings)
+    assert {(r.user_id, r.item_id) for r in scored.collect()} == known and dict(scored.dtypes)["user_id"] == "bigint"
+    assert all(abs(r.prediction - r.rating) < 1.5 for r in scored.collect())
+    assert {r.user_id for r in model.recommend(2).collect()} == {u for u, _ in known}
+    recommend.train(wide, rank=3, iters=1)
+    assert named == ["user_id"]
+    recommend.train(ratings.withColumn("item_id", F.col("item_id").cast("string")), rank=3, iters=1)
+    assert named == ["user_id", "item_id"]
+
+
 def test_latest_known_user_per_visitor(spark):
     clicks = spark.createDataFrame([("v", "0", 9), ("v", "7", 3), ("v", "8", 5), ("w", "0", 1)], "vid string, uid string, vts_last int")
     assert [tuple(r) for r in recommend.known_visitors(clicks).collect()] == [("v", "8")]
