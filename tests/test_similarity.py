@@ -111,6 +111,42 @@ def test_blocks_meet_in_place(spark, monkeypatch):
     assert len(got) == len(want) > 100 and all(abs(want[r.a, r.b] - r.sim) < 1e-9 for r in got)
 
 
+def test_a_task_offers_k_rows_for_a_document(spark, monkeypatch):
+    """However many blocks meet in a task; an entry is two small numbers; ids and texts may repeat or be missing."""
+    rng = random.Random(8)
+    docs = {i: [rng.choice("abcdefghijklmnopqrstuv") for _ in range(rng.randint(2, 9))] for i in range(60)}
+    docs |= {70 + i: docs[i] for i in range(3)}
+    for name, value in (("BLOCK", 5), ("STEP", 2), ("OFFERS", 30)):
+        monkeypatch.setattr(similarity, name, value)
+    held = {k: spark.conf.get(k) for k in ("spark.sql.files.openCostInBytes", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")  # all blocks meet in one task
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(i, w[:1]) for i, w in docs.items() if i < 70] + [(i, w[1:]) for i, w in docs.items() if i < 70]
+        texts = spark.createDataFrame([*docs.items(), (None, ["a"]), (80, None)], "id int, words array<string>")
+        groups, blocks = similarity.representatives(texts, "id", "words")
+        packed = blocks.collect()
+        offers = similarity.nearest(blocks, "int", 3, 9)
+        tasks, offers = offers.rdd.getNumPartitions(), offers.collect()
+        _, split = similarity.representatives(spark.createDataFrame(rows, "id int, words array<string>"), "id", "words")
+        ids = [i for r in split.collect() for i in memoryview(r.ids).cast("q")]
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    rep = {r.id: r.rep for r in groups.filter("id IS NOT NULL").collect()}
+    sims = {k: s for k, s in brute(docs | {80: [], 81: []}, 1e-12).items() if rep.get(k[0]) == k[0] and rep.get(k[1]) == k[1]}
+    want = set()
+    for i in (i for i in docs if rep[i] == i):
+        near = sorted((-round(s, 9), b if a == i else a) for (a, b), s in sims.items() if i in (a, b))[:3]
+        want |= {(i, o, -s) for s, o in near}
+    assert tasks == 1 and len(packed) > 10, tasks
+    assert {(r.a, r.b, r.sim) for r in offers} == want and len(offers) == len(want)
+    assert all(len(r.numbers) == len(r.tf) == 4 * sum(memoryview(r.sizes).cast("i")) for r in packed)
+    assert len(ids) == len(set(ids)) > 20
+
+
 def test_only_the_pairs_have_a_floor():
     from sparkdeck.plans import CHECKS
 
