@@ -182,6 +182,22 @@ def test_whole_numbers_are_not_numbered_again(spark, monkeypatch):
     assert named == ["user_id", "item_id"]
 
 
+def test_blocks_of_the_model_follow_cores_and_ratings(spark, monkeypatch):
+    """Many shuffle partitions alone do not make many blocks, each of which needs factors of its own."""
+    ratings = spark.createDataFrame([(u, i, 1.0) for u in range(9) for i in range(9)], "user_id int, item_id int, rating double")
+    made, library = [], recommend.ALS
+    monkeypatch.setattr(recommend, "ALS", lambda **given: made.append((given["numUserBlocks"], given["numItemBlocks"])) or library(**given | {"numUserBlocks": 2, "numItemBlocks": 2}))
+    held, cores = spark.conf.get("spark.sql.shuffle.partitions"), spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        recommend.train(ratings, rank=2, iters=1)
+        monkeypatch.setattr(recommend, "PER_BLOCK", 3)
+        recommend.train(ratings, rank=2, iters=1)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", held)
+    assert made == [(cores, cores), (max(cores, 27),) * 2]
+
+
 def test_latest_known_user_per_visitor(spark):
     clicks = spark.createDataFrame([("v", "0", 9), ("v", "7", 3), ("v", "8", 5), ("w", "0", 1)], "vid string, uid string, vts_last int")
     assert [tuple(r) for r in recommend.known_visitors(clicks).collect()] == [("v", "8")]
