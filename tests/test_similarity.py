@@ -2,7 +2,9 @@ import re
 import math
 import random
 from collections import Counter
+from types import SimpleNamespace
 
+import numpy as np
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -147,6 +149,33 @@ def test_a_task_offers_k_rows_for_a_document(spark, monkeypatch):
     assert len(ids) == len(set(ids)) > 20
 
 
+def test_documents_of_a_block_stand_by_kind(spark, monkeypatch):
+    """Two vocabularies in turn: no step of a block mixes them, and the pairs are those of all documents."""
+    rng = random.Random(3)
+    words = [[f"{side}{i}" for i in range(12)] for side in "xy"]
+    docs = {i: [*rng.sample(words[i % 2], 6), f"own{i}"] for i in range(80)}
+    for name, value in (("BLOCK", 40), ("STEP", 8)):
+        monkeypatch.setattr(similarity, name, value)
+    df = spark.createDataFrame(list(docs.items()), "id int, words array<string>")
+    _, blocks = similarity.representatives(df, "id", "words")
+    packed, mixed, steps = blocks.collect(), 0, 0
+    for row in packed:
+        side = similarity._Side(SimpleNamespace(**{f"l_{c}": row[c] for c in blocks.columns}), "l")
+        for step in side.steps(np.arange(len(side.names)), 8, False):
+            mixed += len({int(i) % 2 for i in step.ids}) > 1
+            steps += 1
+    got = {(r.a, r.b): r.sim for r in similarity.cosine_pairs(blocks, "int", 0.3).collect()}
+    want = brute(docs, 0.3)
+    assert mixed == 0 and steps >= 10, (mixed, steps)
+    assert got.keys() == want.keys() and len(got) > 100 and all(abs(got[k] - want[k]) < 1e-9 for k in got)
+
+
+def test_all_pairs_are_compared_once_however_often_lists_are_read(spark):
+    df = spark.createDataFrame([(i, ["a", f"w{i % 3}", f"x{i}"]) for i in range(9)], "id int, words array<string>")
+    lists = similarity.nearest_documents(df, "id", "words", 2)
+    assert "MapInPandas" not in lists._jdf.queryExecution().toString() and lists.count() == 18
+
+
 def test_only_the_pairs_have_a_floor():
     from sparkdeck.plans import CHECKS
 
