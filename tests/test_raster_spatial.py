@@ -111,6 +111,34 @@ def test_polygons_of_all_sizes_against_every_edge(spark):
     assert cover.filter("_id = 2").count() <= 4 and cover.filter("_id = 1").agg(F.max(F.size("_edges"))).first()[0] < 60
 
 
+def test_cells_of_few_and_of_many_edges_are_joined_apart(spark):
+    """A join that is compiled tests few edges; a saw on one side has more of them than a cell may keep."""
+    saw = [(10 + (k % 2) / 100, 2 + k / 1000) for k in range(100)]
+    ring = [(0.0, 0.0), (10.0, 0.0), *saw, (10.0, 9.0), (0.0, 9.0)]
+    box = [(1.0, 1.0), (3.0, 1.0), (3.0, 3.0), (1.0, 3.0)]
+    spots = [(i, i % 60 * 0.2 + 0.013, i // 60 * 0.2 + 0.017) for i in range(3600)] + [(4000 + i, 10 + i % 20 / 2000, 2 + i / 4000) for i in range(400)]
+
+    def inside(x, y, ring):
+        return sum((y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1])) % 2 == 1
+
+    points = spark.createDataFrame(spots, "i int, x double, y double")
+    for shapes, joins in (({1: box}, 1), ({1: box, 2: ring}, 2)):
+        polygons = spark.createDataFrame(list(shapes.items()), "polygon_id int, ring array<struct<x: double, y: double>>")
+        found = spatial.point_in_polygon(points, polygons, "x", "y")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        tests = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+        assert len(tests) == joins and sum("lambda" in line for line in tests) == joins - 1, tests
+        assert {(r.i, r.polygon_id) for r in found.collect()} == {(i, p) for i, x, y in spots for p, ring in shapes.items() if inside(x, y, ring)}
+
+
+def test_polygons_of_one_file_are_cut_in_many_tasks(spark):
+    path = fresh_path(spark, "one")
+    rows = [(i, [(i + 0.1, 0.0), (i + 0.7, 0.3), (i + 0.2, 0.9)]) for i in range(40)]
+    spark.createDataFrame(rows, "polygon_id int, ring array<struct<x: double, y: double>>").coalesce(1).write.parquet(path)
+    cover, _ = spatial.polygon_cells(spark.read.parquet(path))
+    assert cover.select(F.input_file_name()).distinct().count() > 1
+
+
 def test_reprojection_against_known_point(spark):
     # on the middle meridian the northing is the scaled meridian arc: 4984944.378 m up to 45 degrees
     df = spark.createDataFrame([(45.0, 3.0)], "lat double, lon double")
