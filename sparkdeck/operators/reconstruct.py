@@ -10,10 +10,14 @@ from ..session import stored
 from .ordered import row_index, top_k
 from .series import complete
 
-#: series of a block; two blocks are compared in one task
-BLOCK = 1024
-#: nearest series of a block that are looked at first for the missing values of one
-NEAR = 48
+#: series and values of a block at the most; two blocks are compared in one task
+BLOCK, VALUES = 8192, 1 << 22
+#: series compared with a block at a time
+ROWS = 256
+#: nearest series of a block that are looked at first for the missing values of one, and next if these do not have them
+NEAR = (48, 384)
+#: every so many-th of a block is looked at to estimate how far these are
+SEEN = 1024
 
 
 def _dense(frame: pd.DataFrame, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -31,12 +35,12 @@ def _offers(left: pd.DataFrame, right: pd.DataFrame, k: int) -> list[pd.DataFram
     names = np.unique(np.concatenate([*left["keys"], *right["keys"]]))
     x, seen = _dense(left, names)
     y, held = _dense(right, names)
-    others = right["number"].to_numpy()
-    # products give every distance at once, a little off: they only tell which series may be near
-    count = seen.astype(float) @ held.T.astype(float)
-    sums = (x**2) @ held.T + seen @ (y**2).T - 2 * (x @ y.T)
-    rough = np.where(count > 0, sums / np.maximum(count, 1), np.inf)
-    slack = 1e-11 * ((x**2).sum(1) + (y**2).sum(1).max(initial=0))
+    own, others = left["number"].to_numpy(), right["number"].to_numpy()
+    weight, squares = held.astype(float), (y**2).T
+    most = (y**2).sum(1).max(initial=0)
+    step = -(-len(right) // SEEN)
+    reach = [n // step for n in NEAR if n < len(right)]
+    out = []
 
     def nearest(p: int, among: np.ndarray, upto: float) -> tuple[np.ndarray, np.ndarray]:
         """Those of `among` within the distance `upto`, nearest first, and their exact distances."""
@@ -47,32 +51,35 @@ def _offers(left: pd.DataFrame, right: pd.DataFrame, k: int) -> list[pd.DataFram
         order = order[(n[order] > 0) & (distance[order] <= upto)]
         return among[order], distance[order]
 
-    wanted = ~seen & ((count > 0).astype(float) @ held > 0)
-    out = []
-    for p in range(len(left)):
-        gaps = np.flatnonzero(wanted[p])
-        if not len(gaps):
-            continue
-        order = None
-        if NEAR < len(right):
-            upto = np.partition(rough[p], NEAR)[NEAR]
-            if np.isfinite(upto):
+    for start in range(0, len(left), ROWS):
+        at = slice(start, start + ROWS)
+        # products give every distance at once, a little off: they only tell which series may be near
+        count = seen[at].astype(float) @ weight.T
+        rough = (x[at] ** 2) @ weight.T + seen[at] @ squares - 2 * (x[at] @ y.T)
+        rough = np.where(count > 0, rough / np.maximum(count, 1), np.inf)
+        slack = 1e-11 * ((x[at] ** 2).sum(1) + most)
+        wanted = ~seen[at] & ((count > 0).astype(float) @ weight > 0)
+        ends = np.partition(rough[:, ::step], reach, axis=1)[:, reach] if reach else None
+        for p in np.flatnonzero(wanted.any(1)):
+            gaps = np.flatnonzero(wanted[p])
+            order = None
+            for upto in ends[p] if reach else ():
+                if not np.isfinite(upto):
+                    break
                 # what is not among these is farther than `upto`, whatever the products are off
-                order, distance = nearest(p, np.flatnonzero(rough[p] <= upto + slack[p]), upto)
-                if (held[order][:, gaps].sum(0) < k).any():
-                    order = None
-        if order is None:
-            order, distance = nearest(p, np.arange(len(right)), np.inf)
-        usable = held[order][:, gaps]
-        row, column = np.nonzero(usable & (np.cumsum(usable, axis=0) <= k))
-        source = order[row]
-        out.append(
-            pd.DataFrame(
-                {"number": left["number"].iloc[p], "key": names[gaps[column]], "other": others[source], "distance": distance[row],
-                 "v": y[source, gaps[column]]}
-            )
-        )
-    return out
+                order, distance = nearest(start + p, np.flatnonzero(rough[p] <= upto + slack[p]), upto)
+                if (held[order][:, gaps].sum(0) >= k).all():
+                    break
+                order = None
+            if order is None:
+                order, distance = nearest(start + p, np.arange(len(right)), np.inf)
+            usable = held[order][:, gaps]
+            row, column = np.nonzero(usable & (np.cumsum(usable, axis=0) <= k))
+            source, gap = order[row], gaps[column]
+            out.append((np.full(len(row), own[start + p]), names[gap], others[source], distance[row], y[source, gap]))
+    if not out:
+        return []
+    return [pd.DataFrame(dict(zip(("number", "key", "other", "distance", "v"), map(np.concatenate, zip(*out)))))]
 
 
 def knn_fill(
@@ -98,7 +105,8 @@ def knn_fill(
     series = whole.agg(F.collect_list(F.struct("key", "v")).alias("e"))
     of = F.col(group) if group else F.lit(0)
     series = stored(series.select("number", of.alias("of"), F.col("e.key").alias("keys"), F.col("e.v").alias("values")), "series")
-    sizes = series.groupBy(F.col("of").alias("sized")).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    full = F.greatest(F.count(F.lit(1)) / block, F.sum(F.size("keys")) / VALUES)
+    sizes = series.groupBy(F.col("of").alias("sized")).agg(F.ceil(full).cast("int").alias("blocks"))
     dealt = series.join(sizes, F.col("of").eqNullSafe(F.col("sized"))).withColumn("own", F.pmod(F.xxhash64("number"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumns({"low": F.least("own", "met"), "high": F.greatest("own", "met")})

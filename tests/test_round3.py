@@ -86,6 +86,22 @@ def test_offers_look_at_few_series_and_equal_all(monkeypatch):
     assert len(few) > 100 and 0 < seen < 0.8 * sum(asked)
 
 
+def test_knn_fill_offers_follow_blocks_and_widen(spark, monkeypatch):
+    """Few hold the date that the others lack: the nearest do not have it and the search widens, over several steps of rows."""
+    monkeypatch.setattr(reconstruct, "ROWS", 7)
+    monkeypatch.setattr(reconstruct, "NEAR", (3, 12))
+    rows = [(p, d, float((p * 7 + d * d) % 23) + p / 100) for p in range(40) for d in range(6) if d != 3 or p % 8 == 0]
+    x = {p: {d: v for q, d, v in rows if q == p} for p in range(40)}
+    left, right = (pd.DataFrame({"number": [p for p in range(40) if p % 2 == s], "keys": [np.array(list(x[p])) for p in range(40) if p % 2 == s], "values": [np.array(list(x[p].values())) for p in range(40) if p % 2 == s]}) for s in (1, 0))
+    found = reconstruct._offers(left, right, 2)
+    assert len(found) == 1
+    want = set()
+    for p in left["number"]:
+        near = sorted((sum((x[p][d] - x[o][d]) ** 2 for d in x[p] if d in x[o]) / len(x[p]), o) for o in right["number"] if 3 in x[o])
+        want |= {(p, 3, o, round(s, 9), x[o][3]) for s, o in near[:2]}
+    assert {(r.number, r.key, r.other, round(r.distance, 9), r.v) for r in found[0].itertuples()} == want
+
+
 def test_knn_fill_of_nothing(spark):
     empty = spark.createDataFrame([], "p long, d date, v double")
     assert reconstruct.knn_fill(empty, "p", "d", "v").count() == 0
