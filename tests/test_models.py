@@ -198,6 +198,16 @@ def test_blocks_of_the_model_follow_cores_and_ratings(spark, monkeypatch):
     assert made == [(cores, cores), (max(cores, 27),) * 2]
 
 
+def test_blocks_and_factors_of_the_model_are_not_kept_on_the_heap(spark, monkeypatch):
+    ratings = spark.createDataFrame([(u, i, 1.0 + (u + i) % 5) for u in range(9) for i in range(9)], "user_id int, item_id int, rating double")
+    made, library = [], recommend.ALS
+    monkeypatch.setattr(recommend, "ALS", lambda **given: made.append(library(**given)) or made[-1])
+    model = recommend.train(ratings, rank=2, iters=1)
+    assert [(a.getIntermediateStorageLevel(), a.getFinalStorageLevel()) for a in made] == [("DISK_ONLY", "DISK_ONLY")]
+    kept = [x for x in spark.sparkContext._jsc.sc().getRDDStorageInfo() if x.name() in ("userFactors", "itemFactors") and x.diskSize() > 0]
+    assert len(kept) >= 2 and model.predict(ratings).count() == 81
+
+
 def test_latest_known_user_per_visitor(spark):
     clicks = spark.createDataFrame([("v", "0", 9), ("v", "7", 3), ("v", "8", 5), ("w", "0", 1)], "vid string, uid string, vts_last int")
     assert [tuple(r) for r in recommend.known_visitors(clicks).collect()] == [("v", "8")]
