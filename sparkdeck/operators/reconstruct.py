@@ -14,8 +14,8 @@ from .series import complete
 BLOCK, VALUES = 8192, 1 << 22
 #: series compared with a block at a time
 ROWS = 256
-#: nearest series of a block that are looked at first for the missing values of one, and next if these do not have them
-NEAR = (48, 384)
+#: nearest series of a block that are looked at first for the missing values of one, and so many times more if these do not have them
+NEAR, WIDER = 48, 8
 #: every so many-th of a block is looked at to estimate how far these are
 SEEN = 1024
 
@@ -39,7 +39,7 @@ def _offers(left: pd.DataFrame, right: pd.DataFrame, k: int) -> list[pd.DataFram
     weight, squares = held.astype(float), (y**2).T
     most = (y**2).sum(1).max(initial=0)
     step = -(-len(right) // SEEN)
-    reach = [n // step for n in NEAR if n < len(right)]
+    reach = [n // step for n in (NEAR, WIDER * NEAR) if n < len(right)]
     out = []
 
     def nearest(p: int, among: np.ndarray, upto: float) -> tuple[np.ndarray, np.ndarray]:

@@ -89,7 +89,8 @@ def test_offers_look_at_few_series_and_equal_all(monkeypatch):
 def test_knn_fill_offers_follow_blocks_and_widen(spark, monkeypatch):
     """Few hold the date that the others lack: the nearest do not have it and the search widens, over several steps of rows."""
     monkeypatch.setattr(reconstruct, "ROWS", 7)
-    monkeypatch.setattr(reconstruct, "NEAR", (3, 12))
+    monkeypatch.setattr(reconstruct, "NEAR", 3)
+    monkeypatch.setattr(reconstruct, "WIDER", 4)
     rows = [(p, d, float((p * 7 + d * d) % 23) + p / 100) for p in range(40) for d in range(6) if d != 3 or p % 8 == 0]
     x = {p: {d: v for q, d, v in rows if q == p} for p in range(40)}
     left, right = (pd.DataFrame({"number": [p for p in range(40) if p % 2 == s], "keys": [np.array(list(x[p])) for p in range(40) if p % 2 == s], "values": [np.array(list(x[p].values())) for p in range(40) if p % 2 == s]}) for s in (1, 0))
